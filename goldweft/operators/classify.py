@@ -83,3 +83,30 @@ def class_counts(classified: DataFrame) -> DataFrame:
         F.count_if(F.col("shape") == S.EMPTY).alias("empty_data_count"),
         F.count_if(is_consumed()).alias("consumed_records"),
     )
+
+
+def of_passports(classified: DataFrame, people: DataFrame) -> DataFrame:
+    """Personal and bank messages of the passports in ``people`` (column ``key``).
+
+    The key and its hash join, so both sides are plain exchanges: a passport with a
+    large share of all messages may be split.
+    """
+    wanted = people.select("key", F.xxhash64("key").alias("key_hash"))
+    rows = classified.filter(F.col("shape").isin(S.PERSONAL, S.BANK)).withColumn(
+        "link_hash", F.xxhash64("link_key")
+    )
+    return rows.join(
+        wanted,
+        (F.col("link_key") == F.col("key")) & (F.col("link_hash") == F.col("key_hash")),
+        "left_semi",
+    ).drop("link_hash")
+
+
+def remaining_retaining_unmatched(classified: DataFrame, unmatched: DataFrame) -> DataFrame:
+    """What is left if messages of unmatched passports are kept as well."""
+    return remaining(classified).unionByName(of_passports(classified, unmatched))
+
+
+def non_object_payloads(classified: DataFrame) -> DataFrame:
+    """Valid JSON that is neither an object nor empty: quarantined, stays in bronze."""
+    return classified.filter(F.col("shape") == S.NON_OBJECT)

@@ -24,20 +24,25 @@ def link_names(people: DataFrame, names: DataFrame) -> DataFrame:
 
     ``names`` holds one row per full name, so a hot name is a skewed left side, which
     adaptive execution may split.  ``names`` comes from an aggregation over another
-    key, so both join inputs are plain exchanges, as that needs.
+    key, so both join inputs are plain exchanges, as that needs.  A blank full name
+    never matches: those rows get the passport as join key, so they spread over all
+    partitions, and the flag keeps them from matching.
     """
-    people = with_fullname_key(people)
+    people = with_fullname_key(people).withColumn("has_name", F.col("fullname_key") != "")
+    people = people.withColumn(
+        "join_name", F.when(F.col("has_name"), F.col("fullname_key")).otherwise(F.col("key"))
+    )
     names = names.withColumnRenamed("key", "name_key")
     return people.join(
-        names, (F.col("fullname_key") == F.col("name_key")) & (F.col("fullname_key") != ""), "left"
-    ).drop("name_key")
+        names, (F.col("join_name") == F.col("name_key")) & F.col("has_name"), "left"
+    ).drop("name_key", "join_name", "has_name")
 
 
 def link_addresses(people: DataFrame, addresses: DataFrame) -> DataFrame:
     """Left link of network data by the normalised address of the linked location.
 
-    Without a location nothing may match.  Those rows get the passport as join key,
-    so they spread over all partitions, and the flag keeps them from matching.
+    Without a location nothing may match; such rows are spread by passport like blank
+    names above.
     """
     located = F.col("location").isNotNull()
     people = people.withColumn("located", located).withColumn(

@@ -14,13 +14,19 @@ def latest_of(messages: DataFrame, order: str = "ord") -> DataFrame:
     return L.latest_by_key(C.classify(messages), order)
 
 
-def link(latest: DataFrame) -> DataFrame:
-    """Complete identities with everything linked to them."""
-    people = L.by_passport(latest).filter(K.complete_identity())
+def link(latest: DataFrame, complete_only: bool = True) -> DataFrame:
+    """Complete identities (or all passports) with everything linked to them."""
+    people = L.by_passport(latest)
+    if complete_only:
+        people = people.filter(K.complete_identity())
     named = K.link_names(people, L.by_fullname(latest))
     return K.link_addresses(named, L.by_address(latest))
 
 
+def golden_of(latest: DataFrame, consolidated_at: Column | None = None) -> DataFrame:
+    return G.golden_projection(link(latest), consolidated_at)
+
+
 def consolidate(
     messages: DataFrame, order: str = "ord", consolidated_at: Column | None = None
 ) -> DataFrame:
@@ -29,7 +35,7 @@ def consolidate(
     One scan and parse, one shuffle for the aggregation, then each input of the name
     and address joins is shuffled once.
     """
-    return G.golden_projection(link(latest_of(messages, order)), consolidated_at)
+    return golden_of(latest_of(messages, order), consolidated_at)
 
 
 def unmatched(latest: DataFrame) -> DataFrame:
