@@ -52,7 +52,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.by_passport(latest(spark, sf_dir)).filter(LK.complete_identity())
+    return L.by_passport(latest(spark, sf_dir)).filter(LK.COMPLETE_IDENTITY)
 
 
 def old_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

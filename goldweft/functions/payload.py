@@ -2,129 +2,123 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from goldweft import schemas as S
 from goldweft.functions.text import normalize_key, strip, text
 
-_STRICT_QUOTES = {"allowSingleQuotes": "false"}
+_STRICT = "map('allowSingleQuotes', 'false')"
+
+# Fixed value: JSON values that count as no payload at all (with '{}', tested apart).
+_NOTHING = r"^(|null|false|\"\"|\\[\\s*\\]|-?0(\\.0+)?([eE][+-]?\\d+)?)$"
 
 
-def payload_map(data) -> Column:
+def payload_map(data: str) -> str:
     """The object in ``data`` as a map of texts; null where ``data`` is no object.
 
     A map, not a struct: a key that is present with a null value must stay
     distinguishable from an absent key.  See :func:`last_wins` for repeated keys.
     """
-    return F.from_json(data, "map<string,string>", _STRICT_QUOTES)
+    return f"from_json({data}, 'map<string,string>', {_STRICT})"
 
 
-def last_wins(doc) -> Column:
+def last_wins(doc: str) -> str:
     """Keep the last of repeated keys, as JSON readers usually do; cheap where none repeats."""
-    doc = F.col(doc) if isinstance(doc, str) else doc
-    keys = F.map_keys(doc)
-    n = F.size(keys)
-
-    def is_last(entry, i):
-        return ~F.array_contains(F.slice(keys, i + 2, n), entry["key"])
-
-    deduped = F.map_from_entries(F.filter(F.map_entries(doc), is_last))
-    return F.when(F.size(F.array_distinct(keys)) < n, deduped).otherwise(doc)
+    keys = f"map_keys({doc})"
+    later = f"slice({keys}, i + 2, size({keys}))"
+    return (
+        f"CASE WHEN size(array_distinct({keys})) < size({keys}) THEN map_from_entries("
+        f"filter(map_entries({doc}), (e, i) -> NOT array_contains({later}, e.key)))"
+        f" ELSE {doc} END"
+    )
 
 
-def is_one_json_value(value) -> Column:
+def is_one_json_value(value: str) -> str:
     """True where the text is exactly one JSON value with nothing after it.
 
     The parser stops at the end of the first value, so the text is checked inside
     an array and inside an object: text that closes one of them early breaks the
     other.
     """
-    in_array = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>", _STRICT_QUOTES)
-    in_object = F.from_json(
-        F.concat(F.lit('{"v":'), value, F.lit("}")), "map<string,string>", _STRICT_QUOTES
-    )
-    return F.coalesce((F.size(in_array) == 1) & (F.size(in_object) == 1), F.lit(False))
+    in_array = f"from_json(concat('[', {value}, ']'), 'array<string>', {_STRICT})"
+    in_object = f"""from_json(concat('{{"v":', {value}, '}}'), 'map<string,string>', {_STRICT})"""
+    return f"coalesce(size({in_array}) = 1 AND size({in_object}) = 1, false)"
 
 
-def is_empty_payload(doc: Column, data) -> Column:
+def is_empty_payload(doc: str, data: str) -> str:
     """Absent, null, or an empty/zero/false JSON value."""
-    return F.when(doc.isNotNull(), F.size(doc) == 0).otherwise(
-        F.coalesce(
-            strip(data).rlike(r'^(|null|false|""|\[\s*\]|-?0(\.0+)?([eE][+-]?\d+)?)$'), F.lit(True)
-        )
-    )
+    nothing = f"coalesce({strip(data)} RLIKE '{_NOTHING}', true)"
+    return f"CASE WHEN {doc} IS NOT NULL THEN size({doc}) = 0 ELSE {nothing} END"
 
 
-def detect_shape(doc: Column) -> Column:
+def detect_shape(doc: str) -> str:
     """Shape of a payload by the keys it carries; the first rule that holds wins."""
 
     def has(*keys):
-        cond = F.map_contains_key(doc, keys[0])
-        for key in keys[1:]:
-            cond = cond & F.map_contains_key(doc, key)
-        return cond
+        return " AND ".join(f"map_contains_key({doc}, '{k}')" for k in keys)
 
-    return (
-        F.when(has("passport", "name", "last_name", "sex"), S.PERSONAL)
-        .when(has("passport", "IBAN", "salary"), S.BANK)
-        .when(has("fullname", "city", "address") & ~has("company"), S.LOCATION)
-        .when(has("fullname", "company", "job"), S.PROFESSIONAL)
-        .when(has("IPv4", "address") & ~has("fullname"), S.NETWORK)
-        .otherwise(S.UNKNOWN)
-    )
+    return f"""CASE
+        WHEN {has("passport", "name", "last_name", "sex")} THEN '{S.PERSONAL}'
+        WHEN {has("passport", "IBAN", "salary")} THEN '{S.BANK}'
+        WHEN {has("fullname", "city", "address")} AND NOT {has("company")} THEN '{S.LOCATION}'
+        WHEN {has("fullname", "company", "job")} THEN '{S.PROFESSIONAL}'
+        WHEN {has("IPv4", "address")} AND NOT {has("fullname")} THEN '{S.NETWORK}'
+        ELSE '{S.UNKNOWN}' END"""
 
 
-def shape_of(doc: Column, data) -> Column:
+def shape_of(doc: str, data: str) -> str:
     """:func:`detect_shape`, with ``empty`` and ``non_object`` for other payloads."""
     return (
-        F.when(is_empty_payload(doc, data), S.EMPTY)
-        .when(doc.isNull(), S.NON_OBJECT)
-        .otherwise(detect_shape(doc))
+        f"CASE WHEN {is_empty_payload(doc, data)} THEN '{S.EMPTY}'"
+        f" WHEN {doc} IS NULL THEN '{S.NON_OBJECT}' ELSE {detect_shape(doc)} END"
     )
 
 
-def link_value(doc: Column, shape) -> Column:
-    """The raw field that links a message of the given shape; null for other shapes."""
-    shape = F.col(shape) if isinstance(shape, str) else shape
-    return (
-        F.when(shape.isin(S.PERSONAL, S.BANK), doc["passport"])
-        .when(shape.isin(S.LOCATION, S.PROFESSIONAL), doc["fullname"])
-        .when(shape == S.NETWORK, doc["address"])
-    )
+def _by_domain(shape: str, passport: str, fullname: str, address: str) -> str:
+    """One of three SQL texts, by the field that links a shape; null for other shapes."""
+    return f"""CASE
+        WHEN {shape} IN ('{S.PERSONAL}', '{S.BANK}') THEN {passport}
+        WHEN {shape} IN ('{S.LOCATION}', '{S.PROFESSIONAL}') THEN {fullname}
+        WHEN {shape} = '{S.NETWORK}' THEN {address} END"""
+
+
+def link_domain(shape: str) -> str:
+    """Name of the field that links a message of the given shape."""
+    return _by_domain(shape, "'passport'", "'fullname'", "'address'")
+
 
+def link_value(doc: str, shape: str) -> str:
+    """That field's raw value."""
+    return _by_domain(shape, f"{doc}['passport']", f"{doc}['fullname']", f"{doc}['address']")
 
-def link_key(value, shape) -> Column:
+
+def link_key(value: str, shape: str) -> str:
     """Passports link as they are, full names and addresses in normalised form."""
-    shape = F.col(shape) if isinstance(shape, str) else shape
-    value = F.col(value) if isinstance(value, str) else value
-    return F.when(shape.isin(S.PERSONAL, S.BANK), value).otherwise(normalize_key(value))
+    normal = normalize_key(value)
+    return f"CASE WHEN {text(value)} <> '' THEN {_by_domain(shape, value, normal, normal)} END"
 
 
-def sex_values(value) -> Column:
+def sex_values(value: str) -> str:
     """The ``sex`` field as a list; plain text becomes a one-element list."""
-    value = F.col(value) if isinstance(value, str) else value
-    listed = F.when(value.startswith("["), F.from_json(value, "array<string>"))
-    return F.coalesce(listed, F.when(value.isNotNull(), F.array(value)))
+    return (
+        f"coalesce(CASE WHEN startswith({value}, '[') THEN from_json({value}, 'array<string>')"
+        f" END, CASE WHEN {value} IS NOT NULL THEN array({value}) END)"
+    )
 
 
-def sex_is_scalar(value) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return ~value.startswith("[")
+def sex_is_scalar(value: str) -> str:
+    return f"NOT startswith({value}, '[')"
 
 
-def sex_scalar(sex, is_scalar, mode: str = "bulk") -> Column:
+def sex_scalar(sex: str = "sex", is_scalar: str = "sex_is_scalar", mode: str = "bulk") -> str:
     """One text for ``sex``.
 
     ``bulk``: first list item, or the first character of plain text, or ''.
     ``strict``: first list item or the whole text; null where there is none.
     """
-    sex = F.col(sex) if isinstance(sex, str) else sex
-    is_scalar = F.col(is_scalar) if isinstance(is_scalar, str) else is_scalar
-    first = F.get(sex, F.lit(0))
     if mode == "strict":
-        return F.when(first != "", first)
+        return f"nullif(get({sex}, 0), '')"
     if mode != "bulk":
         raise ValueError(f"unknown mode {mode!r}")
-    scalar = F.coalesce(is_scalar, F.lit(False))
-    return text(F.when(scalar, F.substring(first, 1, 1)).otherwise(first))
+    return text(
+        f"CASE WHEN coalesce({is_scalar}, false) THEN substring(get({sex}, 0), 1, 1)"
+        f" ELSE get({sex}, 0) END"
+    )

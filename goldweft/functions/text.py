@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Every character that counts as white space at either end of a text
 # (Unicode white space plus the four ASCII separators U+001C to U+001F).
 WHITE_SPACE = (
@@ -14,35 +11,31 @@ WHITE_SPACE = (
 )
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def strip(c) -> Column:
+def strip(e: str) -> str:
     """Remove white space of any kind from both ends."""
-    return F.btrim(_col(c), F.lit(WHITE_SPACE))
+    return f"btrim({e}, '{WHITE_SPACE}')"
 
 
-def text(c) -> Column:
+def text(e: str) -> str:
     """Null becomes the empty text."""
-    return F.coalesce(_col(c), F.lit(""))
+    return f"coalesce({e}, '')"
 
 
-def filled(c) -> Column:
+def filled(e: str) -> str:
     """True for a text that is neither null nor empty; never null."""
-    return text(c) != ""
+    return f"({text(e)} <> '')"
 
 
-def normalize_key(c) -> Column:
+def normalize_key(e: str) -> str:
     """Link key of a full name or an address: stripped, lower case, '' for null."""
-    return F.lower(strip(text(c)))
+    return f"lower({strip(text(e))})"
 
 
-def build_fullname(name, last_name) -> Column:
+def build_fullname(name: str, last_name: str) -> str:
     """Name and last name with one blank between; inner blanks stay."""
-    return F.concat(text(name), F.lit(" "), text(last_name))
+    return f"concat({text(name)}, ' ', {text(last_name)})"
 
 
-def clean_street(c) -> Column:
+def clean_street(e: str) -> str:
     """Line breaks become blanks, then the ends are stripped."""
-    return strip(F.translate(text(c), "\n\r", "  "))
+    return strip(f"translate({text(e)}, '\n\r', '  ')")

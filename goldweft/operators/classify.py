@@ -11,15 +11,14 @@ from pyspark.sql import functions as F
 
 from goldweft import schemas as S
 from goldweft.functions import payload as P
-from goldweft.functions.text import filled
 
 
 def bronze_messages(bronze: DataFrame) -> DataFrame:
     """Bronze envelopes as messages: ``msg_id``, ``ord`` (arrival order) and ``data``."""
-    meta = F.col("kafka_metadata")
-    return bronze.select(
-        F.struct(meta["topic"], meta["partition"], meta["offset"]).alias("msg_id"),
-        F.struct("inserted_at", meta["partition"], meta["offset"], meta["topic"]).alias("ord"),
+    meta = "kafka_metadata"
+    return bronze.selectExpr(
+        f"struct({meta}.topic, {meta}.partition, {meta}.offset) AS msg_id",
+        f"struct(inserted_at, {meta}.partition, {meta}.offset, {meta}.topic) AS ord",
         "data",
     )
 
@@ -30,25 +29,28 @@ def classify(messages: DataFrame) -> DataFrame:
     ``link_key`` is null unless the shape is one of the five and its link field is
     filled: exactly the messages that take part in linking.
     """
-    parsed = messages.withColumn("doc", P.payload_map(F.col("data")))
-    parsed = parsed.withColumn("doc", P.last_wins("doc"))
+    parsed = messages.selectExpr("*", f"{P.payload_map('data')} AS doc")
+    parsed = parsed.withColumn("doc", F.expr(P.last_wins("doc")))
     # ``inline`` instead of plain columns: the optimizer copies plain columns into
     # every later use, so a filter on the link key would parse each message again.
-    shaped = parsed.select(
-        "*", F.inline(F.array(F.struct(P.shape_of(F.col("doc"), "data").alias("shape"))))
-    )
-    valued = shaped.withColumn("link_value", P.link_value(F.col("doc"), "shape"))
-    return valued.withColumn(
-        "link_key", F.when(filled("link_value"), P.link_key("link_value", "shape"))
+    shaped = parsed.selectExpr(
+        "*", f"inline(array(named_struct('shape', {P.shape_of('doc', 'data')})))"
     )
+    valued = shaped.selectExpr("*", f"{P.link_value('doc', 'shape')} AS link_value")
+    return valued.selectExpr("*", f"{P.link_key('link_value', 'shape')} AS link_key")
 
 
 def empty_payloads(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col("shape") == S.EMPTY)
+    return classified.filter(f"shape = '{S.EMPTY}'")
 
 
 def unknown_payloads(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col("shape") == S.UNKNOWN)
+    return classified.filter(f"shape = '{S.UNKNOWN}'")
+
+
+def non_object_payloads(classified: DataFrame) -> DataFrame:
+    """Valid JSON that is neither an object nor empty: quarantined, stays in bronze."""
+    return classified.filter(f"shape = '{S.NON_OBJECT}'")
 
 
 def missing_key(classified: DataFrame) -> DataFrame:
@@ -56,33 +58,17 @@ def missing_key(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("shape").isin(*S.SOURCES) & F.col("link_key").isNull())
 
 
-def is_consumed():
-    """Messages a run uses up: those with a link key and the empty ones."""
-    return F.col("link_key").isNotNull() | (F.col("shape") == S.EMPTY)
+#: Messages a run uses up: those with a link key and the empty ones.
+CONSUMED = f"(link_key IS NOT NULL OR shape = '{S.EMPTY}')"
 
 
 def consumed(classified: DataFrame) -> DataFrame:
-    return classified.filter(is_consumed())
+    return classified.filter(CONSUMED)
 
 
 def remaining(classified: DataFrame) -> DataFrame:
     """What is left in bronze after a run.  A row predicate, so no join and no id list."""
-    return classified.filter(~is_consumed())
-
-
-def class_counts(classified: DataFrame) -> DataFrame:
-    """One row of message counts; a known shape counts only with its link field filled."""
-    keyed = F.col("link_key").isNotNull()
-    return classified.groupBy().agg(
-        F.count("*").alias("total_raw_messages"),
-        *[
-            F.count_if((F.col("shape") == shape) & keyed).alias(f"{shape}_records")
-            for shape in S.SOURCES
-        ],
-        F.count_if(F.col("shape") == S.UNKNOWN).alias("unknown_records"),
-        F.count_if(F.col("shape") == S.EMPTY).alias("empty_data_count"),
-        F.count_if(is_consumed()).alias("consumed_records"),
-    )
+    return classified.filter(f"NOT {CONSUMED}")
 
 
 def of_passports(classified: DataFrame, people: DataFrame) -> DataFrame:
@@ -91,14 +77,12 @@ def of_passports(classified: DataFrame, people: DataFrame) -> DataFrame:
     The key and its hash join, so both sides are plain exchanges: a passport with a
     large share of all messages may be split.
     """
-    wanted = people.select("key", F.xxhash64("key").alias("key_hash"))
+    wanted = people.selectExpr("key", "xxhash64(key) AS key_hash")
     rows = classified.filter(F.col("shape").isin(S.PERSONAL, S.BANK)).withColumn(
         "link_hash", F.xxhash64("link_key")
     )
     return rows.join(
-        wanted,
-        (F.col("link_key") == F.col("key")) & (F.col("link_hash") == F.col("key_hash")),
-        "left_semi",
+        wanted, F.expr("link_key = key AND link_hash = key_hash"), "left_semi"
     ).drop("link_hash")
 
 
@@ -107,6 +91,16 @@ def remaining_retaining_unmatched(classified: DataFrame, unmatched: DataFrame) -
     return remaining(classified).unionByName(of_passports(classified, unmatched))
 
 
-def non_object_payloads(classified: DataFrame) -> DataFrame:
-    """Valid JSON that is neither an object nor empty: quarantined, stays in bronze."""
-    return classified.filter(F.col("shape") == S.NON_OBJECT)
+def class_counts(classified: DataFrame) -> DataFrame:
+    """One row of message counts; a known shape counts only with its link field filled."""
+    per_shape = [
+        F.expr(f"count_if(shape = '{s}' AND link_key IS NOT NULL) AS {s}_records")
+        for s in S.SOURCES
+    ]
+    return classified.groupBy().agg(
+        F.expr("count(*) AS total_raw_messages"),
+        *per_shape,
+        F.expr(f"count_if(shape = '{S.UNKNOWN}') AS unknown_records"),
+        F.expr(f"count_if(shape = '{S.EMPTY}') AS empty_data_count"),
+        F.expr(f"count_if({CONSUMED}) AS consumed_records"),
+    )

@@ -9,34 +9,28 @@ from goldweft.functions import payload as P
 
 
 def _decoded(rows: DataFrame) -> DataFrame:
-    text = F.col("value").cast("string")
+    text = "CAST(value AS string)"
     reason = (
-        F.when(F.col("value").isNull(), "tombstone")
-        .when(~F.is_valid_utf8(text), "bad_utf8")
-        .when(~P.is_one_json_value(text), "bad_json")
+        f"CASE WHEN value IS NULL THEN 'tombstone' WHEN NOT is_valid_utf8({text}) THEN 'bad_utf8'"
+        f" WHEN NOT {P.is_one_json_value(text)} THEN 'bad_json' END"
     )
     # ``inline``: decided once per row, not again in every filter on the reason.
-    return rows.select("*", F.inline(F.array(F.struct(reason.alias("reason")))))
+    return rows.selectExpr("*", f"inline(array(named_struct('reason', {reason})))")
 
 
 def decode_envelope(rows: DataFrame, inserted_at: Column | None = None) -> DataFrame:
     """Decodable messages as ``kafka_metadata``, ``data`` (JSON text) and ``inserted_at``."""
-    key = F.when(F.length("key") > 0, F.make_valid_utf8(F.col("key").cast("string")))
-    millis = F.unix_millis("timestamp")
-    metadata = F.struct(
-        F.col("topic"),
-        F.col("partition"),
-        F.col("offset"),
-        F.when(millis != -1, millis).alias("timestamp"),
-        key.alias("key"),
-    )
     stamp = F.current_timestamp() if inserted_at is None else inserted_at
+    metadata = (
+        "struct(topic, partition, offset, nullif(unix_millis(timestamp), -1) AS timestamp,"
+        " CASE WHEN length(key) > 0 THEN make_valid_utf8(CAST(key AS string)) END AS key)"
+    )
     return (
         _decoded(rows)
-        .filter(F.col("reason").isNull())
+        .filter("reason IS NULL")
         .select(
-            metadata.alias("kafka_metadata"),
-            F.col("value").cast("string").alias("data"),
+            F.expr(f"{metadata} AS kafka_metadata"),
+            F.expr("CAST(value AS string) AS data"),
             stamp.alias("inserted_at"),
         )
     )
@@ -46,20 +40,19 @@ def decode_rejects(rows: DataFrame) -> DataFrame:
     """The complement: raw value, position and reason (tombstone, bad_utf8, bad_json)."""
     return (
         _decoded(rows)
-        .filter(F.col("reason").isNotNull())
+        .filter("reason IS NOT NULL")
         .select("topic", "partition", "offset", "value", "reason")
     )
 
 
 def flat_envelope(bronze: DataFrame) -> DataFrame:
     """Bronze with the metadata as top-level columns."""
-    meta = F.col("kafka_metadata")
-    return bronze.select(
-        meta["topic"].alias("topic"),
-        meta["partition"].alias("partition"),
-        meta["offset"].alias("offset"),
-        meta["timestamp"].alias("ts_ms"),
-        meta["key"].alias("key"),
+    return bronze.selectExpr(
+        "kafka_metadata.topic",
+        "kafka_metadata.partition",
+        "kafka_metadata.offset",
+        "kafka_metadata.timestamp AS ts_ms",
+        "kafka_metadata.key",
         "data",
         "inserted_at",
     )

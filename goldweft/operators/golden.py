@@ -6,52 +6,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldweft import schemas as S
-from goldweft.functions.text import filled
+from goldweft.functions.text import build_fullname, filled, normalize_key
 
-
-def data_sources() -> Column:
-    """Names of the shapes that contributed, in fixed order."""
-    return F.array_compact(
-        F.array(*[F.when(F.col(s).isNotNull(), F.lit(s)) for s in S.SOURCES])
-    )
+#: Names of the shapes that contributed, in fixed order.
+DATA_SOURCES = "array_compact(array({}))".format(
+    ", ".join(f"CASE WHEN {s} IS NOT NULL THEN '{s}' END" for s in S.SOURCES)
+)
+N_SOURCES = " + ".join(f"CAST({s} IS NOT NULL AS int)" for s in S.SOURCES)
+NOW = "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
 
 
 def golden_projection(linked: DataFrame, consolidated_at: Column | None = None) -> DataFrame:
     """Linked rows as golden records; every field is there, null where unknown."""
-    stamp = consolidated_at
-    if stamp is None:
-        stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    stamp = F.expr(NOW) if consolidated_at is None else consolidated_at
     owner = {key: shape for shape, keys in S.SHAPE_FIELDS.items() for key in keys}
     owner["sex_is_scalar"] = S.PERSONAL
     computed = {
         "_id": F.col("key"),
         "consolidated_at": stamp.cast("string"),
-        "data_sources": data_sources(),
+        "data_sources": F.expr(DATA_SOURCES),
         "uploaded_2_SQL": F.lit(False),
-        "n_sources": sum((F.col(s).isNotNull().cast("int") for s in S.SOURCES), F.lit(0)),
+        "n_sources": F.expr(N_SOURCES),
     }
-    cols = []
-    for f in S.GOLDEN.fields:
-        if f.name in computed:
-            cols.append(computed[f.name].alias(f.name))
-        else:
-            cols.append(F.col(owner[f.name])[f.name].alias(f.name))
-    return linked.select(*cols)
+    return linked.select(
+        *[
+            computed[f].alias(f) if f in computed else F.expr(f"{owner[f]}.`{f}` AS `{f}`")
+            for f in S.GOLDEN.fieldNames()
+        ]
+    )
 
 
 def has_all_sources(exact_names: bool = False) -> Column:
     """Complete records.  ``exact_names`` asks for the five names, not just for five."""
     if exact_names:
-        wanted = F.array(*[F.lit(s) for s in S.SOURCES])
-        return (F.col("n_sources") >= len(S.SOURCES)) & (
-            F.size(F.array_except(wanted, F.col("data_sources"))) == 0
+        wanted = ", ".join(f"'{s}'" for s in S.SOURCES)
+        return F.expr(
+            f"n_sources >= {len(S.SOURCES)}"
+            f" AND size(array_except(array({wanted}), data_sources)) = 0"
         )
-    return F.col("n_sources") == len(S.SOURCES)
+    return F.expr(f"n_sources = {len(S.SOURCES)}")
 
 
 def not_uploaded() -> Column:
     """False, null and absent all mean not uploaded."""
-    return ~F.col("uploaded_2_SQL").eqNullSafe(F.lit(True))
+    return F.expr("NOT (uploaded_2_SQL <=> true)")
 
 
 def pending(golden: DataFrame, exact_names: bool = False) -> DataFrame:
@@ -69,64 +67,50 @@ def upsert(old: DataFrame, new: DataFrame, merge: str = "replace") -> DataFrame:
     """
     if merge not in ("replace", "coalesce"):
         raise ValueError(f"unknown merge {merge!r}")
-    o, n = old.alias("o"), new.alias("n")
-    joined = o.join(n, F.col("o._id") == F.col("n._id"), "full")
-    is_new = F.col("n._id").isNotNull()
-    is_old = F.col("o._id").isNotNull()
-
-    def replaced(name):
-        return F.when(is_new, F.col(f"n.`{name}`")).otherwise(F.col(f"o.`{name}`"))
-
-    def united_sources():
-        both = F.array_union(
-            F.coalesce(F.col("o.data_sources"), F.array().cast("array<string>")),
-            F.coalesce(F.col("n.data_sources"), F.array().cast("array<string>")),
-        )
-        return F.filter(
-            F.array(*[F.lit(s) for s in S.SOURCES]), lambda s: F.array_contains(both, s)
-        )
-
+    joined = old.alias("o").join(new.alias("n"), F.expr("o._id = n._id"), "full")
+    order = ", ".join(f"'{s}'" for s in S.SOURCES)
+    none = "CAST(array() AS array<string>)"
+    united = (
+        f"filter(array({order}), s -> array_contains(array_union("
+        f"coalesce(o.data_sources, {none}), coalesce(n.data_sources, {none})), s))"
+    )
     cols = []
     for name in S.GOLDEN.fieldNames():
-        if merge == "coalesce" and name == "data_sources":
-            col = united_sources()
-        elif merge == "coalesce" and name == "n_sources":
-            col = F.size(united_sources())
-        elif merge == "coalesce" and name in S.GOLDEN_CONTENT:
-            col = F.coalesce(F.col(f"n.`{name}`"), F.col(f"o.`{name}`"))
-        else:
-            col = replaced(name)
-        cols.append(col.alias(name))
-    change = F.when(is_new & is_old, "updated").when(is_new, "created").otherwise("kept")
-    return joined.select(*cols, change.alias("change"))
+        col = f"CASE WHEN n._id IS NOT NULL THEN n.`{name}` ELSE o.`{name}` END"
+        if merge == "coalesce":
+            if name == "data_sources":
+                col = united
+            elif name == "n_sources":
+                col = f"size({united})"
+            elif name in S.GOLDEN_CONTENT:
+                col = f"coalesce(n.`{name}`, o.`{name}`)"
+        cols.append(f"{col} AS `{name}`")
+    change = (
+        "CASE WHEN n._id IS NULL THEN 'kept' WHEN o._id IS NULL THEN 'created'"
+        " ELSE 'updated' END AS change"
+    )
+    return joined.selectExpr(*cols, change)
 
 
 def mark_uploaded(golden: DataFrame, loaded: DataFrame) -> DataFrame:
     """Set the upload flag of the passports in ``loaded`` (column ``_id``, unique)."""
     ids = loaded.select(F.col("_id").alias("loaded_id"))
-    return golden.join(ids, F.col("_id") == F.col("loaded_id"), "left").select(
-        *[
-            F.when(F.col("loaded_id").isNotNull(), F.lit(True))
-            .otherwise(F.col("uploaded_2_SQL"))
-            .alias("uploaded_2_SQL")
-            if c == "uploaded_2_SQL"
-            else F.col(f"`{c}`")
-            for c in golden.columns
-        ]
+    flag = "loaded_id IS NOT NULL OR uploaded_2_SQL AS uploaded_2_SQL"
+    return golden.join(ids, F.expr("_id = loaded_id"), "left").selectExpr(
+        *[flag if c == "uploaded_2_SQL" else f"`{c}`" for c in golden.columns]
     )
 
 
 def namesake_conflicts(golden: DataFrame) -> DataFrame:
     """Number of normalised full names that several golden records share."""
-    from goldweft.functions.text import build_fullname, normalize_key
-
+    key = normalize_key(build_fullname("name", "last_name"))
     return (
-        golden.groupBy(normalize_key(build_fullname("name", "last_name")).alias("fullname_key"))
+        golden.groupBy(F.expr(f"{key} AS fullname_key"))
         .count()
         .groupBy()
-        .agg(F.count_if(F.col("count") > 1).alias("namesake_conflicts"))
+        .agg(F.expr("count_if(count > 1) AS namesake_conflicts"))
     )
 
 
 def filled_identity(golden: DataFrame) -> DataFrame:
-    return golden.filter(filled("name") & filled("last_name"))
+    return golden.filter(f"{filled('name')} AND {filled('last_name')}")

@@ -10,40 +10,22 @@ leaves each map task as one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldweft import schemas as S
 from goldweft.functions import payload as P
 
-# The link domain of each shape.
-DOMAIN = {
-    S.PERSONAL: "passport",
-    S.BANK: "passport",
-    S.LOCATION: "fullname",
-    S.PROFESSIONAL: "fullname",
-    S.NETWORK: "address",
-}
 
-
-def _domain(shape: Column) -> Column:
-    return (
-        F.when(shape.isin(S.PERSONAL, S.BANK), "passport")
-        .when(shape.isin(S.LOCATION, S.PROFESSIONAL), "fullname")
-        .when(shape == S.NETWORK, "address")
-    )
-
-
-def _fields(shape: str) -> list[Column]:
-    doc = F.col("doc")
+def _fields(shape: str) -> str:
     cols = []
     for key in S.SHAPE_FIELDS[shape]:
         if key == "sex":
-            cols.append(P.sex_values(doc["sex"]).alias("sex"))
-            cols.append(P.sex_is_scalar(doc["sex"]).alias("sex_is_scalar"))
+            cols.append(f"{P.sex_values('doc.sex')} AS sex")
+            cols.append(f"{P.sex_is_scalar('doc.sex')} AS sex_is_scalar")
         else:
-            cols.append(doc[key].alias(key))
-    return cols
+            cols.append(f"doc['{key}'] AS `{key}`")
+    return ", ".join(cols)
 
 
 def latest_by_key(classified: DataFrame, order: str = "ord") -> DataFrame:
@@ -52,18 +34,14 @@ def latest_by_key(classified: DataFrame, order: str = "ord") -> DataFrame:
     The greatest ``(order, fields)`` struct wins as a whole, so the nulls of the
     winning message stay nulls.  The order column must be unique per message.
     """
-    keyed = classified.filter(F.col("link_key").isNotNull())
-    per_shape = [
-        F.max(
-            F.when(
-                F.col("shape") == shape, F.struct(F.col(order).alias("ord"), *_fields(shape))
-            )
-        ).alias(shape)
-        for shape in S.SOURCES
-    ]
+    per_shape = ", ".join(
+        f"max(CASE WHEN shape = '{s}' THEN struct({order} AS ord, {_fields(s)}) END) AS {s}"
+        for s in S.SOURCES
+    )
     return (
-        keyed.groupBy(_domain(F.col("shape")).alias("domain"), "link_key")
-        .agg(F.struct(F.col("link_key").alias("key"), *per_shape).alias("latest"))
+        classified.filter("link_key IS NOT NULL")
+        .groupBy(F.expr(P.link_domain("shape")).alias("domain"), "link_key")
+        .agg(F.expr(f"struct(link_key AS key, {per_shape}) AS latest"))
         .select("latest")
     )
 
@@ -87,25 +65,16 @@ def _domain_rows(latest: DataFrame, *shapes: str) -> DataFrame:
     # Tests and keys come from the aggregated struct, not from the grouping columns: a
     # filter on those (also one inferred from a join) would move below the aggregation
     # and give every domain its own scan and parse.  Like this all share one exchange.
-    present = F.col(f"latest.{shapes[0]}").isNotNull()
-    for shape in shapes[1:]:
-        present = present | F.col(f"latest.{shape}").isNotNull()
-    return latest.filter(present).select(
-        "latest.key", *[F.col(f"latest.{s}").alias(s) for s in shapes]
-    )
+    present = " OR ".join(f"latest.{s} IS NOT NULL" for s in shapes)
+    return latest.filter(present).select("latest.key", *[f"latest.{s}" for s in shapes])
 
 
 def latest_rows(latest: DataFrame) -> DataFrame:
     """Long form, one row per shape and key: ``shape``, ``key``, ``ord``."""
-    entries = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"latest.{s}").isNotNull(),
-                    F.struct(F.lit(s).alias("shape"), F.col(f"latest.{s}.ord").alias("ord")),
-                )
-                for s in S.SOURCES
-            ]
-        )
+    entries = ", ".join(
+        f"CASE WHEN latest.{s} IS NOT NULL THEN struct('{s}' AS shape, latest.{s}.ord AS ord) END"
+        for s in S.SOURCES
+    )
+    return latest.selectExpr("latest.key", f"inline(array_compact(array({entries})))").select(
+        "shape", "key", "ord"
     )
-    return latest.select("latest.key", F.inline(entries)).select("shape", "key", "ord")

@@ -7,16 +7,10 @@ from pyspark.sql import functions as F
 
 from goldweft.functions.text import build_fullname, filled, normalize_key
 
+#: Name and last name both filled; only these records become golden.
+COMPLETE_IDENTITY = f"({filled('personal.name')} AND {filled('personal.last_name')})"
 
-def complete_identity():
-    """Name and last name both filled; only these records become golden."""
-    return filled("personal.name") & filled("personal.last_name")
-
-
-def with_fullname_key(people: DataFrame) -> DataFrame:
-    return people.withColumn(
-        "fullname_key", normalize_key(build_fullname("personal.name", "personal.last_name"))
-    )
+FULLNAME_KEY = normalize_key(build_fullname("personal.name", "personal.last_name"))
 
 
 def link_names(people: DataFrame, names: DataFrame) -> DataFrame:
@@ -28,14 +22,15 @@ def link_names(people: DataFrame, names: DataFrame) -> DataFrame:
     never matches: those rows get the passport as join key, so they spread over all
     partitions, and the flag keeps them from matching.
     """
-    people = with_fullname_key(people).withColumn("has_name", F.col("fullname_key") != "")
-    people = people.withColumn(
-        "join_name", F.when(F.col("has_name"), F.col("fullname_key")).otherwise(F.col("key"))
+    people = people.selectExpr("*", f"{FULLNAME_KEY} AS fullname_key").selectExpr(
+        "*",
+        "fullname_key <> '' AS has_name",
+        "CASE WHEN fullname_key <> '' THEN fullname_key ELSE key END AS join_name",
     )
     names = names.withColumnRenamed("key", "name_key")
-    return people.join(
-        names, (F.col("join_name") == F.col("name_key")) & F.col("has_name"), "left"
-    ).drop("name_key", "join_name", "has_name")
+    return people.join(names, F.expr("join_name = name_key AND has_name"), "left").drop(
+        "name_key", "join_name", "has_name"
+    )
 
 
 def link_addresses(people: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -44,11 +39,13 @@ def link_addresses(people: DataFrame, addresses: DataFrame) -> DataFrame:
     Without a location nothing may match; such rows are spread by passport like blank
     names above.
     """
-    located = F.col("location").isNotNull()
-    people = people.withColumn("located", located).withColumn(
-        "address_key", F.when(located, normalize_key("location.address")).otherwise(F.col("key"))
+    people = people.selectExpr(
+        "*",
+        "location IS NOT NULL AS located",
+        f"CASE WHEN location IS NOT NULL THEN {normalize_key('location.address')} ELSE key END"
+        " AS address_key",
     )
     addresses = addresses.withColumnRenamed("key", "network_key")
     return people.join(
-        addresses, (F.col("address_key") == F.col("network_key")) & F.col("located"), "left"
+        addresses, F.expr("address_key = network_key AND located"), "left"
     ).drop("network_key", "located")

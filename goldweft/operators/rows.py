@@ -3,12 +3,13 @@
 Two rule sets exist.  ``bulk`` takes every complete record and writes '' for null.
 ``strict`` rejects records without names or sex, derives the full name and fills
 address defaults.  ``json`` (golden JSON files) is ``strict`` without the rejections and
-with the bulk reading of ``sex``.  All functions are projections and filters on golden columns.
+with the bulk reading of ``sex``.  All functions are projections and filters on golden
+columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldweft.functions.payload import sex_scalar
@@ -22,49 +23,45 @@ NO_IP = "0.0.0.0"
 #: Rule sets that build the full name from its parts and default the address fields.
 PARTS = ("strict", "json")
 
+_STREET = "`company address`"
+
 
 def skip_missing_passport(golden: DataFrame, mode: str = "bulk") -> DataFrame:
     """Records that have an id; the strict rules also refuse an empty one."""
-    if mode in PARTS:
-        return golden.filter(filled("_id"))
-    return golden.filter(F.col("_id").isNotNull())
+    return golden.filter(filled("_id") if mode in PARTS else "_id IS NOT NULL")
 
 
-def person_columns(mode: str = "bulk") -> dict[str, Column]:
-    if mode in PARTS:
-        full_name = build_fullname("name", "last_name")
-    else:
-        full_name = text("fullname")
+def person_columns(mode: str = "bulk") -> dict[str, str]:
+    """Table columns as SQL over golden columns."""
+    parts = mode in PARTS
     return {
-        "passport": F.col("_id"),
+        "passport": "_id",
         "name": text("name"),
         "last_name": text("last_name"),
-        "full_name": full_name,
-        "sex": sex_scalar("sex", "sex_is_scalar", "strict" if mode == "strict" else "bulk"),
+        "full_name": build_fullname("name", "last_name") if parts else text("fullname"),
+        "sex": text(sex_scalar(mode="strict" if mode == "strict" else "bulk")),
         "email": text("email"),
         "phone": text("telfnumber"),
     }
 
 
-def has_home(mode: str = "bulk") -> Column:
+def has_home(mode: str = "bulk") -> str:
     if mode in PARTS:
         return filled("address")
-    return filled("address") | filled("city") | filled("IPv4")
+    return f"({filled('address')} OR {filled('city')} OR {filled('IPv4')})"
 
 
-def has_work_address(mode: str = "bulk") -> Column:
+def has_work_address(mode: str = "bulk") -> str:
     """Tested on the raw street: one of line breaks only still counts."""
-    if mode in PARTS:
-        return filled("`company address`") & filled("city")
-    return filled("`company address`")
+    return f"({filled(_STREET)} AND {filled('city')})" if mode in PARTS else filled(_STREET)
 
 
-def home_columns(mode: str = "bulk") -> dict[str, Column]:
+def home_columns(mode: str = "bulk") -> dict[str, str]:
     if mode in PARTS:
         return {
             "street_name": text("address"),
-            "city": F.coalesce("city", F.lit(UNKNOWN_CITY)),
-            "ip_address": F.when(filled("IPv4"), F.col("IPv4")).otherwise(NO_IP),
+            "city": f"coalesce(city, '{UNKNOWN_CITY}')",
+            "ip_address": f"CASE WHEN {filled('IPv4')} THEN IPv4 ELSE '{NO_IP}' END",
         }
     return {
         "street_name": clean_street("address"),
@@ -73,37 +70,28 @@ def home_columns(mode: str = "bulk") -> dict[str, Column]:
     }
 
 
-def work_address_columns(mode: str = "bulk") -> dict[str, Column]:
+def work_address_columns(mode: str = "bulk") -> dict[str, str]:
     if mode in PARTS:
-        return {
-            "street_name": text("`company address`"),
-            "city": text("city"),
-            "ip_address": F.lit(NO_IP),
-        }
-    return {
-        "street_name": clean_street("`company address`"),
-        "city": F.lit(""),
-        "ip_address": F.lit(""),
-    }
+        return {"street_name": text(_STREET), "city": text("city"), "ip_address": f"'{NO_IP}'"}
+    return {"street_name": clean_street(_STREET), "city": "''", "ip_address": "''"}
 
 
-def has_bank() -> Column:
-    return filled("IBAN") | filled("salary")
+def has_bank() -> str:
+    return f"({filled('IBAN')} OR {filled('salary')})"
 
 
-def bank_columns() -> dict[str, Column]:
+def bank_columns() -> dict[str, str]:
     return {"iban": text("IBAN"), "salary": text("salary")}
 
 
-def has_work(mode: str = "bulk") -> Column:
+def has_work(mode: str = "bulk") -> str:
     if mode in PARTS:
         return filled("company")
-    return filled("company") | filled("job") | filled("company_telfnumber") | filled(
-        "company_email"
-    )
+    fields = ("company", "job", "company_telfnumber", "company_email")
+    return f"({' OR '.join(filled(f) for f in fields)})"
 
 
-def work_columns() -> dict[str, Column]:
+def work_columns() -> dict[str, str]:
     return {
         "company": text("company"),
         "position": text("job"),
@@ -112,54 +100,48 @@ def work_columns() -> dict[str, Column]:
     }
 
 
-def aliased(columns: dict[str, Column]) -> list[Column]:
-    return [c.alias(name) for name, c in columns.items()]
+def aliased(columns: dict[str, str]) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in columns.items()]
 
 
 def person_projection(golden: DataFrame, mode: str = "bulk") -> DataFrame:
-    return golden.select(*aliased(person_columns(mode)))
+    return golden.selectExpr(*aliased(person_columns(mode)))
 
 
 def home_address_projection(golden: DataFrame, mode: str = "bulk") -> DataFrame:
-    return golden.filter(has_home(mode)).select(
-        F.col("_id").alias("passport"), F.lit(HOME).alias("type"), *aliased(home_columns(mode))
+    return golden.filter(has_home(mode)).selectExpr(
+        "_id AS passport", f"'{HOME}' AS type", *aliased(home_columns(mode))
     )
 
 
 def work_address_projection(golden: DataFrame, mode: str = "bulk") -> DataFrame:
-    return golden.filter(has_work_address(mode)).select(
-        F.col("_id").alias("passport"),
-        F.lit(WORK).alias("type"),
-        *aliased(work_address_columns(mode)),
+    return golden.filter(has_work_address(mode)).selectExpr(
+        "_id AS passport", f"'{WORK}' AS type", *aliased(work_address_columns(mode))
     )
 
 
 def address_union(golden: DataFrame, mode: str = "bulk") -> DataFrame:
+    """Home and work rows, without duplicates removed."""
     return home_address_projection(golden, mode).unionByName(
         work_address_projection(golden, mode)
     )
 
 
 def bank_projection(golden: DataFrame) -> DataFrame:
-    return golden.filter(has_bank()).select(
-        F.col("_id").alias("passport"), *aliased(bank_columns())
-    )
+    return golden.filter(has_bank()).selectExpr("_id AS passport", *aliased(bank_columns()))
 
 
 def work_projection(golden: DataFrame, mode: str = "bulk") -> DataFrame:
-    return golden.filter(has_work(mode)).select(
-        F.col("_id").alias("passport"), *aliased(work_columns())
-    )
-
-
-def strict_reason() -> Column:
-    """Why the strict rules refuse a record; null for a good one."""
-    return (
-        F.when(~filled("_id"), "missing_passport")
-        .when(~filled("name") | ~filled("last_name"), "missing_name")
-        .when(~filled(sex_scalar("sex", "sex_is_scalar", "strict")), "missing_sex")
-    )
+    return golden.filter(has_work(mode)).selectExpr("_id AS passport", *aliased(work_columns()))
 
 
 def strict_row_validation(golden: DataFrame) -> DataFrame:
-    return golden.withColumn("reject_reason", strict_reason())
+    """Add ``reject_reason``: why the strict rules refuse a record; null for a good one."""
+    return golden.withColumn(
+        "reject_reason",
+        F.expr(
+            f"CASE WHEN NOT {filled('_id')} THEN 'missing_passport'"
+            f" WHEN NOT {filled('name')} OR NOT {filled('last_name')} THEN 'missing_name'"
+            f" WHEN NOT {filled(sex_scalar(mode='strict'))} THEN 'missing_sex' END"
+        ),
+    )

@@ -16,20 +16,18 @@ BUCKET_DIGITS = 4
 
 
 def running_ids(
-    df: DataFrame, key: str, counts: dict[str, Column], tie_break: tuple[str, ...] = ()
+    df: DataFrame, key: str, counts: dict[str, str], tie_break: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Add one bigint column per entry of ``counts``: the running total of that count
-    over the whole of ``df`` in MD5 order, the row itself included.
+    """Add one bigint column per entry of ``counts`` (name -> SQL of a number): the running
+    total over the whole of ``df`` in MD5 order, the row itself included.
 
     All counters share one shuffle.
     """
-    md5 = F.md5(F.col(key).cast("binary"))
-    counted = df.select(
+    counted = df.selectExpr(
         "*",
-        md5.alias("_md5"),
-        F.substring(md5, 1, BUCKET_DIGITS).alias("_bucket"),
-        *[c.cast("bigint").alias(f"_n_{name}") for name, c in counts.items()],
-    )
+        f"md5(CAST({key} AS binary)) AS _md5",
+        *[f"CAST({sql} AS bigint) AS _n_{name}" for name, sql in counts.items()],
+    ).selectExpr("*", f"substring(_md5, 1, {BUCKET_DIGITS}) AS _bucket")
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # At most 65,536 rows, whatever the size of df: one task and a broadcast are safe.
     offsets = (
@@ -51,9 +49,8 @@ def running_ids(
     ranked = counted.select(
         "*", *[F.sum(f"_n_{name}").over(so_far).alias(f"_r_{name}") for name in counts]
     )
-    return ranked.join(F.broadcast(offsets), "_bucket").select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        *[(F.col(f"_o_{name}") + F.col(f"_r_{name}")).alias(name) for name in counts],
+    return ranked.join(F.broadcast(offsets), "_bucket").selectExpr(
+        *[f"`{c}`" for c in df.columns], *[f"_o_{name} + _r_{name} AS {name}" for name in counts]
     )
 
 
@@ -71,5 +68,5 @@ def assign_surrogate_ids(
 ) -> DataFrame:
     """Number the rows ``base + 1 .. base + n`` in MD5 order of the business key."""
     base = F.lit(base) if isinstance(base, int) else base
-    numbered = running_ids(df, key, {id_column: F.lit(1)}, tie_break)
+    numbered = running_ids(df, key, {id_column: "1"}, tie_break)
     return numbered.withColumn(id_column, F.col(id_column) + base)

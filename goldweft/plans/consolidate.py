@@ -18,7 +18,7 @@ def link(latest: DataFrame, complete_only: bool = True) -> DataFrame:
     """Complete identities (or all passports) with everything linked to them."""
     people = L.by_passport(latest)
     if complete_only:
-        people = people.filter(K.complete_identity())
+        people = people.filter(K.COMPLETE_IDENTITY)
     named = K.link_names(people, L.by_fullname(latest))
     return K.link_addresses(named, L.by_address(latest))
 
@@ -40,4 +40,4 @@ def consolidate(
 
 def unmatched(latest: DataFrame) -> DataFrame:
     """Passports without a complete identity, bank data without a person included."""
-    return L.by_passport(latest).filter(~K.complete_identity())
+    return L.by_passport(latest).filter(f"NOT {K.COMPLETE_IDENTITY}")

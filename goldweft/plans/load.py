@@ -50,50 +50,47 @@ def build_tables(
         k: F.lit(v) if isinstance(v, int) else v
         for k, v in (_bases(existing) if bases is None else bases).items()
     }
-    home = R.has_home(mode).cast("bigint")
-    work = R.has_work_address(mode).cast("bigint")
+    home, work_address = R.has_home(mode), R.has_work_address(mode)
+    bank, work = R.has_bank(), R.has_work(mode)
+
+    def row(when: str, *columns: str) -> str:
+        return f"CASE WHEN {when} THEN struct({', '.join(columns)}) END"
+
     numbered = running_ids(
         golden,
         "_id",
         {
-            "person_no": F.lit(1),
-            "bank_no": R.has_bank().cast("bigint"),
-            "work_no": R.has_work(mode).cast("bigint"),
-            "address_no": home + work,
+            "person_no": "1",
+            "bank_no": bank,
+            "work_no": work,
+            "address_no": f"CAST({home} AS int) + CAST({work_address} AS int)",
         },
     )
+    # Home comes before work, so it has the smaller of two address ids.
+    home_no = f"address_no - CAST({work_address} AS int)"
+    shifted = numbered.select(
+        "*", *[base[t].cast("bigint").alias(f"{t}_base") for t in base]
+    )
     staged = materialize(
-        numbered.select(
-            (base["person"] + F.col("person_no")).alias("person_id"),
-            F.struct(*R.aliased(R.person_columns(mode))).alias("person"),
-            F.when(
-                R.has_bank(),
-                F.struct(
-                    (base["bank"] + F.col("bank_no")).alias("id"), *R.aliased(R.bank_columns())
-                ),
-            ).alias("bank"),
-            F.when(
-                R.has_work(mode),
-                F.struct(
-                    (base["work"] + F.col("work_no")).alias("id"), *R.aliased(R.work_columns())
-                ),
-            ).alias("work"),
-            F.when(
-                R.has_home(mode),
-                F.struct(
-                    (base["address"] + F.col("address_no") - work).alias("id"),
-                    F.lit(R.HOME).alias("type"),
-                    *R.aliased(R.home_columns(mode)),
-                ),
-            ).alias("home"),
-            F.when(
-                R.has_work_address(mode),
-                F.struct(
-                    (base["address"] + F.col("address_no")).alias("id"),
-                    F.lit(R.WORK).alias("type"),
-                    *R.aliased(R.work_address_columns(mode)),
-                ),
-            ).alias("work_address"),
+        shifted.selectExpr(
+            "person_base + person_no AS person_id",
+            f"struct({', '.join(R.aliased(R.person_columns(mode)))}) AS person",
+            row(bank, "bank_base + bank_no AS id", *R.aliased(R.bank_columns())) + " AS bank",
+            row(work, "work_base + work_no AS id", *R.aliased(R.work_columns())) + " AS work",
+            row(
+                home,
+                f"address_base + {home_no} AS id",
+                f"'{R.HOME}' AS type",
+                *R.aliased(R.home_columns(mode)),
+            )
+            + " AS home",
+            row(
+                work_address,
+                "address_base + address_no AS id",
+                f"'{R.WORK}' AS type",
+                *R.aliased(R.work_address_columns(mode)),
+            )
+            + " AS work_address",
         ),
         "numbered",
     )

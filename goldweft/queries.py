@@ -44,20 +44,21 @@ def query(fn: Query) -> Query:
 
 def flat_golden(golden: DataFrame, *extra: str) -> DataFrame:
     """The 20 golden fields with lists as joined text, for comparison."""
-    cols = []
-    for f in S.GOLDEN.fieldNames()[:20]:
-        c = F.col(f"`{f}`")
-        cols.append((F.array_join(c, ",") if f in ("data_sources", "sex") else c).alias(f))
-    return golden.select(*cols, *extra)
+    cols = [
+        f"array_join({f}, ',') AS {f}" if f in ("data_sources", "sex") else f"`{f}`"
+        for f in S.GOLDEN.fieldNames()[:20]
+    ]
+    return golden.selectExpr(*cols, *extra)
 
 
 # -- sources, scans, sinks --------------------------------------------------------
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = feed.read_table(spark, sf_dir, "events").schema
     return as_kafka_rows(
-        read_file_stream(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+        read_file_stream(
+            spark, sf_dir, feed.TABLES["events"], pathGlobFilter="events.parquet"
+        )
     )
 
 
@@ -205,14 +206,14 @@ def unknown_payloads(spark, sf_dir):
 @query
 def normalize_key_(spark, sf_dir):
     c = X.classified(spark, sf_dir).filter(F.col("link_value").isNotNull())
-    return c.select("seq", normalize_key("link_value").alias("normalized"))
+    return c.selectExpr("seq", f"{normalize_key('link_value')} AS normalized")
 
 
 @query
 def build_fullname_(spark, sf_dir):
     c = X.classified(spark, sf_dir).filter(F.col("shape") == S.PERSONAL)
-    full = build_fullname(F.col("doc")["name"], F.col("doc")["last_name"])
-    return c.select("seq", full.alias("fullname"), normalize_key(full).alias("fullname_key"))
+    full = build_fullname("doc.name", "doc.last_name")
+    return c.selectExpr("seq", f"{full} AS fullname", f"{normalize_key(full)} AS fullname_key")
 
 
 @query
@@ -262,17 +263,17 @@ def person_projection(spark, sf_dir):
 
 @query
 def sex_scalar(spark, sf_dir):
-    return X.candidates(spark, sf_dir).select(
+    return X.candidates(spark, sf_dir).selectExpr(
         "_id",
-        P.sex_scalar("sex", "sex_is_scalar", "bulk").alias("sex_bulk"),
-        P.sex_scalar("sex", "sex_is_scalar", "strict").alias("sex_strict"),
+        f"{P.sex_scalar(mode='bulk')} AS sex_bulk",
+        f"{P.sex_scalar(mode='strict')} AS sex_strict",
     )
 
 
 @query
 def clean_street_(spark, sf_dir):
     documents = feed.read_table(spark, sf_dir, "documents")
-    return documents.select("doc_id", clean_street("text").alias("street"))
+    return documents.selectExpr("doc_id", f"{clean_street('text')} AS street")
 
 
 @query
@@ -332,7 +333,7 @@ def link_personal_bank(spark, sf_dir):
 
 def _named(spark, sf_dir) -> DataFrame:
     base = X.latest(spark, sf_dir)
-    people = L.by_passport(base).filter(LK.complete_identity())
+    people = L.by_passport(base).filter(LK.COMPLETE_IDENTITY)
     return LK.link_names(people, L.by_fullname(base))
 
 
@@ -512,7 +513,7 @@ def pipeline_health(spark, sf_dir):
 @query
 def assign_surrogate_ids(spark, sf_dir):
     golden = X.golden(spark, sf_dir)
-    old = LD.build_tables(X.old_golden(spark, sf_dir))["person"]
+    old = U.assign_surrogate_ids(X.old_golden(spark, sf_dir).select("_id"), "_id")
     return U.assign_surrogate_ids(
         golden.select(F.col("_id").alias("passport")), "passport", base=U.max_id(old)
     )
@@ -547,7 +548,7 @@ def stream_ingest(spark, sf_dir):
     bronze, rejected = scratch_path(spark, "bronze"), scratch_path(spark, "rejected")
 
     def documents():
-        schema = feed.read_table(spark, sf_dir, "documents").schema
+        schema = feed.TABLES["documents"]
         return X.documents_as_kafka_rows(
             read_file_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet")
         )

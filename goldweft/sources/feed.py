@@ -8,98 +8,94 @@ is read whole, each of them once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Types of the given tables.  With them no job runs to look into the files.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _json(**fields) -> Column:
-    """A JSON object text; ``company_address_`` stands for the key with a blank."""
-    cols = [
-        v.alias("company address" if k == "company_address_" else k) for k, v in fields.items()
-    ]
-    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+def _message(seq: str, **fields: str) -> str:
+    """One message as SQL: ``seq`` and an object of the given fields as JSON text."""
+    pairs = ", ".join(f"'{key.replace('__', ' ')}', {sql}" for key, sql in fields.items())
+    data = f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false'))"
+    return f"named_struct('seq', {seq}, 'data', {data})"
 
 
-def _message(seq: Column, data: Column) -> Column:
-    return F.struct(seq.alias("seq"), data.alias("data"))
+# A double underscore stands for the blank in a key.
+_PERSONAL = _message(
+    "k * 10 + 1",
+    name="CASE WHEN k % 40 = 7 THEN '' ELSE mkt END",
+    last_name="concat('Fam', k % 1000)",
+    sex="array(CASE WHEN k % 2 = 0 THEN 'F' ELSE 'M' END)",
+    telfnumber="concat(c_nationkey, '-', k)",
+    passport="concat('P', k)",
+    email="concat('u', k, '@example.com')",
+)
+_LOCATION = _message(
+    "k * 10 + 2000000003",
+    fullname="concat('  ', upper(mkt), ' FAM', k % 1000, ' ')",
+    city="n_name",
+    address="concat(k % 300, ' Main St')",
+)
+_PROFESSIONAL = _message(
+    "k * 10 + 3000000004",
+    fullname="concat(mkt, ' Fam', k % 1000)",
+    company="s_name",
+    company__address="concat(s_nationkey, ' Plaza')",
+    company_telfnumber="concat('T', s_suppkey)",
+    company_email="concat('s', s_suppkey, '@example.com')",
+    job="concat('Job', k % 9)",
+)
+_NETWORK = _message(
+    "k * 10 + 4000000005",
+    address="concat(k % 300, ' MAIN ST')",
+    IPv4="concat('10.0.', k % 256, '.1')",
+)
+_ODD = """named_struct('seq', k * 10 + 5000000006, 'data', CASE k % 3
+    WHEN 0 THEN '{"foo":1}' WHEN 1 THEN '{}'
+    ELSE '{"passport":null,"IBAN":"Z","salary":"1$"}' END)"""
+_BANK = _message(
+    "o * 10 + 1000000002",
+    passport="concat(CASE WHEN o % 50 = 3 THEN 'X' ELSE 'P' END, o_custkey)",
+    IBAN="concat('XX', o)",
+    salary="concat(CAST(round(o_totalprice) AS bigint), '$')",
+)
+_PER_CUSTOMER = f"""array_compact(array({_PERSONAL},
+    CASE WHEN k % 10 <> 0 AND n_nationkey IS NOT NULL THEN {_LOCATION} END,
+    CASE WHEN k % 7 <> 0 AND s_suppkey IS NOT NULL THEN {_PROFESSIONAL} END,
+    CASE WHEN k % 5 <> 0 THEN {_NETWORK} END,
+    CASE WHEN k % 100 IN (1, 2, 3) THEN {_ODD} END))"""
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed: ``seq bigint`` (unique; the higher one wins) and ``data string``."""
-    customer = read_table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("k"), "c_nationkey", F.col("c_mktsegment").alias("mkt")
+    customer = read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k", "c_nationkey", "c_mktsegment AS mkt"
     )
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n_suppliers = supplier.groupBy().agg(F.count("*")).scalar()
-    people = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(
+    people = customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left").join(
         supplier, F.col("s_suppkey") == F.col("k") % n_suppliers, "left"
     )
-
-    k, mkt = F.col("k"), F.col("mkt")
-
-    def s(c):
-        return c.cast("string")
-
-    def cat(*parts):
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-    family = s(k % 1000)
-    street = s(k % 300)
-    personal = _json(
-        name=F.when(k % 40 == 7, "").otherwise(mkt),
-        last_name=cat("Fam", family),
-        sex=F.array(F.when(k % 2 == 0, "F").otherwise("M")),
-        telfnumber=cat(s(F.col("c_nationkey")), "-", s(k)),
-        passport=cat("P", s(k)),
-        email=cat("u", s(k), "@example.com"),
-    )
-    location = _json(
-        fullname=cat("  ", F.upper(mkt), " FAM", family, " "),
-        city=F.col("n_name"),
-        address=cat(street, " Main St"),
-    )
-    professional = _json(
-        fullname=cat(mkt, " Fam", family),
-        company=F.col("s_name"),
-        company_address_=cat(s(F.col("s_nationkey")), " Plaza"),
-        company_telfnumber=cat("T", s(F.col("s_suppkey"))),
-        company_email=cat("s", s(F.col("s_suppkey")), "@example.com"),
-        job=cat("Job", s(k % 9)),
-    )
-    network = _json(address=cat(street, " MAIN ST"), IPv4=cat("10.0.", s(k % 256), ".1"))
-    odd = (
-        F.when(k % 3 == 0, '{"foo":1}')
-        .when(k % 3 == 1, "{}")
-        .otherwise('{"passport":null,"IBAN":"Z","salary":"1$"}')
-    )
-    per_customer = F.array(
-        _message(k * 10 + 1, personal),
-        F.when(
-            (k % 10 != 0) & F.col("n_nationkey").isNotNull(),
-            _message(k * 10 + 2_000_000_003, location),
-        ),
-        F.when(
-            (k % 7 != 0) & F.col("s_suppkey").isNotNull(),
-            _message(k * 10 + 3_000_000_004, professional),
-        ),
-        F.when(k % 5 != 0, _message(k * 10 + 4_000_000_005, network)),
-        F.when((k % 100).isin(1, 2, 3), _message(k * 10 + 5_000_000_006, odd)),
-    )
-    o, who = F.col("o"), s(F.col("o_custkey"))
-    bank = _json(
-        passport=F.when(o % 50 == 3, cat("X", who)).otherwise(cat("P", who)),
-        IBAN=cat("XX", s(o)),
-        salary=cat(s(F.round("o_totalprice").cast("bigint")), "$"),
-    )
-    per_order = F.array(_message(o * 10 + 1_000_000_002, bank))
-    orders = read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("o"), "o_custkey", "o_totalprice"
+    orders = read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS o", "o_custkey", "o_totalprice"
     )
-    return people.unionByName(orders, allowMissingColumns=True).select(
-        F.inline(F.when(o.isNotNull(), per_order).otherwise(F.array_compact(per_customer)))
+    return people.unionByName(orders, allowMissingColumns=True).selectExpr(
+        f"inline(CASE WHEN o IS NOT NULL THEN array({_BANK}) ELSE {_PER_CUSTOMER} END)"
     )
