@@ -106,23 +106,17 @@ def feed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("key"),
         ).alias("kafka_metadata"),
         "data",
-        F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("inserted_at"),
+        F.expr("TIMESTAMP '2024-01-01 00:00:00Z' AS inserted_at"),
     )
 
 
 def relational(spark: SparkSession, sf_dir: str, all_banks: bool = False) -> dict[str, DataFrame]:
     """Tables of all golden records; with ``all_banks`` one bank row per bank message."""
-    base = latest(spark, sf_dir)
-    tables = build_tables(E.golden_of(base, stamp()))
+    tables = build_tables(materialize(golden(spark, sf_dir), "golden"))
     if all_banks:
-        messages_ = classified(spark, sf_dir).filter(
-            (F.col("shape") == S.BANK) & F.col("link_key").isNotNull()
-        )
-        rows = messages_.select(
-            F.col("link_key").alias("passport"),
-            "seq",
-            F.col("doc")["IBAN"].alias("iban"),
-            F.col("doc")["salary"].alias("salary"),
+        keyed = classified(spark, sf_dir).filter(f"shape = '{S.BANK}' AND link_key IS NOT NULL")
+        rows = keyed.selectExpr(
+            "link_key AS passport", "seq", "doc.IBAN AS iban", "doc.salary AS salary"
         )
         banks = K.resolve_person_fk(rows, tables["person"])
         numbered = U.assign_surrogate_ids(materialize(banks, "banks"), "passport", ("seq",))

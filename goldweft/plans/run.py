@@ -45,9 +45,8 @@ def run_batch(
     latest = L.latest_by_key(classified)
     new = materialize(E.golden_of(latest, consolidated_at), "golden")
     unmatched = E.unmatched(latest)
-    current = store.golden()
 
-    stats = M.consolidation_stats(classified, unmatched, new, current)
+    stats = M.consolidation_stats(classified, unmatched, new, store.passports())
     left = C.remaining(classified)
     store.write("quarantine", batch_id, left.select("msg_id", "ord", "data", "shape"))
     if retain_unmatched:
@@ -56,10 +55,9 @@ def run_batch(
     store.write("stats", batch_id, stats)
 
     if full:
-        state = G.upsert(current, new, merge).drop("change")
+        state = G.upsert(store.golden(), new, merge).drop("change")
     elif merge == "coalesce":
-        touched = current.join(new.select("_id"), "_id", "left_semi")
-        state = G.upsert(touched, new, merge).drop("change")
+        state = G.upsert(store.golden(of=new), new, merge).drop("change")
     else:
         state = new
     state = materialize(state, "state")

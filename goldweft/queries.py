@@ -102,14 +102,14 @@ def bronze_scan(spark, sf_dir):
 
 @query
 def golden_pending_scan(spark, sf_dir):
-    golden = materialize(X.golden(spark, sf_dir), "golden")
+    golden = _golden(spark, sf_dir)
     return flat_golden(G.pending(golden))
 
 
 def _golden_json(spark, sf_dir) -> DataFrame:
     """Golden records through JSON files of 1,000 records each."""
     fields = [f for f in S.GOLDEN.fieldNames()[:20] if f not in ("consolidated_at",)]
-    numbered = U.assign_surrogate_ids(X.golden(spark, sf_dir), "_id")
+    numbered = U.assign_surrogate_ids(_golden(spark, sf_dir), "_id")
     path = scratch_path(spark, "golden-json")
     record = F.struct(*[F.col(f"`{f}`") for f in fields])
     # A group is at most 1,000 records: the ids are dense.
@@ -139,7 +139,7 @@ def golden_upsert_coalesce(spark, sf_dir):
 
 @query
 def load_tables(spark, sf_dir):
-    tables = LD.load_bulk(X.golden(spark, sf_dir)).tables
+    tables = LD.load_bulk(_golden(spark, sf_dir)).tables
     stored = {name: materialize(rows, name) for name, rows in tables.items()}
     counts = M.table_counts(stored)
     links = stored["person_address"].groupBy().agg(F.count("*").alias("links"))
@@ -148,7 +148,7 @@ def load_tables(spark, sf_dir):
 
 @query
 def table_scan(spark, sf_dir):
-    return materialize(LD.load_bulk(X.golden(spark, sf_dir)).tables["person"], "person")
+    return materialize(LD.load_bulk(_golden(spark, sf_dir)).tables["person"], "person")
 
 
 @query
@@ -173,7 +173,7 @@ def bronze_remaining_retained(spark, sf_dir):
 
 @query
 def mark_uploaded(spark, sf_dir):
-    golden = X.golden(spark, sf_dir)
+    golden = _golden(spark, sf_dir)
     return G.mark_uploaded(golden, G.pending(golden).select("_id")).select(
         "_id", "n_sources", "uploaded_2_SQL"
     )
@@ -373,11 +373,16 @@ def _bank_messages(spark, sf_dir) -> DataFrame:
 
 def _persons_twice(spark, sf_dir) -> DataFrame:
     """PERSON after two appending loads: passports of both have two ids."""
-    first = LD.build_tables(X.old_golden(spark, sf_dir))["person"]
-    both = LD.build_tables(X.golden(spark, sf_dir), {**_none(spark), "person": first})["person"]
+    first = LD.build_tables(materialize(X.old_golden(spark, sf_dir), "golden"))["person"]
+    both = LD.build_tables(_golden(spark, sf_dir), {**_none(spark), "person": first})["person"]
     return first.unionByName(both)
 
 
+def _golden(spark, sf_dir) -> DataFrame:
+    """Golden records as a table, as a load finds them."""
+    return materialize(X.golden(spark, sf_dir), "golden")
+
+
 def _none(spark) -> dict[str, DataFrame]:
     return LD.empty_tables(spark)
 
@@ -390,13 +395,13 @@ def resolve_person_fk(spark, sf_dir):
 
 @query
 def unresolved_persons(spark, sf_dir):
-    persons = LD.build_tables(X.golden(spark, sf_dir))["person"]
+    persons = LD.build_tables(_golden(spark, sf_dir))["person"]
     return K.unresolved_persons(_bank_messages(spark, sf_dir), persons)
 
 
 @query
 def resolve_address_fk(spark, sf_dir):
-    golden = materialize(X.golden(spark, sf_dir), "golden")
+    golden = _golden(spark, sf_dir)
     addresses = U.assign_surrogate_ids(R.address_union(golden), "passport", ("type",))
     persons = U.assign_surrogate_ids(R.person_projection(golden), "passport")
     return K.resolve_address_fk(
@@ -503,7 +508,7 @@ def pending_gate(spark, sf_dir):
 
 @query
 def pipeline_health(spark, sf_dir):
-    as_of = F.to_timestamp(F.lit("2024-03-01 00:00:00"))
+    as_of = F.expr("TIMESTAMP '2024-03-01 00:00:00Z'")
     return M.pipeline_health(X.event_bronze(spark, sf_dir), as_of)
 
 
@@ -512,7 +517,7 @@ def pipeline_health(spark, sf_dir):
 
 @query
 def assign_surrogate_ids(spark, sf_dir):
-    golden = X.golden(spark, sf_dir)
+    golden = _golden(spark, sf_dir)
     old = U.assign_surrogate_ids(X.old_golden(spark, sf_dir).select("_id"), "_id")
     return U.assign_surrogate_ids(
         golden.select(F.col("_id").alias("passport")), "passport", base=U.max_id(old)
@@ -536,7 +541,7 @@ def address_union(spark, sf_dir):
 
 @query
 def person_address_union(spark, sf_dir):
-    return LD.build_tables(X.golden(spark, sf_dir))["person_address"]
+    return LD.build_tables(_golden(spark, sf_dir))["person_address"]
 
 
 # -- streaming -------------------------------------------------------------------
@@ -619,14 +624,14 @@ def consolidate(spark, sf_dir):
 
 def _bulk_table(name: str) -> Query:
     def run(spark, sf_dir):
-        return LD.load_bulk(X.golden(spark, sf_dir)).tables[name]
+        return LD.load_bulk(_golden(spark, sf_dir)).tables[name]
 
     return run
 
 
 def _strict(spark, sf_dir) -> LD.Load:
-    existing = LD.build_tables(X.old_golden(spark, sf_dir))
-    return LD.load_strict(X.golden(spark, sf_dir), existing)
+    existing = LD.build_tables(materialize(X.old_golden(spark, sf_dir), "golden"))
+    return LD.load_strict(_golden(spark, sf_dir), existing)
 
 
 def _strict_table(name: str) -> Query:
@@ -643,21 +648,21 @@ for _name in S.TABLES:
 
 @query
 def load_bulk_skip_existing(spark, sf_dir):
-    existing = LD.build_tables(X.old_golden(spark, sf_dir))
-    load = LD.load_bulk(X.golden(spark, sf_dir), existing, on_existing="skip")
+    existing = LD.build_tables(materialize(X.old_golden(spark, sf_dir), "golden"))
+    load = LD.load_bulk(_golden(spark, sf_dir), existing, on_existing="skip")
     return load.tables["person"]
 
 
 @query
 def load_json(spark, sf_dir):
-    person = LD.build_tables(X.old_golden(spark, sf_dir))["person"]
+    person = LD.build_tables(materialize(X.old_golden(spark, sf_dir), "golden"))["person"]
     existing = {**_none(spark), "person": person}
     return LD.load_json(_golden_json(spark, sf_dir), existing).tables["person"]
 
 
 @query
 def load_json_summary(spark, sf_dir):
-    person = LD.build_tables(X.old_golden(spark, sf_dir))["person"]
+    person = LD.build_tables(materialize(X.old_golden(spark, sf_dir), "golden"))["person"]
     existing = {**_none(spark), "person": person}
     return LD.load_json(_golden_json(spark, sf_dir), existing).outcomes
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from goldweft import schemas as S
 
+#: Zone-less event times are UTC, whatever the session's time zone.
+_UTC = "timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts))"
+
 
 def read_topic_stream(
     spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, **options
@@ -49,7 +52,7 @@ def as_kafka_rows(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.expr(f"{_UTC} AS timestamp"),
     )
 
 

@@ -71,16 +71,27 @@ class Store:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in S.TABLES}
 
-    def golden(self) -> DataFrame:
-        """Current golden records."""
+    def _golden_rows(self, *columns: str) -> DataFrame:
         last = self.last_commit()
         rows = self.read("golden", S.GOLDEN, since=None if last is None else last.base)
-        fields = F.struct(*[F.col(f"`{c}`") for c in S.GOLDEN.fieldNames()])
+        return rows.select(*columns) if columns else rows
+
+    def golden(self, of: DataFrame | None = None) -> DataFrame:
+        """Current golden records; with ``of`` only those whose ``_id`` is in it, picked
+        before anything else is shuffled or compared."""
+        rows = self._golden_rows()
+        if of is not None:
+            rows = rows.join(of.select("_id"), "_id", "left_semi")
+        fields = F.struct(*[f"`{c}`" for c in S.GOLDEN.fieldNames()])
         newest = rows.groupBy(F.col("_id").alias("passport")).agg(
             F.max_by(fields, "batch_id").alias("row")
         )
         return newest.select("row.*")
 
+    def passports(self) -> DataFrame:
+        """``_id`` of every golden record; reads no other column."""
+        return self._golden_rows("_id").distinct()
+
     def last_ids(self) -> dict[str, int]:
         """Greatest surrogate id per table so far."""
         last = self.last_commit()
