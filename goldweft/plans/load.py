@@ -40,6 +40,7 @@ def build_tables(
     existing: dict[str, DataFrame] | None = None,
     mode: str = "bulk",
     bases: dict[str, Column | int] | None = None,
+    staging: str | None = None,
 ) -> dict[str, DataFrame]:
     """All five tables of the given records (unique ``_id``), ids after the existing ones.
 
@@ -93,6 +94,7 @@ def build_tables(
             + " AS work_address",
         ),
         "numbered",
+        staging,
     )
     addresses = staged.select(
         "person_id", F.inline(F.array_compact(F.array("home", "work_address")))
@@ -121,6 +123,7 @@ def load_bulk(
     existing: dict[str, DataFrame] | None = None,
     on_existing: str = "append",
     bases: dict[str, Column | int] | None = None,
+    staging: str | None = None,
 ) -> Load:
     """Load complete records that are not uploaded yet.
 
@@ -138,7 +141,7 @@ def load_bulk(
         judged = waiting.select(
             F.when(F.col("_id").isNull(), "skipped").otherwise("processed").alias("outcome")
         )
-    tables = build_tables(good, existing, "bulk", bases)
+    tables = build_tables(good, existing, "bulk", bases, staging)
     return Load(tables, good.select("_id"), _outcomes(judged))
 
 

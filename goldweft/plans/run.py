@@ -37,13 +37,14 @@ def run_batch(
     """
     if store.is_committed(batch_id):
         return
+    staging = f"{store.path}/staging/{batch_id % 2}"
     messages = C.bronze_messages(bronze)
     if retain_unmatched:
         messages = messages.unionByName(_carried(store))
     # Parsed once; every later step reads only the columns it needs of this table.
-    classified = materialize(C.classify(messages), "classified")
+    classified = materialize(C.classify(messages), "classified", staging)
     latest = L.latest_by_key(classified)
-    new = materialize(E.golden_of(latest, consolidated_at), "golden")
+    new = materialize(E.golden_of(latest, consolidated_at), "golden", staging)
     unmatched = E.unmatched(latest)
 
     stats = M.consolidation_stats(classified, unmatched, new, store.passports())
@@ -60,12 +61,12 @@ def run_batch(
         state = G.upsert(store.golden(of=new), new, merge).drop("change")
     else:
         state = new
-    state = materialize(state, "state")
+    state = materialize(state, "state", staging)
 
     last = store.last_ids()
     existing = store.tables() if on_existing == "skip" else None
     bases = {t: last.get(t, 0) for t in _ID_TABLES}
-    load = load_bulk(state, existing, on_existing, bases)
+    load = load_bulk(state, existing, on_existing, bases, staging)
     for name, rows in load.tables.items():
         store.write(f"tables/{name}", batch_id, rows)
     # Records that were pending are in the tables now, or were there already.

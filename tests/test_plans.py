@@ -109,3 +109,39 @@ def test_hot_bank_owner_is_split(spark, skew):
     df = dump_bank({"person": person, "bank": bank})
     assert "skew=true" in final_plan(df)
     assert df.count() == 9000 + 1000 and df.filter("bank_iban IS NULL").count() == 1000
+
+
+def test_hot_bank_owner_in_the_whole_flat_data_set(spark, skew):
+    from goldweft.operators.dump import flat_person_dataset
+
+    person = spark.range(500).selectExpr(
+        "id", "concat('P', id) AS passport", "'' AS name", "'' AS last_name", "'' AS full_name",
+        "'' AS sex", "'' AS email", "'' AS phone",
+    )
+    bank = spark.range(9000).repartition(8).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7L ELSE id % 400 END AS person_id",
+        "concat(uuid(), uuid()) AS iban", "'1$' AS salary",
+    )
+    work = spark.range(500).selectExpr(
+        "id", "id AS person_id", "'c' AS company", "'p' AS position", "'' AS phone", "'' AS email"
+    )
+    address = spark.range(500).selectExpr(
+        "id", "'s' AS street_name", "'t' AS city", "'' AS ip_address"
+    )
+    links = spark.range(500).selectExpr("id AS address_id", "id AS person_id", "'Home' AS type")
+    df = flat_person_dataset(
+        {"person": person, "bank": bank, "work": work, "address": address, "person_address": links}
+    )
+    assert "skew=true" in final_plan(df)
+    assert df.count() == 9000 + 100 and df.filter("bank_iban IS NULL").count() == 100
+    assert df.filter("person_passport = 'P7' AND home_city = 't'").count() >= 3000
+
+
+def test_bucketed_golden_is_not_shuffled_by_an_upsert(spark, skew, tmp_path):
+    golden = materialize(fixture_golden(spark, SF), "golden")
+    writer = golden.write.bucketBy(8, "_id").sortBy("_id").option("path", str(tmp_path / "g"))
+    writer.saveAsTable("bucketed_golden")
+    df = G.upsert(spark.table("bucketed_golden"), golden.filter("city > 'NATION_2'"))
+    assert final_plan(df).count("Exchange hashpartitioning") == 1
+    assert df.count() == golden.count()
+    spark.sql("DROP TABLE bucketed_golden")
