@@ -17,3 +17,22 @@ WITH v AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
+
+ORACLES["op9_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 19)) AS p FROM d WHERE len(ws) >= 20),
+s AS (SELECT doc_id, p, array_to_string(ws[p:p + 19], ' ') AS s FROM p),
+r AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS r FROM s),
+gone AS (SELECT DISTINCT doc_id, p + k AS i FROM r, range(20) t(k) WHERE r > 1),
+w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+k AS (
+  SELECT w.doc_id, count(*) AS n_words, count(gone.i) AS n_removed,
+         coalesce(string_agg(w.w, ' ' ORDER BY w.i) FILTER (WHERE gone.i IS NULL), '') AS kept
+  FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.i = w.i GROUP BY w.doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""

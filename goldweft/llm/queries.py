@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from goldweft.llm import licences, quality, token_counts, topk_search
+from goldweft.llm import licences, mixing, quality, substring_dedup, token_counts, topk_search
 from goldweft.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,17 @@ def op4_topk_search(spark, sf_dir):
     return topk_search.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+@_query
+def op5_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents"), F.array("source"))
+
+
 @_query
 def op6_licence_scan(spark, sf_dir):
     return licences.scan(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2(F.col("kept"), 256)).drop("kept")
