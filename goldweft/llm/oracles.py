@@ -36,3 +36,27 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
+
+#: Distinct shingles of five words; a shorter text is one shingle.
+_SHINGLES = r"""
+d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS ws FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p:p + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, least(len(ws), 1)))) AS p FROM d)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
+"""
+
+ORACLES["op8_ngram_join"] = f"""
+WITH RECURSIVE {_SHINGLES},
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
+FROM d JOIN m ON m.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweft.llm import licences, mixing, quality, substring_dedup, token_counts, topk_search
+from goldweft.llm import licences, mixing, ngram_join, quality, substring_dedup, token_counts, topk_search
 from goldweft.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op6_licence_scan(spark, sf_dir):
     return licences.scan(read(spark, sf_dir, "documents"))
 
 
+@_query
+def op8_ngram_join(spark, sf_dir):
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_substring_dedup(spark, sf_dir):
     kept = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))

@@ -162,29 +162,13 @@ def _windows(n: int):
                     found.append((keys[near] | np.uint64(1), np.full(len(near), doc), near.astype(np.int32)))
         empty = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32))
         keys, ids, places = (np.concatenate(c) for c in zip(*[empty, *found]))
-        later = _later(keys, ids, places)
-        out = []
-        if (~later).any():
-            first = ~later
-            out.append(_pack(keys[first] >> np.uint64(1), n, hashes=keys[first], docs=ids[first], places=places[first]))
-        if later.any():
-            zero = np.zeros(int(later.sum()), np.uint64)
-            out.append(_pack(keys[later] >> np.uint64(1), n, hashes=zero, docs=ids[later], places=places[later]))
-        return pa.Table.from_batches(out, schema=_EMPTY.schema) if out else _EMPTY
+        bucket = keys >> np.uint64(1)
+        keys[_later(keys, ids, places)] = 0
+        return pa.Table.from_batches([_pack(bucket, n, hashes=keys, docs=ids, places=places)])
 
     return run
 
 
-_EMPTY = pa.table(
-    {
-        "bucket": pa.array([], pa.int32()),
-        "hashes": pa.array([], pa.binary()),
-        "docs": pa.array([], pa.binary()),
-        "places": pa.array([], pa.binary()),
-    }
-)
-
-
 def _later(keys: np.ndarray, docs: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Which windows have an equal one at an earlier (document, place)."""
     order = np.lexsort((places, docs, keys))
@@ -245,7 +229,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Rows without a key are left as they are.  Rows that share a key are one place: none of
     them is earlier than the other.  Other columns are left out; an empty table gives no rows.
     """
-    n = 2 * tasks(docs.sparkSession)
+    n = tasks(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     known = rows.filter(F.col("doc").isNotNull())
     anchors = known.mapInArrow(_anchors(n), _PACK)
