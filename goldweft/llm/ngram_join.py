@@ -42,9 +42,9 @@ LOOK, COMMON = 8, 1 / 400
 #: Deals that are tried; the last also indexes empty segments.
 DEALS = 12
 #: What a pair of sets that share a fifth of their shingles weighs against an index entry.
-PAIR_COST = 400
+PAIR_COST = 1000
 #: Groups of at most so many sets are paired in full at once, larger ones step by step.
-SMALL_GROUP = 6
+SMALL_GROUP = 8
 
 
 def links(inter: int, a: int, b: int) -> bool:
@@ -80,14 +80,16 @@ def allocate(low: int, top: int) -> tuple[int, int]:
     make up for segments that stay empty (plain) or hold one shingle (loose).
     """
     h, size = difference(top), (low + top) / 2
+    if h == 0:  # only equal sets link
+        return 1, 0
     best = None
     for part in (0.0, 0.5, 1.0):
         k = int(part * (h + 2) / 2)
         m = max(h + 1 - 2 * k, 0)
-        for _ in range(200):  # segments to spare change the mean size and so the number needed
+        for _ in range(400):  # segments to spare change the mean size and so the number needed
             s = size / (m + k) if m + k else 0
             empty = m * np.exp(-s) + 2 * k * np.exp(-s) * (1 + s)
-            need = h + 1 + 1.3 * empty + (2 if h > 3 else 0)
+            need = h + 1 + (1.3 * empty + 3 + m // 50 if h > 3 else int(1.3 * empty))
             if m + 2 * k >= need:
                 break
             m, k = (m + 1 + m // 50, k) if k == 0 else (m, k + 1 + k // 50)
@@ -98,6 +100,8 @@ def allocate(low: int, top: int) -> tuple[int, int]:
         chance = m * (np.exp(-0.8 * s) - np.exp(-s)) ** 2 + k * (
             (np.exp(-0.8 * s) - np.exp(-s)) * (1 + s)
         ) ** 2
+        if m + k == 1:
+            chance = 0  # the whole set, but for one shingle
         cost = entries + PAIR_COST * chance
         if best is None or cost < best[0]:
             best = (cost, m, k)
@@ -141,8 +145,9 @@ class Index:
         self.tops, self.plain, self.loose = np.array(tops), np.array(plain), np.array(loose)
         self.h = np.array([difference(t) for t in tops])
 
-    def entries(self, keys: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all entries of the sets, and which set each belongs to."""
+    def entries(self, keys: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of all entries of the sets: hash, set, index (scheme and deal), allowance, and by
+        how much the set's allowances in that index exceed what they must add up to."""
         n = np.diff(ends)
         sets = np.repeat(np.arange(len(n)), n)
         cold = np.ones(len(keys), bool)
@@ -160,7 +165,7 @@ class Index:
                 if short.any():
                     short &= ~self._make(out, keys, sets, every if deal else cold, short, scheme, deal)
         if not out:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
+            return (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 4)
         return tuple(np.concatenate(c) for c in zip(*out))
 
     def _make(self, out, keys, sets, take, use, scheme, deal) -> np.ndarray:
@@ -187,14 +192,23 @@ class Index:
         is_loose = place >= plain[owner]
         salt = mix((scheme[number][owner] * 64 + deal).astype(np.uint64) + (place.astype(np.uint64) << np.uint64(16)))
         useful = np.where(is_loose, np.where(size >= 2, 2, 0), np.where(size >= 1, 1, 0))
-        enough = np.bincount(owner, useful, len(number)) >= self.h[scheme[number]] + 1
+        # So much of the allowances a set can lose and still meet every partner.
+        spare = np.bincount(owner, useful, len(number)).astype(np.int64) - self.h[scheme[number]] - 1
+        enough = spare >= 0
+        index = scheme[number] * DEALS + deal
         emit = size > 0
         if last:
             emit |= ~enough[owner]
-        out.append((mix(total[emit] ^ salt[emit]), number[owner[emit]]))
+
+
+        def add(hashes, at):
+            own = owner[at]
+            out.append((mix(hashes ^ salt[at]), number[own], index[own], 1 + is_loose[at], spare[own]))
+
+        add(total[emit], np.flatnonzero(emit))
         lone = is_loose[at] & ((size[at] >= 2) | (last & ~enough[s]))
         if lone.any():
-            out.append((mix((total[at[lone]] - spread[lone]) ^ salt[at[lone]]), number[s[lone]]))
+            add(total[at[lone]] - spread[lone], at[lone])
         found = np.zeros(len(use), bool)
         found[number[enough]] = True
         return found
@@ -238,22 +252,28 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 #: Entries that a task gathers before it passes them on.
 GATHERED = 1_500_000
 
-_PACK = "bucket int, hashes binary, nodes binary, sizes binary"
-_PAIRS = "a long, b long, hash long"
+#: An entry: hash of a segment, node and size of the set, index, allowance of the segment,
+#: and the allowances to spare of the set in that index.
+ENTRY = np.dtype(
+    [("hash", "u8"), ("node", "i8"), ("size", "i4"), ("index", "u2"), ("allowance", "u1"), ("spare", "i2")]
+)
+_PACK = "bucket int, entries binary"
+_PAIRS = "a long, b long, hash long, index int, allowance int, spare int"
 
 
 def _entries(n: int, index: Index):
     """Documents -> packed entries by bucket; equal sets count once in a task."""
 
     def emit(gathered):
-        hashes, nodes, sizes = (np.concatenate(c) for c in zip(*gathered))
-        part = (hashes % np.uint64(n)).astype(np.int64)
+        entries = np.concatenate(gathered)
+        part = (entries["hash"] % np.uint64(n)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.diff(part[order])) + 1
-        groups = np.split(order, cuts)
-        arrays = [pa.array([int(part[g[0]]) for g in groups], pa.int32())]
-        arrays += [pa.array([c[g].tobytes() for g in groups], pa.binary()) for c in (hashes, nodes, sizes)]
-        return pa.RecordBatch.from_arrays(arrays, names=["bucket", "hashes", "nodes", "sizes"])
+        entries, part = entries[order], part[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[cuts], pa.int32()), pa.array([e.tobytes() for e in np.split(entries, cuts[1:])])],
+            names=["bucket", "entries"],
+        )
 
     def run(batches):
         gathered, held, seen = [], 0, set()
@@ -267,10 +287,15 @@ def _entries(n: int, index: Index):
                     new[i] = True
             keep = np.repeat(new, np.diff(ends))
             sizes = np.where(new, np.diff(ends), 0)
-            hashes, owner = index.entries(keys[keep], np.concatenate([[0], np.cumsum(sizes)]))
+            hashes, owner, number, allowance, spare = index.entries(
+                keys[keep], np.concatenate([[0], np.cumsum(sizes)])
+            )
             if len(hashes):
-                gathered.append((hashes, nodes[owner], sizes[owner].astype(np.int32)))
-                held += len(hashes)
+                made = np.empty(len(hashes), ENTRY)
+                made["hash"], made["node"], made["size"] = hashes, nodes[owner], sizes[owner]
+                made["index"], made["allowance"], made["spare"] = number, allowance, np.minimum(spare, 30_000)
+                gathered.append(made)
+                held += len(made)
             if held > GATHERED:
                 yield emit(gathered)
                 gathered, held, seen = [], 0, set()
@@ -280,24 +305,19 @@ def _entries(n: int, index: Index):
     return run
 
 
-def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    read = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), dtype=kind)
-    return read("hashes", np.uint64), read("nodes", np.int64), read("sizes", np.int32)
-
-
 def _pair_up(table: pa.Table) -> pa.Table:
     """Entries of a bucket -> candidate pairs.
 
     Groups of up to :data:`SMALL_GROUP` sets give all pairs that sizes allow (``hash`` null).
-    Of a larger group every set is paired with the smallest node; such rows carry the
-    group's hash, for :func:`_rest` to go on with.
+    Of a larger group every set is paired with the smallest node; such rows carry what
+    :func:`_rest` needs to go on with the group.
     """
-    hashes, nodes, sizes = _unpack(table)
-    order = np.lexsort((nodes, hashes))
-    hashes, nodes, sizes = hashes[order], nodes[order], sizes[order]
+    entries = np.frombuffer(b"".join(table["entries"].to_pylist()), dtype=ENTRY)
+    order = np.lexsort((entries["node"], entries["hash"]))
+    hashes, nodes = entries["hash"][order], entries["node"][order]
     new = np.ones(len(nodes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (nodes[1:] != nodes[:-1])
-    hashes, nodes, sizes = hashes[new], nodes[new], sizes[new]
+    order, hashes, nodes = order[new], hashes[new], nodes[new]
     first = np.ones(len(nodes), bool)
     first[1:] = hashes[1:] != hashes[:-1]
     begin = np.flatnonzero(first)
@@ -310,18 +330,20 @@ def _pair_up(table: pa.Table) -> pa.Table:
         left.append(at)
         right.append(at + step)
     a, b = np.concatenate(left), np.concatenate(right)
-    near = 100 * np.minimum(sizes[a], sizes[b]).astype(np.int64) >= SIMILARITY * np.maximum(sizes[a], sizes[b])
+    size = entries["size"][order].astype(np.int64)
+    near = 100 * np.minimum(size[a], size[b]) >= SIMILARITY * np.maximum(size[a], size[b])
     pairs = np.unique(np.stack([nodes[a[near]], nodes[b[near]]]), axis=1)
     large = np.flatnonzero(group > SMALL_GROUP)
     a = np.concatenate([pairs[0], nodes[np.repeat(begin, count)[large]]])
     b = np.concatenate([pairs[1], nodes[large]])
-    mark = hashes[large].view(np.int64)
+    none = pa.nulls(len(pairs[0]), pa.int32())
+    more = {
+        c: pa.concat_arrays([none, pa.array(entries[c][order][large].astype(np.int32))])
+        for c in ("index", "allowance", "spare")
+    }
+    mark = pa.array(hashes[large].view(np.int64), pa.int64())
     return pa.table(
-        {
-            "a": pa.array(a, pa.int64()),
-            "b": pa.array(b, pa.int64()),
-            "hash": pa.concat_arrays([pa.nulls(len(pairs[0]), pa.int64()), pa.array(mark, pa.int64())]),
-        }
+        {"a": a, "b": b, "hash": pa.concat_arrays([pa.nulls(len(pairs[0]), pa.int64()), mark])} | more
     )
 
 
@@ -382,7 +404,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     wanted = pairs.filter("a <> b").select("a", "b").distinct()
     linked = stage(_verified(wanted, named, known), "linked")
-    groups = pairs.filter("hash IS NOT NULL").select("hash", F.col("b").alias("node"))
+    groups = pairs.filter("hash IS NOT NULL").withColumnRenamed("b", "node").drop("a")
     found = components(linked)
     # Large groups whose sets are not all in one component: the pairs across components.
     rest = stage(_rest(groups, found).join(wanted, ["a", "b"], "left_anti"), "rest")
@@ -405,13 +427,23 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def _rest(groups: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of large groups that lie in different components.
+    """Pairs of large groups that still have to be looked at.
 
-    Each group is reduced to its components first: a group within one component, the usual
-    case, gives nothing.
+    A set that does without its large groups and has allowances enough left meets all its
+    partners in small ones.  So only pairs of sets that both depend on large groups count,
+    and of these only pairs in different components.  A group whose sets of that kind are
+    all in one component, the usual case for many near copies, gives nothing.
     """
-    placed = groups.join(found.withColumnRenamed("component", "c"), "node", "left").withColumn(
-        "c", F.coalesce("c", "node")
+    depends = (
+        groups.groupBy("node", "index")
+        .agg(F.sum("allowance").alias("lost"), F.min("spare").alias("spare"))
+        .filter("lost > spare")
+        .select("node", "index")
+    )
+    placed = (
+        groups.join(depends, ["node", "index"])
+        .join(found.withColumnRenamed("component", "c"), "node", "left")
+        .select("hash", "node", F.coalesce("c", "node").alias("c"))
     )
     mixed = (
         placed.groupBy("hash").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("hash")

@@ -60,3 +60,29 @@ m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
 FROM d JOIN m ON m.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
+
+ORACLES["op2_line_dedup"] = r"""
+WITH t AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                  generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
+l AS (SELECT doc_id, line, place, list_filter(regexp_split_to_array(line, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS ws FROM t),
+d AS (SELECT array_to_string(ws, ' ') AS s, any_value(ws) AS ws, len(any_value(ws)) AS n,
+             min({'doc_id': doc_id, 'place': place}) AS first
+      FROM l WHERE len(ws) >= 3 GROUP BY array_to_string(ws, ' ')),
+c AS (SELECT s, ws, first, n, unnest(generate_series(1, n)) AS i FROM d WHERE n >= 8),
+replaced AS (SELECT s, first, min(first) OVER (PARTITION BY i, array_to_string(ws[:i - 1] || [chr(1)] || ws[i + 1:], ' ')) AS least FROM c),
+cut AS (SELECT c.s AS long, c.first AS long_first, d.s AS short, d.first AS short_first
+        FROM c JOIN d ON array_to_string(c.ws[:c.i - 1] || c.ws[c.i + 1:], ' ') = d.s AND d.n >= 8),
+near AS (SELECT s FROM replaced WHERE least < first UNION
+         SELECT long FROM cut WHERE short_first < long_first UNION
+         SELECT short FROM cut WHERE long_first < short_first),
+gone AS (
+  SELECT l.doc_id, l.place FROM l JOIN d ON d.s = array_to_string(l.ws, ' ')
+  WHERE d.s IN (SELECT s FROM near) OR {'doc_id': l.doc_id, 'place': l.place} > d.first
+)
+SELECT o.doc_id, coalesce(count(l.place), 0) AS n_lines, count(gone.place) AS n_removed,
+       CASE WHEN any_value(o.text) IS NOT NULL
+         THEN sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.place) FILTER (WHERE gone.place IS NULL), '')) END AS kept_sha256
+FROM documents o LEFT JOIN l ON l.doc_id = o.doc_id
+LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.place = l.place
+GROUP BY o.doc_id
+"""

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweft.llm import licences, mixing, ngram_join, quality, substring_dedup, token_counts, topk_search
+from goldweft.llm import decontaminate, licences, line_dedup, mixing, ngram_join, quality
+from goldweft.llm import substring_dedup, token_counts, topk_search
 from goldweft.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +27,12 @@ def op1_token_counts(spark, sf_dir):
     )
 
 
+@_query
+def op2_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.withColumn("kept_sha256", F.sha2(F.col("text"), 256)).drop("text")
+
+
 @_query
 def op3_quality(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
@@ -47,6 +54,11 @@ def op6_licence_scan(spark, sf_dir):
     return licences.scan(read(spark, sf_dir, "documents"))
 
 
+@_query
+def op7_decontamination(spark, sf_dir):
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op8_ngram_join(spark, sf_dir):
     return ngram_join.join(read(spark, sf_dir, "documents"))
