@@ -23,7 +23,7 @@ SIMILARITY = 0.8
 #: within the radius.
 BITS, BLOCK, RADIUS = 64, 8, 15
 #: Independent fingerprints; a pair counts as near if any of them is within the radius.
-PRINTS = 3
+PRINTS = 2
 #: An index of item shingles of at most so many rows is sent to all executors.
 SENT = 500_000
 
@@ -33,22 +33,23 @@ def _fold(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
-def _shingles(of: str) -> Column:
+def _shingles(hashed: Column) -> Column:
     """Hashes of the shingles of an array of word hashes, in order; repeats stay."""
-    last = F.size(of) - SHINGLE
-    parts = lambda i: [F.get(of, i + k) for k in range(SHINGLE)]
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*parts(i)))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+
+    def of(h: Column) -> Column:
+        last = F.size(h) - SHINGLE
+        one = lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), one))
+
+    # A variable of a lambda is evaluated once, wherever the optimizer moves the expression.
+    return F.coalesce(F.get(F.transform(F.array(hashed), of), 0), F.array().cast("array<bigint>"))
 
 
 def _texts(table: DataFrame, key: str, text: str) -> DataFrame:
     """``id`` and the shingles of every row with a key."""
     hashed = F.transform(words(_fold(F.col(f"`{text}`"))), lambda w: F.xxhash64(w))
-    return (
-        table.filter(F.col(f"`{key}`").isNotNull())
-        .select(F.col(f"`{key}`").cast("long").alias("id"), hashed.alias("hashed"))
-        .select("id", _shingles("hashed").alias("shingles"))
+    return table.filter(F.col(f"`{key}`").isNotNull()).select(
+        F.col(f"`{key}`").cast("long").alias("id"), _shingles(hashed).alias("shingles")
     )
 
 
@@ -68,25 +69,19 @@ def weighted_items(benchmark: DataFrame, key: str = "item_id", text: str = "text
 
 def _fingerprints(sets: DataFrame, by: list[str]) -> DataFrame:
     """``by``, print (number) and bits: the SimHash of each group's weighted shingles."""
-    out = None
-    for p in range(PRINTS):
-        h = F.xxhash64(F.col("shingle"), F.lit(p))
-        sums = [
-            F.sum(F.when(F.getbit(F.col("h"), F.lit(i)) == 1, F.col("weight")).otherwise(-F.col("weight")))
-            for i in range(BITS)
-        ]
-        one = F.lit(1).cast("long")
-        grouped = sets.withColumn("h", h).groupBy(*by).agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)])
-        bits = F.lit(0).cast("long")
-        for i in range(BITS):
-            bits = bits.bitwiseOR(F.when(F.col(f"s{i}") > 0, F.shiftleft(one, i)).otherwise(F.lit(0).cast("long")))
-        part = grouped.select(*by, F.lit(p).alias("print"), bits.alias("bits"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _block(bits: Column, i: Column | int) -> Column:
-    return F.shiftrightunsigned(bits, i * BLOCK).bitwiseAND(F.lit((1 << BLOCK) - 1))
+    numbered = sets.select(*by, "shingle", "weight", F.explode(F.sequence(F.lit(0), F.lit(PRINTS - 1))).alias("print"))
+    signed = numbered.select(*by, "print", "weight", F.xxhash64("shingle", "print").alias("h"))
+    votes = signed.groupBy(*by, "print").agg(
+        *[F.expr(f"sum(if(getbit(h, {i}) = 1, weight, -weight))").alias(f"s{i}") for i in range(BITS)]
+    )
+    ones = ", ".join(f"if(s{i} > 0, shiftleft(1L, {i}), 0L)" for i in range(BITS))
+    bits = F.expr(f"aggregate(array({ones}), 0L, (x, y) -> x | y)")
+    return stage(votes.select(*by, "print", bits.alias("bits")), "prints")
+
+
+def _block(bits: Column, i: Column) -> Column:
+    """Block number i of the bits."""
+    return F.call_function("shiftrightunsigned", bits, i * BLOCK).bitwiseAND(F.lit((1 << BLOCK) - 1))
 
 
 def near_prints(windows: DataFrame, items: DataFrame, on: list[str]) -> DataFrame:
@@ -130,8 +125,12 @@ def leaks(
     wanted = items.select("shingle").distinct()
     if wanted.count() <= SENT:
         wanted = F.broadcast(wanted)
+    # The outer form keeps the optimizer from testing the arrays beforehand, which would
+    # make them twice.
     placed = _texts(docs, key, text).select(
-        F.col("id").alias("doc"), F.size("shingles").alias("length"), F.posexplode("shingles").alias("at", "shingle")
+        F.col("id").alias("doc"),
+        F.size("shingles").alias("length"),
+        F.posexplode_outer("shingles").alias("at", "shingle"),
     )
     # The places of a document that hold a shingle of some item; all others share nothing.
     seeds = stage(placed.join(wanted, "shingle", "left_semi"), "seeds")

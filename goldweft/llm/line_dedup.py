@@ -25,16 +25,13 @@ NEAR_WORDS = 8
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc, place (from 0) and words of every line that may be removed."""
+    """doc, place (from 0), words and their number n of every line."""
     lines = docs.select(
         F.col(key).cast("long").alias("doc"),
-        F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("place", "line"),
+        # The outer form keeps the optimizer from splitting once more for a filter.
+        F.posexplode_outer(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("place", "line"),
     ).filter("doc IS NOT NULL")
-    return (
-        lines.select("doc", "place", words("line").alias("words"))
-        .withColumn("n", F.size("words"))
-        .filter(F.col("n") >= LEAST_WORDS)
-    )
+    return lines.select("doc", "place", words("line").alias("words")).withColumn("n", F.size("words"))
 
 
 def _halves() -> Column:
@@ -69,12 +66,12 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         lines.select(
             "doc",
             "place",
-            F.xxhash64("words").alias("k0"),
+            F.when(F.col("n") >= LEAST_WORDS, F.xxhash64("words")).alias("k0"),
             F.xxhash64(F.lit(1), "words").alias("k1"),
             F.when(F.col("n") >= NEAR_WORDS, _halves()).alias("halves"),
         ),
         "lines",
-    )
+    ).filter("k0 IS NOT NULL")
     # Of equal lines the earliest stands for all.
     distinct = keys.groupBy("k0", "k1").agg(
         F.min(_order()).alias("first"), F.count("*").alias("copies")
@@ -220,8 +217,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return (
         docs.join(gone, F.col(f"`{key}`").cast("long") == F.col("doc"), "left")
         .withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)))
-        .withColumn("n_lines", F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.col("n_lines")))
-        .withColumn("n_removed", F.when(cut, F.size("__gone")).otherwise(0))
+        .withColumn("n_lines", F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.col("n_lines")).cast("long"))
+        .withColumn("n_removed", F.when(cut, F.size("__gone")).otherwise(0).cast("long"))
         .withColumn(text, F.when(cut, F.array_join(kept, "\n")).otherwise(F.col(f"`{text}`")))
         .select(*[f"`{c}`" for c in names], "n_lines", "n_removed")
     )

@@ -115,6 +115,7 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     seed: int = 11,
     keep: tuple[str, ...] = ("doc_id",),
+    key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """``keep`` columns, size, source_size, target and taken of every row of ``docs``.
@@ -136,7 +137,7 @@ def mix(
     pattern = F.array_sort(
         F.array_distinct(F.transform(names, lambda s: F.when(s.isNull(), F.array().cast("array<string>")).otherwise(F.array(s))))
     )
-    order = F.xxhash64(*keep, F.lit(seed))
+    order = F.xxhash64(key, F.lit(seed))
     rows = docs.select(
         *keep,
         count_words(text).alias("size"),

@@ -86,3 +86,23 @@ FROM documents o LEFT JOIN l ON l.doc_id = o.doc_id
 LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.place = l.place
 GROUP BY o.doc_id
 """
+
+ORACLES["op10_tool_chat"] = r"""
+WITH t AS (SELECT conv_id, turn, role, max(text) AS text FROM conversations
+           WHERE role IN ('user', 'assistant') AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+p AS (SELECT *, max(CASE WHEN role = 'user' THEN turn END) OVER (
+        PARTITION BY conv_id ORDER BY turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last,
+        count(*) FILTER (WHERE role = 'user') OVER (
+        PARTITION BY conv_id ORDER BY turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS depth FROM t),
+c AS (SELECT *, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')) AS words
+      FROM p WHERE role = 'user'),
+r AS (SELECT conv_id, last, count(*) AS n, arg_min(text, turn) AS text FROM p WHERE role = 'assistant' AND last IS NOT NULL GROUP BY ALL)
+SELECT c.conv_id, c.conv_id || '.' || c.turn AS call, c.turn AS place, c.depth,
+       coalesce(trim(c.text, ' ') <> '' AND words > 0, FALSE) AS valid, coalesce(r.n, 0) AS n_results,
+       '{"arguments":{' || CASE WHEN c.last IS NOT NULL THEN '"after":"' || c.conv_id || '.' || c.last || '",' ELSE '' END
+       || CASE WHEN c.text IS NOT NULL THEN '"query":' || to_json(c.text) || ',' ELSE '' END
+       || '"words":' || words || '},"call":"' || c.conv_id || '.' || c.turn || '","depth":' || c.depth
+       || ',"result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || ',"tool":"' || CASE WHEN c.last IS NULL THEN 'ask' ELSE 'follow_up' END
+       || '","valid":' || CASE WHEN coalesce(trim(c.text, ' ') <> '' AND words > 0, FALSE) THEN 'true' ELSE 'false' END || '}' AS json
+FROM c LEFT JOIN r ON r.conv_id = c.conv_id AND r.last = c.turn
+"""

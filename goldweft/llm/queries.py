@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldweft.llm import decontaminate, licences, line_dedup, mixing, ngram_join, quality
-from goldweft.llm import substring_dedup, token_counts, topk_search
+from goldweft.llm import substring_dedup, token_counts, tool_chat, topk_search
 from goldweft.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op8_ngram_join(spark, sf_dir):
 def op9_substring_dedup(spark, sf_dir):
     kept = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
     return kept.withColumn("kept_sha256", F.sha2(F.col("kept"), 256)).drop("kept")
+
+
+@_query
+def op10_tool_chat(spark, sf_dir):
+    calls, results = tool_chat.from_turns(read(spark, sf_dir, "conversations"))
+    return tool_chat.link(calls, results).withColumnRenamed("conv", "conv_id")
