@@ -432,7 +432,8 @@ def _rest(groups: DataFrame, found: DataFrame) -> DataFrame:
     A set that does without its large groups and has allowances enough left meets all its
     partners in small ones.  So only pairs of sets that both depend on large groups count,
     and of these only pairs in different components.  A group whose sets of that kind are
-    all in one component, the usual case for many near copies, gives nothing.
+    all in one component, the usual case for many near copies, gives nothing.  A pair that
+    never met in a small group must share more allowances than either set has to spare.
     """
     depends = (
         groups.groupBy("node", "index")
@@ -443,17 +444,22 @@ def _rest(groups: DataFrame, found: DataFrame) -> DataFrame:
     placed = (
         groups.join(depends, ["node", "index"])
         .join(found.withColumnRenamed("component", "c"), "node", "left")
-        .select("hash", "node", F.coalesce("c", "node").alias("c"))
+        .select("hash", "index", "node", F.coalesce("c", "node").alias("c"), "allowance", "spare")
     )
     mixed = (
         placed.groupBy("hash").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("hash")
     )
     left = placed.join(mixed, "hash")
-    other = left.select("hash", F.col("node").alias("b"), F.col("c").alias("d"))
+    other = left.select(
+        "hash", F.col("node").alias("other"), F.col("c").alias("d"), F.col("spare").alias("spare_d")
+    )
     return (
         left.join(other, "hash")
         .filter("c < d")
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        .groupBy("index", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        .agg(F.sum("allowance").alias("shared"), F.max(F.greatest("spare", "spare_d")).alias("needed"))
+        .filter("shared > needed")
+        .select("a", "b")
         .distinct()
     )
 
