@@ -28,14 +28,17 @@ def run_batch(
     retain_unmatched: bool = False,
     full: bool = False,
     consolidated_at: Column | None = None,
+    query: str | None = None,
 ) -> None:
     """Consolidate, load and commit one batch; a committed batch is left alone.
 
     ``retain_unmatched`` keeps the messages of passports without a complete identity
     for the next run instead of using them up.  ``full`` writes the whole golden state
-    as one batch, so later reads start here.
+    as one batch, so later reads start here.  ``query`` is the id of the streaming query
+    that ``batch_id`` belongs to (see ``Store.number_of``).
     """
-    if store.is_committed(batch_id):
+    query_batch, batch_id = batch_id, store.number_of(batch_id, query)
+    if batch_id is None:
         return
     staging = f"{store.path}/staging/{batch_id % 2}"
     messages = C.bronze_messages(bronze)
@@ -73,7 +76,7 @@ def run_batch(
     done = G.has_all_sources() & F.col("_id").isNotNull()
     flagged = state.withColumn("uploaded_2_SQL", F.col("uploaded_2_SQL") | done)
     store.write("golden", batch_id, flagged)
-    store.commit(batch_id, _next_ids(store, batch_id, bases), full)
+    store.commit(batch_id, _next_ids(store, batch_id, bases), full, query, query_batch)
 
 
 def _next_ids(store: Store, batch_id: int, bases: dict[str, int]) -> dict[str, int]:

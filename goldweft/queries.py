@@ -607,9 +607,8 @@ def stream_consolidate(spark, sf_dir):
 @query
 def stream_rate(spark, sf_dir):
     path = scratch_path(spark, "rate")
-    rate = SI.rate(_event_stream(spark, sf_dir))
-    SI.start(rate, path, scratch_path(spark, "offsets")).awaitTermination()
-    return spark.read.parquet(path).select(
+    SI.start_rate(_event_stream(spark, sf_dir), path, scratch_path(spark, "offsets")).awaitTermination()
+    return SI.read_rate(spark, path).select(
         F.unix_timestamp("window_start").alias("window_start_s"), "messages", "msg_per_sec"
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,10 +38,15 @@ def build_session(app: str = "goldweft", master: str | None = None, **conf) -> S
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the cluster names it.
 
-    Only a session that names none (tests, a laptop) gets a local folder.
+    Only a session that runs in one process (tests, a laptop) may do without one and gets
+    a local folder; elsewhere executors would write to disks of their own.  Staged tables
+    stay until the cluster clears that folder, as a returned DataFrame may read them later.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="goldweft-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 
 from goldweft import schemas as S
 
-_COMMIT = "batch_id bigint, base bigint, ids map<string,bigint>"
+_COMMIT = (
+    "batch_id bigint, base bigint, ids map<string,bigint>, query string, query_batch bigint"
+)
 
 
 class Store:
@@ -28,24 +30,58 @@ class Store:
 
     # -- commits: a handful of rows, one per run ---------------------------------
 
-    def last_commit(self):
-        """The newest commit row, or None."""
+    def _commits(self) -> DataFrame | None:
         try:
-            commits = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits")
-            return commits.orderBy(F.desc("batch_id")).first()
+            return self.spark.read.schema(_COMMIT).json(f"{self.path}/commits")
         except Exception as error:  # the folder appears with the first commit
             if "PATH_NOT_FOUND" in str(error):
                 return None
             raise
 
+    def last_commit(self):
+        """The newest commit row, or None."""
+        commits = self._commits()
+        return None if commits is None else commits.orderBy(F.desc("batch_id")).first()
+
     def is_committed(self, batch_id: int) -> bool:
         last = self.last_commit()
         return last is not None and last.batch_id >= batch_id
 
-    def commit(self, batch_id: int, ids: dict[str, int], full: bool = False) -> None:
+    def number_of(self, batch_id: int, query: str | None = None) -> int | None:
+        """The number under which to write a batch, None if it is committed already.
+
+        Batches of a streaming query are known by the query's id and their number in it, so
+        a new checkpoint, which counts from 0 again, goes on above the last commit.  Without
+        a query the caller's numbers count, which must grow.
+        """
+        if query is None:
+            return None if self.is_committed(batch_id) else batch_id
+        commits = self._commits()
+        if commits is None:
+            return 0
+        own = F.col("query") == query
+        seen = commits.agg(
+            F.max("batch_id").alias("last"),
+            F.max(F.when(own, F.col("query_batch"))).alias("newest"),
+            F.count_if(own & (F.col("query_batch") == batch_id)).alias("same"),
+        ).first()
+        if seen.same:
+            return None
+        if seen.newest is not None and seen.newest > batch_id:
+            raise ValueError(f"batch {batch_id} of query {query} is missing, {seen.newest} is committed")
+        return seen.last + 1
+
+    def commit(
+        self,
+        batch_id: int,
+        ids: dict[str, int],
+        full: bool = False,
+        query: str | None = None,
+        query_batch: int | None = None,
+    ) -> None:
         last = self.last_commit()
         base = batch_id if full or last is None else last.base
-        row = self.spark.createDataFrame([(batch_id, base, ids)], _COMMIT)
+        row = self.spark.createDataFrame([(batch_id, base, ids, query, query_batch)], _COMMIT)
         row.coalesce(1).write.mode("append").json(f"{self.path}/commits")
 
     # -- tables ------------------------------------------------------------------

@@ -13,6 +13,11 @@ from goldweft.sources.store import Store
 EVERY = "3 minutes"
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave to the query of a checkpoint; another checkpoint has another."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+
+
 def start(
     spark: SparkSession,
     bronze_path: str,
@@ -34,7 +39,8 @@ def start(
 
     def each(batch, batch_id):
         full = bool(full_every) and batch_id > 0 and batch_id % full_every == 0
-        run_batch(store, batch, batch_id, full=full, **options)
+        query = query_id(spark, checkpoint)
+        run_batch(store, batch, batch_id, full=full, query=query, **options)
 
     return (
         reader.parquet(bronze_path)

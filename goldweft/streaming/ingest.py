@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,23 +37,22 @@ def ingest_rejects(rows: DataFrame, path: str, checkpoint: str, trigger: dict |
     return start(decode_rejects(rows), path, checkpoint, trigger)
 
 
-def dedup(rows: DataFrame, delay: str = "1 hour") -> DataFrame:
+def dedup(rows: DataFrame) -> DataFrame:
     """Drop replays of a message (same topic, partition and offset).
 
-    State is kept for ``delay`` behind the newest timestamp, so it stays bounded.
+    There is no watermark: a message that was never seen passes, however old it is.  The
+    state keeps one small key per message; use the RocksDB state store for long streams.
     """
-    return rows.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(
-        ["topic", "partition", "offset"]
-    )
+    return rows.dropDuplicates(["topic", "partition", "offset"])
 
 
-def rate(rows: DataFrame, width: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Messages and messages per second for each closed window."""
-    counted = (
-        rows.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", width))
-        .agg(F.count("*").alias("messages"))
-    )
+def rate(rows: DataFrame, width: str = "1 hour") -> DataFrame:
+    """Messages and messages per second for each window, of a table or a stream.
+
+    There is no watermark: late messages count, and the last windows are not held back.
+    A stream of these rows is written by :func:`start_rate`.
+    """
+    counted = rows.groupBy(F.window("timestamp", width)).agg(F.count("*").alias("messages"))
     seconds = F.unix_timestamp(F.col("window.end")) - F.unix_timestamp(F.col("window.start"))
     return counted.select(
         F.col("window.start").alias("window_start"),
@@ -61,3 +60,29 @@ def rate(rows: DataFrame, width: str = "1 hour", delay: str = "1 hour") -> DataF
         "messages",
         (F.col("messages") / seconds).alias("msg_per_sec"),
     )
+
+
+def start_rate(
+    rows: DataFrame, path: str, checkpoint: str, width: str = "1 hour", trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the rates of a stream: each batch writes the windows that it changed below
+    ``path/batch=<n>``; a batch that runs again overwrites its own folder."""
+
+    def each(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        rate(rows, width)
+        .writeStream.outputMode("update")
+        .foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def read_rate(spark: SparkSession, path: str) -> DataFrame:
+    """The newest rates of all windows that :func:`start_rate` has written."""
+    newest = F.max_by(F.struct("messages", "msg_per_sec"), "batch").alias("rate")
+    written = spark.read.parquet(path).groupBy("window_start", "window_end").agg(newest)
+    return written.select("window_start", "window_end", "rate.*")
