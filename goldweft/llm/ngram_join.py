@@ -332,8 +332,16 @@ def _pair_up(table: pa.Table) -> pa.Table:
     a, b = np.concatenate(left), np.concatenate(right)
     size = entries["size"][order].astype(np.int64)
     near = 100 * np.minimum(size[a], size[b]) >= SIMILARITY * np.maximum(size[a], size[b])
-    pairs = np.unique(np.stack([nodes[a[near]], nodes[b[near]]]), axis=1)
     large = np.flatnonzero(group > SMALL_GROUP)
+    # A second and a third star, around nodes that all groups of a family tend to agree on.
+    a, b = [a[near]], [b[near]]
+    for rule in (~nodes, (mix(nodes.view(np.uint64)) >> np.uint64(1)).astype(np.int64)):
+        by = np.lexsort((rule, hashes))
+        centre = np.repeat(by[begin], count)[large]
+        a.append(np.minimum(centre, large))
+        b.append(np.maximum(centre, large))
+    a, b = np.concatenate(a), np.concatenate(b)
+    pairs = np.unique(np.stack([nodes[a], nodes[b]])[:, a != b], axis=1)
     a = np.concatenate([pairs[0], nodes[np.repeat(begin, count)[large]]])
     b = np.concatenate([pairs[1], nodes[large]])
     none = pa.nulls(len(pairs[0]), pa.int32())
