@@ -17,7 +17,10 @@ hash, up to the first deal that is enough; of two sets, the one that is done fir
 other, which took part in that deal as well.  Which shingles count as common changes the
 cost alone, not the result.
 
-Candidates are verified exactly on whole texts; nothing is capped.
+Candidates are verified exactly on whole texts; nothing is capped.  Groups of many sets are
+not paired in full, since only their components are wanted: each set is compared with a
+centre, and sets that are still apart then meet only through shingles that the centre lacks
+(:func:`_outside`), in smaller groups that go through the same steps.
 """
 
 from __future__ import annotations
@@ -43,8 +46,10 @@ LOOK, COMMON = 8, 1 / 400
 DEALS = 12
 #: What a pair of sets that share a fifth of their shingles weighs against an index entry.
 PAIR_COST = 1000
-#: Groups of at most so many sets are paired in full at once, larger ones step by step.
+#: Groups of at most so many sets are paired in full, larger ones through a centre.
 SMALL_GROUP = 8
+#: The same for the groups of :func:`_outside`, whose pairs are few after its conditions.
+SMALL_OUTSIDE = 128
 
 
 def links(inter: int, a: int, b: int) -> bool:
@@ -258,7 +263,7 @@ ENTRY = np.dtype(
     [("hash", "u8"), ("node", "i8"), ("size", "i4"), ("index", "u2"), ("allowance", "u1"), ("spare", "i2")]
 )
 _PACK = "bucket int, entries binary"
-_PAIRS = "a long, b long, hash long, index int, allowance int, spare int"
+_PAIRS = "a long, b long, hash long, size int, index int, allowance int, spare int"
 
 
 def _entries(n: int, index: Index):
@@ -309,8 +314,7 @@ def _pair_up(table: pa.Table) -> pa.Table:
     """Entries of a bucket -> candidate pairs.
 
     Groups of up to :data:`SMALL_GROUP` sets give all pairs that sizes allow (``hash`` null).
-    Of a larger group every set is paired with the smallest node; such rows carry what
-    :func:`_rest` needs to go on with the group.
+    Of a larger group every set gives one row (``a`` null), for :func:`_stars`.
     """
     entries = np.frombuffer(b"".join(table["entries"].to_pylist()), dtype=ENTRY)
     order = np.lexsort((entries["node"], entries["hash"]))
@@ -334,12 +338,12 @@ def _pair_up(table: pa.Table) -> pa.Table:
     near = 100 * np.minimum(size[a], size[b]) >= SIMILARITY * np.maximum(size[a], size[b])
     pairs = np.unique(np.stack([nodes[a[near]], nodes[b[near]]]), axis=1)
     large = np.flatnonzero(group > SMALL_GROUP)
-    a = np.concatenate([pairs[0], nodes[np.repeat(begin, count)[large]]])
+    a = pa.concat_arrays([pa.array(pairs[0]), pa.nulls(len(large), pa.int64())])
     b = np.concatenate([pairs[1], nodes[large]])
     none = pa.nulls(len(pairs[0]), pa.int32())
     more = {
         c: pa.concat_arrays([none, pa.array(entries[c][order][large].astype(np.int32))])
-        for c in ("index", "allowance", "spare")
+        for c in ("size", "index", "allowance", "spare")
     }
     mark = pa.array(hashes[large].view(np.int64), pa.int64())
     return pa.table(
@@ -347,28 +351,61 @@ def _pair_up(table: pa.Table) -> pa.Table:
     )
 
 
+def _compared(part: pa.RecordBatch, known: dict[int, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The shingles of both documents of each pair; ``known`` keeps those of late."""
+    a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+    for nodes, name in ((a, "text_a"), (b, "text_b")):
+        missing = {x: i for i, x in enumerate(nodes) if x not in known}
+        if len(known) + len(missing) > 2000:
+            for x in known.keys() - {*a, *b}:
+                del known[x]
+        texts = texts_of(part.column(name).take(pa.array(list(missing.values()), pa.int64())))
+        keys, ends = shingle_sets(texts)
+        for i, x in enumerate(missing):
+            known[x] = keys[ends[i] : ends[i + 1]]
+    return [(known[x], known[y]) for x, y in zip(a, b)]
+
+
 def _verify(batches):
     """Pairs with both texts -> the pairs that link."""
     known: dict[int, np.ndarray] = {}
     for part in slices(slices(batches, "text_a"), "text_b"):
-        a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-        sets = []
-        for nodes, name in ((a, "text_a"), (b, "text_b")):
-            missing = {x: i for i, x in enumerate(nodes) if x not in known}
-            if len(known) + len(missing) > 2000:
-                known = {x: known[x] for x in {*a, *b} if x in known}
-            texts = texts_of(part.column(name).take(pa.array(list(missing.values()), pa.int64())))
-            keys, ends = shingle_sets(texts)
-            for i, x in enumerate(missing):
-                known[x] = keys[ends[i] : ends[i + 1]]
-            sets.append(nodes)
         same = [
-            links(len(np.intersect1d(known[x], known[y], assume_unique=True)), len(known[x]), len(known[y]))
-            for x, y in zip(a, b)
+            links(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))
+            for x, y in _compared(part, known)
         ]
         yield part.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
 
+def least_shared(a: int, b: int) -> int:
+    """Fewest shingles that sets of these sizes share if they link."""
+    return -(-SIMILARITY * (a + b) // (100 + SIMILARITY))
+
+
+def _measure(batches):
+    """Stars with both texts -> how much of each set is in the centre, and which shingles
+    outside the centre it has to be looked up by (see :func:`_across`)."""
+    known: dict[int, np.ndarray] = {}
+    for part in slices(slices(batches, "text_a"), "text_b"):
+        inside, linked, outside = [], [], []
+        for (a, b), least in zip(_compared(part, known), part.column("least").to_pylist()):
+            rest = np.setdiff1d(b, a, assume_unique=True)
+            inter = len(b) - len(rest)
+            inside.append(inter)
+            linked.append(links(inter, len(a), len(b)))
+            smallest = max(least, -(-SIMILARITY * len(b) // 100))
+            need = max(1, least_shared(len(b), smallest) - inter)
+            outside.append(rest[: max(0, len(rest) - need + 1)].view(np.int64))
+        columns = [part.column(c) for c in ("family", "a", "b", "size", "least")]
+        columns += [pa.array(inside, pa.int32()), pa.array(linked, pa.bool_())]
+        columns.append(pa.array(outside, pa.list_(pa.int64())))
+        names = ["family", "a", "b", "size", "least", "inside", "linked", "outside"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+_STARS = "family long, a long, b long, size int, least int, inside int, linked boolean, outside array<long>"
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_shingles and component_id of every document.
 
@@ -402,14 +439,21 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     entries = known.mapInArrow(_entries(n, index), _PACK)
     pairs = stage(entries.groupBy("bucket").applyInArrow(_pair_up, _PAIRS), "pairs")
 
-    wanted = pairs.filter("a <> b").select("a", "b").distinct()
-    linked = stage(_verified(wanted, named, known), "linked")
-    groups = pairs.filter("hash IS NOT NULL").withColumnRenamed("b", "node").drop("a")
-    found = components(linked)
-    # Large groups whose sets are not all in one component: the pairs across components.
-    rest = stage(_rest(groups, found).join(wanted, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        found = components(linked.unionByName(stage(_verified(rest, named, known), "linked")))
+    wanted = pairs.filter("hash IS NULL").select("a", "b").distinct()
+    found = stage(components(stage(_verified(wanted, named, known), "linked")), "components")
+    large = pairs.filter("hash IS NOT NULL").withColumnRenamed("b", "node")
+    groups = stage(_dependent(large), "groups")
+    first = True
+    while not groups.isEmpty():
+        stars = _with_texts(_stars(groups, first), named, known).mapInArrow(_measure, _STARS)
+        stars = stage(stars, "stars")
+        found = _joined(found, stars.filter("linked").select("a", "b"))
+        members = stage(_mixed(stars, found), "mixed")
+        groups = stage(_outside(members), "groups")
+        rest = stage(_across(members, groups), "rest")
+        if not rest.isEmpty():
+            found = _joined(found, stage(_verified(rest, named, known), "linked"))
+        groups, first = groups.filter(F.col("n") > SMALL_OUTSIDE), False
 
     smallest = (
         named.join(found, "node")
@@ -426,13 +470,31 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     )
 
 
-def _rest(groups: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of large groups that still have to be looked at.
+def _joined(found: DataFrame, linked: DataFrame) -> DataFrame:
+    """The components after more links; works on the components they connect alone."""
+    ends = linked.select(F.col("a").alias("node")).union(linked.select("b")).distinct()
+    new = ends.join(found, "node", "left_anti").select("node", F.col("node").alias("component"))
+    a, b = (found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    lifted = (
+        linked.join(a, "a", "left")
+        .join(b, "b", "left")
+        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        .filter("a <> b")
+        .distinct()
+    )
+    lifted = stage(lifted, "lifted")
+    if lifted.isEmpty():
+        return found
+    merged = components(lifted).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    whole = found.select("node", "component").union(new).join(merged, "component", "left")
+    return stage(whole.select("node", F.coalesce("whole", "component").alias("component")), "components")
+
+
+def _dependent(groups: DataFrame) -> DataFrame:
+    """The large groups, with the sets that need them.
 
     A set that does without its large groups and has allowances enough left meets all its
-    partners in small ones.  So only pairs of sets that both depend on large groups count,
-    and of these only pairs in different components.  A group whose sets of that kind are
-    all in one component, the usual case for many near copies, gives nothing.
+    partners in small ones.  So only pairs of sets that both depend on large groups count.
     """
     depends = (
         groups.groupBy("node", "index")
@@ -440,26 +502,116 @@ def _rest(groups: DataFrame, found: DataFrame) -> DataFrame:
         .filter("lost > spare")
         .select("node", "index")
     )
-    placed = (
-        groups.join(depends, ["node", "index"])
-        .join(found.withColumnRenamed("component", "c"), "node", "left")
-        .select("hash", "node", F.coalesce("c", "node").alias("c"))
+    return groups.join(depends, ["node", "index"]).select(F.lit(0).cast("long").alias("family"), "hash", "node", "size")
+
+
+def _stars(groups: DataFrame, first: bool) -> DataFrame:
+    """Each set of a group with the group's centre, the set that shares most groups with
+    most others.  Groups of one centre become one family; ``least`` is the smallest size of
+    a partner there.
+
+    The ``first`` time, a group takes over the best centre that its sets have in any group:
+    a group of near copies that share an edit joins the family of all near copies.  Later a
+    centre is always one of the group, so that a family is smaller than the one it is part
+    of, and the steps come to an end.
+    """
+    counts = groups.groupBy("family", "hash").agg(F.count("*").alias("n"), F.min("size").alias("least"))
+    weighed = groups.select("family", "hash", "node", "size").join(counts.filter("n > 1"), ["family", "hash"])
+    weighed = stage(weighed, "weighed")
+    best = weighed.groupBy("family", "node").agg(
+        F.struct(F.sum("n").alias("score"), F.col("node").alias("a")).alias("best")
+    )
+
+    def of_groups(best):
+        placed = weighed.select("family", "hash", "node").join(best, ["family", "node"])
+        return placed.groupBy("family", "hash").agg(F.max("best").alias("best"))
+
+    centre = of_groups(best)
+    if first:
+        placed = weighed.select("family", "hash", "node").join(centre, ["family", "hash"])
+        centre = of_groups(placed.groupBy("family", "node").agg(F.max("best").alias("best")))
+    return (
+        weighed.join(centre.select("family", "hash", "best.a"), ["family", "hash"])
+        .filter("node <> a")
+        .groupBy(F.xxhash64("family", "a").alias("family"), "a", F.col("node").alias("b"))
+        .agg(F.min("size").alias("size"), F.min("least").alias("least"))
+    )
+
+
+def _mixed(stars: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the families that are not in one component yet, with their component.
+    The usual family of near copies of one text is in one and gives nothing."""
+    placed = stars.join(found.withColumnRenamed("node", "b"), "b", "left").withColumn(
+        "component", F.coalesce("component", "b")
     )
     mixed = (
-        placed.groupBy("hash").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("hash")
+        placed.groupBy("family")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter("lo <> hi")
+        .select("family")
     )
-    left = placed.join(mixed, "hash")
-    other = left.select("hash", F.col("node").alias("b"), F.col("c").alias("d"))
-    return (
-        left.join(other, "hash")
-        .filter("c < d")
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct()
+    return placed.join(mixed, "family")
+
+
+def _outside(members: DataFrame) -> DataFrame:
+    """Members of a family by the shingles that they have and the centre lacks, as groups.
+
+    Let i and j be how many shingles two members share with the centre, and t how many they
+    must share to link.  If t exceeds i or j, they share some outside the centre: at least
+    t - min(i, j).  So it is enough to look each up by its first shingles outside, in one
+    order for all, up to the number that leaves fewer than it must share (``outside``).
+    """
+    rows = members.select(
+        "family", F.explode("outside").alias("hash"), F.col("b").alias("node"), "size", "component", "linked"
+    )
+    useful = (
+        rows.groupBy("family", "hash")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("component").alias("lo"),
+            F.max("component").alias("hi"),
+            F.min("linked").alias("all"),
+        )
+        .filter("lo <> hi AND NOT all")
+        .select("family", "hash", "n")
+    )
+    return rows.join(useful, ["family", "hash"])
+
+
+def _across(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs of different components that small groups of :func:`_outside` give, and those
+    that may link by what they share with the centre alone (t at most min(i, j)): one of
+    them does not link with the centre, so its partner is smaller than the centre."""
+    fits = f"100 * least(x.size, y.size) >= {SIMILARITY} * greatest(x.size, y.size)"
+    apart = "x.component <> y.component AND NOT x.linked"
+    small = groups.filter(F.col("n") <= SMALL_OUTSIDE)
+    by_shingle = (
+        small.alias("x")
+        .join(small.alias("y"), F.expr("x.family = y.family AND x.hash = y.hash"))
+        .filter(f"{apart} AND {fits}")
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    )
+    total, share = 100 + SIMILARITY, SIMILARITY
+    lowest = f"greatest(least, cast(ceil({share} * size / 100) as int))"
+    highest = f"cast(floor({total} * inside / {share}) as int) - size"
+    sized = members.select("family", "b", "size", "inside", "component", "linked")
+    seekers = (
+        members.filter(f"NOT linked AND {highest} >= {lowest}")
+        .select("family", "b", "size", "inside", "component", "linked", F.expr(f"explode(sequence({lowest}, {highest}))").alias("of"))
     )
+    by_centre = (
+        seekers.alias("x")
+        .join(sized.alias("y"), F.expr("x.family = y.family AND x.of = y.size"))
+        .filter(f"{apart} AND {total} * least(x.inside, y.inside) >= {share} * (x.size + y.size)")
+        .select(F.col("x.b").alias("a"), F.col("y.b").alias("b"))
+    )
+    both = by_shingle.union(by_centre)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, named: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (nodes a < b) whose documents' sets link."""
+def _with_texts(pairs: DataFrame, named: DataFrame, docs: DataFrame) -> DataFrame:
+    """``pairs`` (nodes a and b) with a text of each node."""
+    pairs = stage(pairs, "stars")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = stage(
         docs.join(named.join(nodes, "node").withColumnRenamed("name", "doc"), "doc")
@@ -467,9 +619,15 @@ def _verified(pairs: DataFrame, named: DataFrame, docs: DataFrame) -> DataFrame:
         .select("node", "text"),
         "texts",
     )
+    return pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
+        texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
+    )
+
+
+def _verified(pairs: DataFrame, named: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (nodes a < b) whose documents' sets link."""
     return (
-        pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        _with_texts(pairs, named, docs)
         .select("a", "b", "text_a", "text_b")
         .mapInArrow(_verify, "a long, b long")
     )

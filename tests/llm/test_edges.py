@@ -323,6 +323,28 @@ def test_ngram_join_against_all_pairs(spark):
     assert got == join_by_hand(rows)
 
 
+def test_ngram_join_of_large_groups_that_are_not_one_component(spark, monkeypatch):
+    """Near copies at all distances, edits that many of them share, texts that contain others;
+    small limits, so that groups outside the centres go through several rounds."""
+    monkeypatch.setattr(ngram_join, "SMALL_OUTSIDE", 30)
+    rng = random.Random(21)
+    rows = []
+    for size, count in ((60, 160), (150, 120)):
+        base = words(rng, size).split()
+        edits = [(rng.randrange(size), words(rng, 1)) for _ in range(14)]
+        for _ in range(count):
+            text = list(base)
+            for _ in range(rng.choice((0, 1, 2, 3, 4, 5, 6))):
+                at, word = rng.choice(edits) if rng.random() < 0.7 else (rng.randrange(size), words(rng, 1))
+                text[at] = word
+            text += words(rng, rng.choice((0, 0, 0, size // 6, size // 4))).split()
+            text = text[rng.choice((0, 0, 0, size // 8)) :]
+            rows.append((len(rows), " ".join(text)))
+    got = {tuple(r) for r in ngram_join.join(make(spark, rows)).collect()}
+    assert got == join_by_hand(rows)
+    assert 10 < len({c for *_, c in got}) < 250
+
+
 def test_ngram_join_index_misses_no_link():
     """Sets at the very border of similarity share an entry, for all sizes and both bands."""
     import numpy as np
