@@ -50,6 +50,10 @@ PAIR_COST = 1000
 SMALL_GROUP = 8
 #: The same for the groups of :func:`_outside`, whose pairs are few after its conditions.
 SMALL_OUTSIDE = 128
+#: Larger ones are paired in full as well once all their pairs together are at most so many
+#: a set, times the steps taken so far: then another step, which reads the texts again, costs
+#: more than the pairs do.
+PAIRS_PER_SET = 2
 
 
 def links(inter: int, a: int, b: int) -> bool:
@@ -443,17 +447,24 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     found = stage(components(stage(_verified(wanted, named, known), "linked")), "components")
     large = pairs.filter("hash IS NOT NULL").withColumnRenamed("b", "node")
     groups = stage(_dependent(large), "groups")
-    first = True
+    sets, step = named.count(), 0
     while not groups.isEmpty():
-        stars = _with_texts(_stars(groups, first), named, known).mapInArrow(_measure, _STARS)
+        step += 1
+        stars = _with_texts(_stars(groups, step == 1), named, known).mapInArrow(_measure, _STARS)
         stars = stage(stars, "stars")
         found = _joined(found, stars.filter("linked").select("a", "b"))
         members = stage(_mixed(stars, found), "mixed")
         groups = stage(_outside(members), "groups")
-        rest = stage(_across(members, groups), "rest")
+        large = groups.filter(F.col("n") > SMALL_OUTSIDE)
+        left = large.select(F.sum((F.col("n") - 1) / 2)).first()[0] or 0
+        whole = left <= PAIRS_PER_SET * sets * step
+        small = groups if whole else groups.filter(F.col("n") <= SMALL_OUTSIDE)
+        rest = stage(_across(members, small), "rest")
         if not rest.isEmpty():
             found = _joined(found, stage(_verified(rest, named, known), "linked"))
-        groups, first = groups.filter(F.col("n") > SMALL_OUTSIDE), False
+        if whole:
+            break
+        groups = large
 
     smallest = (
         named.join(found, "node")
@@ -578,13 +589,12 @@ def _outside(members: DataFrame) -> DataFrame:
     return rows.join(useful, ["family", "hash"])
 
 
-def _across(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of different components that small groups of :func:`_outside` give, and those
+def _across(members: DataFrame, small: DataFrame) -> DataFrame:
+    """Pairs of different components that these groups of :func:`_outside` give, and those
     that may link by what they share with the centre alone (t at most min(i, j)): one of
     them does not link with the centre, so its partner is smaller than the centre."""
     fits = f"100 * least(x.size, y.size) >= {SIMILARITY} * greatest(x.size, y.size)"
     apart = "x.component <> y.component AND NOT x.linked"
-    small = groups.filter(F.col("n") <= SMALL_OUTSIDE)
     by_shingle = (
         small.alias("x")
         .join(small.alias("y"), F.expr("x.family = y.family AND x.hash = y.hash"))

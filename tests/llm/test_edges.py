@@ -323,10 +323,13 @@ def test_ngram_join_against_all_pairs(spark):
     assert got == join_by_hand(rows)
 
 
-def test_ngram_join_of_large_groups_that_are_not_one_component(spark, monkeypatch):
+@pytest.mark.parametrize("pairs_per_set", [0, ngram_join.PAIRS_PER_SET])
+def test_ngram_join_of_large_groups_that_are_not_one_component(spark, monkeypatch, pairs_per_set):
     """Near copies at all distances, edits that many of them share, texts that contain others;
-    small limits, so that groups outside the centres go through several rounds."""
+    small limits, so that groups outside the centres go through several rounds, or are paired
+    in full as soon as the pairs are few."""
     monkeypatch.setattr(ngram_join, "SMALL_OUTSIDE", 30)
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_SET", pairs_per_set)
     rng = random.Random(21)
     rows = []
     for size, count in ((60, 160), (150, 120)):
