@@ -1,7 +1,7 @@
 """Benchmark decontamination: windows as long as the items, SimHash, exact similarity.
 
-A window of a document leaks an item if the weighted Jaccard similarity of their word
-shingles is at least :data:`SIMILARITY`.  Windows are cut as long as the item, at every place
+A window of a document leaks an item if the Jaccard similarity of their word shingles,
+weighted or plain, is at least :data:`SIMILARITY`.  Windows are cut as long as the item, at every place
 where they can hold enough of the item's shingles.  Windows and items get SimHash
 fingerprints; a multi-index over blocks of the fingerprints finds every pair within
 :data:`RADIUS` bits; such pairs are verified exactly.
@@ -57,7 +57,9 @@ def weighted_items(benchmark: DataFrame, key: str = "item_id", text: str = "text
     """item, shingle, place, weight and size (shingles) of every item.
 
     A shingle weighs 1 / (items that hold it): what many items share, such as a set phrase,
-    says less about any of them.  Items of fewer words than a shingle have none.
+    says less about any of them.  What no item holds weighs 1, so of items that repeat or
+    share a preamble a near copy may be below the similarity by weight; those are judged by
+    plain counts as well (see :func:`leaks`).  Items of fewer words than a shingle have none.
     """
     items = _texts(benchmark, key, text).dropDuplicates(["id", "shingles"])
     placed = items.select(
@@ -113,7 +115,8 @@ def leaks(
 ) -> DataFrame:
     """``key``, ``item``, n_windows, start and similarity: one row for each document and item
     of which a window leaks, with the number of such windows and the first of the most
-    similar ones (place of its first word, from 0).
+    similar ones (place of its first word, from 0).  The similarity is the weighted one where
+    that reaches :data:`SIMILARITY`, else the plain one; windows of the former come first.
 
     A window has as many words as the item, or the whole text where that is shorter.  Words
     are cut at ASCII white space, A-Z as a-z.  Texts and items of fewer words than a shingle
@@ -121,7 +124,9 @@ def leaks(
     that repeat a key are one document's.  Other columns are ignored.
     """
     items = stage(weighted_items(benchmark, item, item_text), "items")
-    total = items.groupBy("item").agg(F.sum("weight").alias("item_weight"), F.max("size").alias("size"))
+    total = items.groupBy("item").agg(
+        F.sum("weight").alias("item_weight"), F.max("size").alias("size"), F.count("*").alias("item_count")
+    )
     wanted = items.select("shingle").distinct()
     if wanted.count() <= SENT:
         wanted = F.broadcast(wanted)
@@ -135,21 +140,24 @@ def leaks(
     # The places of a document that hold a shingle of some item; all others share nothing.
     seeds = stage(placed.join(wanted, "shingle", "left_semi"), "seeds")
     hits = seeds.join(items.drop("size"), "shingle")
-    # A window reaches the similarity only if its document holds that share of the item.
+    # A window reaches a similarity only if its document holds that share of the item.
     enough = (
         hits.select("doc", "item", "shingle", "weight")
         .distinct()
         .groupBy("doc", "item")
-        .agg(F.sum("weight").alias("held"))
+        .agg(F.sum("weight").alias("held"), F.count("*").alias("n_held"))
         .join(total, "item")
-        .filter(F.col("held") >= SIMILARITY * F.col("item_weight") - 1e-9)
-        .select("doc", "item", "size", "item_weight")
+        .filter(
+            (F.col("held") >= SIMILARITY * F.col("item_weight") - 1e-9)
+            | (F.col("n_held") >= SIMILARITY * F.col("item_count") - 1e-9)
+        )
+        .select("doc", "item", "size", "item_weight", "item_count")
     )
     near = hits.select("doc", "item", "at", "length").join(enough, ["doc", "item"])
     first = F.greatest(F.lit(0), F.col("at") - F.col("size") + 1)
     last = F.least(F.col("at"), F.greatest(F.lit(0), F.col("length") - F.col("size")))
     starts = near.select(
-        "doc", "item", "size", "item_weight", F.explode(F.sequence(first, F.greatest(first, last))).alias("start")
+        "doc", "item", "size", "item_weight", "item_count", F.explode(F.sequence(first, F.greatest(first, last))).alias("start")
     ).distinct()
     return _verified(docs, starts, items, key, text, item)
 
@@ -173,28 +181,53 @@ def _verified(docs: DataFrame, starts: DataFrame, items: DataFrame, key: str, te
     )
     prints = _fingerprints(weighed, ["doc", "start", "size"])
     item_prints = _fingerprints(items.select("item", "size", "shingle", "weight"), ["item", "size"])
+    # Where each of an item's shingles weighs 1, the plain similarity is never the greater
+    # one.  The other items, and the windows cut for them, get prints of plain counts too.
+    light = F.col("item_weight") < F.col("item_count") - 1e-9
+    plain_windows = starts.filter(light).select("doc", "start", "size").distinct()
+    plain_items = starts.filter(light).select("item").distinct()
+    counted = F.lit(1.0).alias("weight")
+    plain_prints = _fingerprints(
+        weighed.join(plain_windows, ["doc", "start", "size"], "left_semi").select("doc", "start", "size", "shingle", counted),
+        ["doc", "start", "size"],
+    )
+    plain_item_prints = _fingerprints(
+        items.join(plain_items, "item", "left_semi").select("item", "size", "shingle", counted), ["item", "size"]
+    )
     pairs = (
         near_prints(prints, item_prints, ["size"])
         .select("doc", "start", "size", "item")
+        .unionByName(near_prints(plain_prints, plain_item_prints, ["size"]).select("doc", "start", "size", "item"))
         .distinct()
         .join(starts, ["doc", "start", "size", "item"])
     )
-    sums = weighed.groupBy("doc", "start", "size").agg(F.sum("weight").alias("own_weight"))
+    sums = weighed.groupBy("doc", "start", "size").agg(
+        F.sum("weight").alias("own_weight"), F.count("*").alias("own_count")
+    )
     both = (
         weighed.join(pairs, ["doc", "start", "size"])
         .join(items.select("item", "shingle"), ["item", "shingle"])
-        .groupBy("doc", "start", "size", "item", "item_weight")
-        .agg(F.sum("weight").alias("both"))
+        .groupBy("doc", "start", "size", "item", "item_weight", "item_count")
+        .agg(F.sum("weight").alias("both"), F.count("*").alias("both_count"))
         .join(sums, ["doc", "start", "size"])
     )
-    union = F.col("own_weight") + F.col("item_weight") - F.col("both")
-    scored = both.withColumn("similarity", F.round(F.col("both") / union, 9)).filter(F.col("similarity") >= SIMILARITY)
+    of = lambda b, x, y: F.round(F.col(b) / (F.col(x) + F.col(y) - F.col(b)), 9)
+    scored = (
+        both.withColumn("weighted", of("both", "own_weight", "item_weight"))
+        .withColumn("by_weight", F.col("weighted") >= SIMILARITY)
+        .withColumn(
+            "similarity",
+            F.when(F.col("by_weight"), F.col("weighted")).otherwise(of("both_count", "own_count", "item_count")),
+        )
+        .filter(F.col("similarity") >= SIMILARITY)
+    )
+    order = F.struct(F.col("by_weight"), F.col("similarity"), -F.col("start"))
     return (
         scored.groupBy(F.col("doc").alias(key), F.col("item").alias(item))
         .agg(
             F.count("*").alias("n_windows"),
-            F.min_by("start", F.struct(-F.col("similarity"), F.col("start"))).alias("start"),
-            F.max("similarity").alias("similarity"),
+            F.max_by("start", order).alias("start"),
+            F.max_by("similarity", order).alias("similarity"),
         )
         .select(key, item, "n_windows", "start", "similarity")
     )

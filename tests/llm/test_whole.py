@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
+from goldweft.llm import decontaminate  # noqa: E402
 from test_edges import make, words  # noqa: E402
 
 
@@ -35,3 +36,27 @@ def test_copies_with_short_lines_leave_the_pipeline(spark, tmp_path):
     assert got[4].split("\n") == ["of its", "Oued, for."]
     kept = "\n".join(got.values())
     assert all(line in kept for line in (*body, *other, "Oued, for.", "of its"))
+
+
+def test_near_copies_of_repeated_and_templated_items_leak(spark):
+    rng = random.Random(32)
+    for copies in (2, 3, 10):
+        text, preamble = words(rng, 54), words(rng, 48)
+        tails = [words(rng, 6) for _ in range(copies)]
+        alone = words(rng, 54)
+        items = [(i, text) for i in range(copies)]
+        items += [(100 + i, f"{preamble} {tail}") for i, tail in enumerate(tails)] + [(200, alone)]
+        edited = lambda t, at: " ".join("edit" if i == at else w for i, w in enumerate(t.split()))
+        docs = [
+            (1, f"{words(rng, 9)} {edited(text, 25)} {words(rng, 5)}"),  # 45 of 55 shingles
+            (2, f"{words(rng, 9)} {edited(f'{preamble} {tails[0]}', 20)}"),
+            (3, edited(alone, 30)),
+            (4, edited(edited(text, 15), 35)),  # 40 of 60
+            (5, text),
+        ]
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        got = {(r.doc_id, r.item_id): (r.start, r.similarity) for r in decontaminate.leaks(make(spark, docs), bench).collect()}
+        assert {i for d, i in got if d == 1} == {i for d, i in got if d == 5} == set(range(copies))
+        assert all(got[1, i] == (9, pytest.approx(45 / 55)) and got[5, i] == (0, 1.0) for i in range(copies))
+        assert got[2, 100][1] == pytest.approx(45 / 55) and (3, 200) in got
+        assert not [d for d, _ in got if d == 4]
