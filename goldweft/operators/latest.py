@@ -46,6 +46,18 @@ def latest_by_key(classified: DataFrame, order: str = "ord") -> DataFrame:
     )
 
 
+def newest_messages(classified: DataFrame, order: str = "ord") -> DataFrame:
+    """The message itself, of every shape and link key the one that counts in
+    :func:`latest_by_key`."""
+    columns = ", ".join(f"`{c}`" for c in classified.columns)
+    return (
+        classified.filter("link_key IS NOT NULL")
+        .groupBy("shape", "link_key")
+        .agg(F.expr(f"max_by(struct({columns}), {order}) AS message"))
+        .select("message.*")
+    )
+
+
 def by_passport(latest: DataFrame) -> DataFrame:
     """Full outer link of personal and bank data: ``key``, ``personal``, ``bank``."""
     return _domain_rows(latest, S.PERSONAL, S.BANK)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldweft.functions.text import build_fullname, filled, normalize_key
+from goldweft.operators.latest import by_address, by_fullname, by_passport
 
 #: Name and last name both filled; only these records become golden.
 COMPLETE_IDENTITY = f"({filled('personal.name')} AND {filled('personal.last_name')})"
@@ -49,3 +50,25 @@ def link_addresses(people: DataFrame, addresses: DataFrame) -> DataFrame:
     return people.join(
         addresses, F.expr("address_key = network_key AND located"), "left"
     ).drop("network_key", "located")
+
+
+def touched(linked: DataFrame, latest: DataFrame) -> DataFrame:
+    """Linked rows whose passport, full name or address has a message in ``latest``.
+
+    Each of the three is tested by a join that adds a flag; keys of ``latest`` are unique
+    in their domain, so no row is repeated.  Rows without a name or an address are spread by
+    passport, as in the links above, and match nothing.
+    """
+    keys = {
+        "passport": (by_passport(latest), "key", "true"),
+        "name": (by_fullname(latest), "fullname_key", "fullname_key <> ''"),
+        "address": (by_address(latest), "address_key", "location IS NOT NULL"),
+    }
+    columns = linked.columns
+    for name, (rows, own, has) in keys.items():
+        found = rows.selectExpr(f"key AS {name}_found")
+        linked = linked.selectExpr(
+            "*", f"CASE WHEN {has} THEN {own} ELSE key END AS {name}_own", f"{has} AS {name}_has"
+        ).join(found, F.expr(f"{name}_own = {name}_found AND {name}_has"), "left")
+    hit = " OR ".join(f"{name}_found IS NOT NULL" for name in keys)
+    return linked.filter(hit).select(*columns)

@@ -538,6 +538,7 @@ FROM msg m JOIN newest k ON k.passport = m.link_key WHERE m.shape = 'bank'""",
     "stream_dedup": "SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition,"
     ' event_id AS "offset" FROM events',
     "stream_consolidate": BASE + _golden_select("golden", "n_sources = 5"),
+    "stream_consolidate_batches": BASE + _golden_select("golden", "n_sources = 5"),
     "stream_rate": "SELECT CAST(epoch(w) AS BIGINT) AS window_start_s, messages,"
     " messages / CAST(3600 AS DOUBLE) AS msg_per_sec FROM"
     " (SELECT date_trunc('hour', ts) AS w, count(*) AS messages FROM events GROUP BY ALL)",

@@ -9,6 +9,7 @@ from goldweft import schemas as S
 from goldweft.operators import classify as C
 from goldweft.operators import golden as G
 from goldweft.operators import latest as L
+from goldweft.operators import link as K
 from goldweft.operators import monitor as M
 from goldweft.plans import consolidate as E
 from goldweft.plans.load import load_bulk
@@ -32,8 +33,11 @@ def run_batch(
 ) -> None:
     """Consolidate, load and commit one batch; a committed batch is left alone.
 
-    ``retain_unmatched`` keeps the messages of passports without a complete identity
-    for the next run instead of using them up.  ``full`` writes the whole golden state
+    ``retain_unmatched`` keeps the newest message of every link key and shape for the next
+    runs, and links the people whom a new message can reach anew, so the golden records do
+    not depend on the cut into batches; messages older than the kept ones change nothing.
+    Only what links is kept, so the state grows with the keys, not with the messages.
+    ``full`` writes the whole golden state
     as one batch, so later reads start here.  ``query`` is the id of the streaming query
     that ``batch_id`` belongs to (see ``Store.number_of``).
     """
@@ -42,20 +46,24 @@ def run_batch(
         return
     staging = f"{store.path}/staging/{batch_id % 2}"
     messages = C.bronze_messages(bronze)
-    if retain_unmatched:
-        messages = messages.unionByName(_carried(store))
     # Parsed once; every later step reads only the columns it needs of this table.
     classified = materialize(C.classify(messages), "classified", staging)
-    latest = L.latest_by_key(classified)
-    new = materialize(E.golden_of(latest, consolidated_at), "golden", staging)
+    if retain_unmatched:
+        known = C.classify(_carried(store)).unionByName(classified.filter("link_key IS NOT NULL"))
+        kept = materialize(L.newest_messages(known), "kept", staging)
+        latest = L.latest_by_key(kept)
+        linked = K.touched(E.link(latest), L.latest_by_key(classified))
+        new = materialize(G.golden_projection(linked, consolidated_at), "golden", staging)
+    else:
+        latest = L.latest_by_key(classified)
+        new = materialize(E.golden_of(latest, consolidated_at), "golden", staging)
     unmatched = E.unmatched(latest)
 
     stats = M.consolidation_stats(classified, unmatched, new, store.passports())
     left = C.remaining(classified)
     store.write("quarantine", batch_id, left.select("msg_id", "ord", "data", "shape"))
     if retain_unmatched:
-        carried = C.of_passports(classified, unmatched)
-        store.write("carried", batch_id, carried.select("msg_id", "ord", "data"))
+        store.write("carried", batch_id, kept.select("msg_id", "ord", "data"))
     store.write("stats", batch_id, stats)
 
     if full:
@@ -91,7 +99,7 @@ def _next_ids(store: Store, batch_id: int, bases: dict[str, int]) -> dict[str, i
 
 
 def _carried(store: Store) -> DataFrame:
-    """Messages kept back by the last committed run."""
+    """Newest messages of every key and shape, as the last committed run kept them."""
     last = store.last_commit()
     rows = store.read("carried", _CARRIED)
     return rows.filter(F.col("batch_id") == (-1 if last is None else last.batch_id)).drop(

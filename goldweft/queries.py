@@ -604,6 +604,28 @@ def stream_consolidate(spark, sf_dir):
     return flat_golden(store.golden())
 
 
+@query
+def stream_consolidate_batches(spark, sf_dir):
+    """The same from several batches, one bronze file each; it must not differ."""
+    bronze = scratch_path(spark, "bronze")
+    rows = X.feed_bronze(spark, sf_dir)
+    # By message, not by key: what belongs to one person comes in different batches.
+    part = F.pmod(F.xxhash64("kafka_metadata.topic", "kafka_metadata.partition", "kafka_metadata.offset"), F.lit(4))
+    rows.repartitionByRange(4, part).write.parquet(bronze)
+    store = Store(spark, scratch_path(spark, "store"))
+    SC.start(
+        spark,
+        bronze,
+        store,
+        scratch_path(spark, "offsets"),
+        trigger={"availableNow": True},
+        source_options={"maxFilesPerTrigger": 1},
+        retain_unmatched=True,
+        consolidated_at=X.stamp(),
+    ).awaitTermination()
+    return flat_golden(store.golden())
+
+
 @query
 def stream_rate(spark, sf_dir):
     path = scratch_path(spark, "rate")
