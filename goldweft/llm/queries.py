@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweft.llm import decontaminate, licences, line_dedup, mixing, ngram_join, quality
+from goldweft.llm import bpe_codec, decontaminate, licences, line_dedup, mixing, ngram_join, quality
 from goldweft.llm import substring_dedup, token_counts, tool_chat, topk_search
 from goldweft.llm.common import read
 
@@ -74,3 +74,11 @@ def op9_substring_dedup(spark, sf_dir):
 def op10_tool_chat(spark, sf_dir):
     calls, results = tool_chat.from_turns(read(spark, sf_dir, "conversations"))
     return tool_chat.link(calls, results).withColumnRenamed("conv", "conv_id")
+
+
+@_query
+def op11_bpe_codec(spark, sf_dir):
+    coded = bpe_codec.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
