@@ -2,7 +2,7 @@
 
 A byte-pair tokenizer with word ends treats every word alike, wherever it stands.  So texts
 are split into words, each distinct word is encoded once, and its ids are joined back to all
-its places; decoding joins ids with the pieces they stand for, again once for each word.
+its places; decoding joins the ids with the pieces they stand for.
 """
 
 from __future__ import annotations
@@ -15,11 +15,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from goldweft.llm import wordblocks as W
-from goldweft.llm.common import stage
+from goldweft.llm.common import slices
 from goldweft.llm.token_counts import byte_symbols
 
 #: Fixed value: what the tokenizer takes for a word, after lower-casing; all else is dropped.
@@ -59,12 +58,6 @@ class Vocabulary:
         ranks = {(ids[a], ids[b]): (i, ids[a + b]) for i, (a, b) in enumerate(pairs)}
         return cls(ids, ranks, {t["content"]: t["id"] for t in spec["added_tokens"]})
 
-    def pieces(self, spark: SparkSession) -> DataFrame:
-        """id and piece; as many rows as the file has."""
-        rows = {**self.ids, **self.special}
-        table = pa.table({"id": pa.array(rows.values(), pa.int32()), "piece": pa.array(rows.keys(), pa.string())})
-        return spark.createDataFrame(table)
-
 
 class Splitter:
     """Cuts a text into words; special words are found before anything else."""
@@ -132,65 +125,100 @@ class Merger:
         return [s for s in symbol if s >= 0]
 
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """word and ids of every row of ``words`` (column word)."""
-    shared = words.sparkSession.sparkContext.broadcast(vocabulary)  # the file: a fixed size
-
-    def run(batches):
-        merger = Merger(shared.value)
-        for batch in batches:
-            found = [merger.ids(w) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(found, pa.list_(pa.int32()))], names=["word", "ids"]
-            )
-
-    return words.mapInArrow(run, "word string, ids array<int>")
-
-
-def decode(encoded: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
-    """``key`` (unique, not null) and ``decoded``: the pieces of ``ids`` with one space between.
-
-    Ids meet their pieces in a join and go back to their places; the pieces are sent to every
-    task, as the vocabulary file bounds them.  An id without a piece leaves no trace, no ids
-    give an empty text.
-    """
-    placed = encoded.select(key, F.posexplode("ids").alias("place", "id"))
-    spelt = (
-        placed.join(F.broadcast(pieces), "id")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("place", "piece"))).alias("found"))
-        .select(key, F.array_join(F.col("found.piece"), " ").alias("decoded"))
+def _encode(merger: Merger, table: pa.Table) -> pa.Table:
+    """Ids of the words of one bucket, each distinct word encoded once."""
+    known: dict[str, list[int]] = {}
+    lengths, ids = [], []
+    for words in table.column("words").to_pylist():
+        found = []
+        for word in words.split("\n"):
+            if (one := known.get(word)) is None:
+                one = known[word] = merger.ids(word)
+            found.append(one)
+        lengths.append(W.small([len(one) for one in found]))
+        ids.append(W.small([i for one in found for i in one]))
+    return pa.table(
+        {
+            "block": table.column("block"),
+            "numbers": table.column("numbers"),
+            "lengths": pa.array(lengths, pa.binary()),
+            "ids": pa.array(ids, pa.binary()),
+        }
     )
-    return encoded.select(key).join(spelt, key, "left").fillna("", ["decoded"])
 
 
-def _fit(texts: pa.Table, table: pa.Table) -> pa.Table:
-    """Ids and decoded texts of a block, from those of its words."""
+def _fit(texts: pa.Table, found: pa.Table) -> pa.Table:
+    """Ids of the texts of a block, from those of its words."""
     codes, ends = W.codes_of(texts)
     size = int(codes.max()) + 1 if len(codes) else 0
-    numbers = table.column("n").to_numpy()
-    lists = table.column("ids").combine_chunks()
-    offsets = lists.offsets.to_numpy()
     begin, length = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    begin[numbers], length[numbers] = offsets[:-1], np.diff(offsets)
-    flat = lists.values.to_numpy()
-    spelt = np.empty(size, object)
-    spelt[numbers] = table.column("decoded").to_pylist()
+    flat, before = [np.empty(0, np.int64)], 0
+    for numbers, lengths, ids in zip(*[found.column(c).to_pylist() for c in ("numbers", "lengths", "ids")]):
+        numbers, lengths = W.numbers_of(numbers), W.large(lengths)
+        begin[numbers] = before + np.cumsum(lengths) - lengths
+        length[numbers] = lengths
+        flat.append(W.large(ids))
+        before += len(flat[-1])
+    flat = np.concatenate(flat).astype("<u4")
     lengths = length[codes]
     stops = np.concatenate([[0], np.cumsum(lengths)])
-    at = np.arange(stops[-1]) + np.repeat(begin[codes] - stops[:-1], lengths)
-    ids = flat[at].astype("<u4")
+    ids = flat[np.arange(stops[-1]) + np.repeat(begin[codes] - stops[:-1], lengths)]
     cuts = stops[ends]
     return pa.table(
         {
             "key": texts.column("key"),
             "n_tokens": pa.array(np.diff(cuts), pa.int64()),
             "ids": pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            "decoded": pa.array([" ".join(spelt[codes[a:b]]) for a, b in zip(ends, ends[1:])], pa.string()),
         }
     )
 
 
+def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, n_tokens and ids (32-bit little-endian numbers in one binary) of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the file: a fixed size
+    mergers: list[Merger] = []
+
+    def find(table: pa.Table) -> pa.Table:
+        if not mergers:
+            mergers.append(Merger(shared.value))
+        return _encode(mergers[0], table)
+
+    packed = W.pack(docs, key, text, Splitter(vocabulary.special))
+    kind = packed.schema["key"].dataType.simpleString()
+    found = W.look_up(packed, find, "block long, numbers binary, lengths binary, ids binary")
+    filled = W.fill(packed, found, _fit, f"key {kind}, n_tokens long, ids binary")
+    return filled.withColumnRenamed("key", key)
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``encoded`` with ``decoded``: the pieces of its ``ids`` with one space between.
+
+    A join of ids with the table of pieces, which is ordered by id and sent to every task, as
+    the vocabulary file bounds it; so places keep their order and nothing is shuffled.  An id
+    without a piece leaves no trace, no ids give an empty text.
+    """
+    pieces = [""] * (1 + max([*vocabulary.ids.values(), *vocabulary.special.values()]))
+    for piece, i in [*vocabulary.ids.items(), *vocabulary.special.items()]:
+        pieces[i] = piece
+    shared = encoded.sparkSession.sparkContext.broadcast(pieces)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded string"
+
+    def run(batches):
+        by_id = np.array([p.encode() for p in shared.value], object)
+        has = np.array([bool(p) for p in shared.value])
+        for batch in slices(batches, "ids"):
+            texts = []
+            for data in batch.column("ids").to_pylist():
+                ids = np.frombuffer(data or b"", "<u4")
+                ids = ids[ids < len(by_id)]
+                texts.append(b" ".join(by_id[ids[has[ids]]]).decode())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
+            )
+
+    return encoded.mapInArrow(run, schema)
+
+
 def round_trip(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_tokens, ids (32-bit little-endian numbers in one binary) and decoded of
     every row of ``docs``.
@@ -200,14 +228,5 @@ def round_trip(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str
     strings in a text are one id.  Repeated rows and null keys give a row each, an empty table
     none; other columns are left out.  Words of any length are encoded, one at a time.
     """
-    spark = docs.sparkSession
     known = Vocabulary.read(vocabulary)
-    packed = W.pack(docs, key, text, Splitter(known.special))
-    listed = W.words(packed)
-    encoded = stage(encode_words(listed.select("word").distinct(), known), "word-ids")
-    decoded = decode(encoded, known.pieces(spark), "word")
-    table = encoded.join(decoded, "word")
-    found = listed.select("block", "n", "word").join(table, "word").select("block", "n", "ids", "decoded")
-    kind = packed.schema["key"].dataType.simpleString()
-    filled = W.fill(W.texts(packed), found, _fit, f"key {kind}, n_tokens long, ids binary, decoded string")
-    return filled.select(F.col("key").alias(key), "n_tokens", "ids", "decoded")
+    return decode(encode(docs, known, key, text), known)

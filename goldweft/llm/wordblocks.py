@@ -1,13 +1,15 @@
 """Texts as numbers of words, in blocks that know their own words.
 
-What is to be found out about a word is found out once for all texts: each block of texts
-lists its distinct words, Spark joins those lists with a table of words, and what comes back
-is put in the words' places block by block.  So a shuffle carries a frequent word once a
-block, not once a place, and no table of words has to fit anywhere.
+What is to be found out about a word is found out once for all texts.  Each block of texts
+lists its distinct words; the lists are dealt out by a hash of the word, so that one group
+has all that is known of a word; what it finds goes back to the blocks, word by word, and
+there to the words' places.  A shuffle so carries a frequent word once a block, not once a
+place, no table of words has to fit anywhere, and a word on every line is no hot key.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -20,7 +22,42 @@ from pyspark.sql import functions as F
 from goldweft.llm.common import slices, stage, texts_of
 
 #: Bytes of text that a task numbers at once; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+#: Bytes of text for each bucket of words: the number of buckets grows with the texts.
+BUCKET_BYTES = 16 << 20
+
+
+def small(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 below 2^28 in one to four bytes each, 7 bits a byte, the low ones first."""
+    numbers = np.asarray(numbers, np.uint32)
+    size = 1 + (numbers >= 1 << 7) + (numbers >= 1 << 14) + (numbers >= 1 << 21)
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    first = ends - size
+    for i in range(4):
+        has = size > i
+        more = (size[has] > i + 1).astype(np.uint8) << 7
+        out[first[has] + i] = ((numbers[has] >> np.uint32(7 * i)) & np.uint32(127)).astype(np.uint8) | more
+    return out.tobytes()
+
+
+def large(data: bytes) -> np.ndarray:
+    """The numbers that :func:`small` wrote."""
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(raw < 128)
+    first = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    size = ends - first
+    numbers = np.zeros(len(ends), np.int64)
+    for i in range(4):
+        has = size >= i
+        numbers[has] |= (raw[first[has] + i] & 127).astype(np.int64) << (7 * i)
+    return numbers
+
+
+def buckets_for(docs: DataFrame, text: str) -> int:
+    """How many buckets the words of these texts are dealt to."""
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    return max(16, int(size) // BUCKET_BYTES)
 
 
 class _Block:
@@ -31,9 +68,48 @@ class _Block:
         self.codes: list[np.ndarray] = []
 
     def add(self, key, words: list) -> None:
-        codes = np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
         self.keys.append(key)
-        self.codes.append(codes)
+        self.codes.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+
+    def rows(self, block: int, group: str | None, key_type: pa.DataType, silent, buckets: int):
+        size = len(self.keys)
+        uses = np.bincount(np.concatenate(self.codes), minlength=len(self.numbers))
+        # Frequent words get small numbers, which take fewer bytes.
+        order = np.argsort(-uses, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        yield _batch(
+            [block] * size, [group] * size, pa.array(self.keys, key_type),
+            pa.array([small(rank[c]) for c in self.codes], pa.binary()),
+            pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.string()), pa.nulls(size, pa.binary()),
+        )
+        listed = list(self.numbers)
+        by_bucket: dict[int, list[int]] = defaultdict(list)
+        for place, i in enumerate(order.tolist()):
+            if (word := listed[i]) not in silent:
+                data = word if isinstance(word, bytes) else word.encode()
+                by_bucket[zlib.crc32(data) % buckets].append(place)
+        uses = uses[order]
+        size = len(by_bucket)
+        if not size:
+            return
+        join = (lambda ws: b"\n".join(ws).decode()) if isinstance(listed[0], bytes) else "\n".join
+        places = [np.array(p, np.int64) for p in by_bucket.values()]
+        yield _batch(
+            [block] * size, [group] * size, pa.nulls(size, key_type), pa.nulls(size, pa.binary()),
+            pa.array(by_bucket, pa.int32()),
+            pa.array([small(np.diff(p, prepend=0)) for p in places], pa.binary()),
+            pa.array([join([listed[i] for i in order[p]]) for p in places], pa.string()),
+            pa.array([small(np.minimum(uses[p], (1 << 28) - 1)) for p in places], pa.binary()),
+        )
+
+
+_NAMES = ["block", "group", "key", "codes", "bucket", "numbers", "words", "uses"]
+
+
+def _batch(block, group, *columns) -> pa.RecordBatch:
+    arrays = [pa.array(block, pa.int64()), pa.array(group, pa.string()), *columns]
+    return pa.RecordBatch.from_arrays(arrays, names=_NAMES)
 
 
 def pack(
@@ -46,12 +122,14 @@ def pack(
 ) -> DataFrame:
     """The texts of ``docs`` by number, written to the shared folder.
 
-    ``split`` gives the words of a text in UTF-8; those in ``silent`` get a number, but are
-    not listed.  Texts of a block have the same ``group``.  Rows of texts: block, group, key
-    and codes (32-bit numbers).  Rows of words (``n`` is not null): block, group, n (the
-    number in this block), word, uses.  Block numbers are made of the task's and a running
-    one; a repeated task makes them anew, and only one attempt is written.
+    ``split`` gives the words of a text in UTF-8, none of which may hold U+000A; those in
+    ``silent`` get a number, but are not listed.  Texts of a block have the same ``group``.
+    Rows of texts: block, group, key, codes.  Rows of words, one a block and bucket: block,
+    group, bucket, numbers (differences), words (a line each) and uses.  Block numbers are
+    made of the task's and a running one; a repeated task makes them anew, and only one
+    attempt is written.
     """
+    buckets = buckets_for(docs, text)
     rows = docs.select(
         F.col(f"`{key}`").alias("key"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
@@ -63,74 +141,54 @@ def pack(
         block = TaskContext.get().partitionId() << 32
         blocks: dict[str, _Block] = defaultdict(_Block)
         pending, key_type = 0, None
+
+        def flush():
+            nonlocal block, pending
+            for g, b in blocks.items():
+                yield from b.rows(block, g, key_type, silent, buckets)
+                block += 1
+            blocks.clear()
+            pending = 0
+
         for batch in slices(batches):
-            texts, key_type = texts_of(batch.column("text")), batch.column("key").type
-            for k, t, g in zip(batch.column("key").to_pylist(), texts, batch.column("group").to_pylist()):
+            key_type = batch.column("key").type
+            found = zip(batch.column("key").to_pylist(), texts_of(batch.column("text")), batch.column("group").to_pylist())
+            for k, t, g in found:
                 blocks[g].add(k, split(t))
                 pending += len(t) + 16
                 if pending >= BLOCK_BYTES:
-                    for g, b in blocks.items():
-                        yield from _rows(b, block, g, key_type, silent)
-                        block += 1
-                    blocks.clear()
-                    pending = 0
-        for g, b in blocks.items():
-            yield from _rows(b, block, g, key_type, silent)
-            block += 1
+                    yield from flush()
+        yield from flush()
 
     packed = rows.mapInArrow(
-        run, f"block long, group string, key {kind}, codes binary, n int, word string, uses long"
+        run, f"block long, group string, key {kind}, codes binary, bucket int, numbers binary, words string, uses binary"
     )
     return stage(packed, "word-blocks")
 
 
-def _rows(b: _Block, block: int, group, key_type, silent) -> Iterator[pa.RecordBatch]:
-    size = len(b.keys)
-    whole = np.concatenate(b.codes)
-    uses = np.bincount(whole, minlength=len(b.numbers))
-    yield _batch(
-        [block] * size, [group] * size, pa.array(b.keys, key_type), pa.array([c.tobytes() for c in b.codes], pa.binary()),
-        pa.nulls(size, pa.int32()), pa.nulls(size, pa.string()), pa.nulls(size, pa.int64()),
-    )
-    listed = [(n, w) for w, n in b.numbers.items() if w not in silent]
-    size = len(listed)
-    if size:
-        numbers = np.array([n for n, _ in listed], np.int32)
-        yield _batch(
-            [block] * size, [group] * size, pa.nulls(size, key_type), pa.nulls(size, pa.binary()),
-            pa.array(numbers), pa.array([w for _, w in listed], pa.string()), pa.array(uses[numbers], pa.int64()),
-        )
-
-
-def _batch(block, group, *columns) -> pa.RecordBatch:
-    names = ["block", "group", "key", "codes", "n", "word", "uses"]
-    arrays = [pa.array(block, pa.int64()), pa.array(group, pa.string()), *columns]
-    return pa.RecordBatch.from_arrays(arrays, names=names)
-
+def look_up(packed: DataFrame, find: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``find`` gets the lists of one bucket: block, group, bucket, numbers, words and uses.
+    A word is in one bucket only, with all blocks that have it."""
+    lists = packed.filter("bucket IS NOT NULL").select("block", "group", "bucket", "numbers", "words", "uses")
+    return lists.groupBy("bucket").applyInArrow(find, schema)
 
-def texts(packed: DataFrame) -> DataFrame:
-    return packed.filter("n IS NULL").select("block", "group", "key", "codes")
 
-
-def words(packed: DataFrame) -> DataFrame:
-    return packed.filter("n IS NOT NULL").select("block", "group", "n", "word", "uses")
-
-
-def fill(
-    packed_texts: DataFrame,
-    found: DataFrame,
-    fit: Callable[[pa.Table, pa.Table], pa.Table],
-    schema: str,
-) -> DataFrame:
-    """Bring what was found for the words (block, n, ...) back to the texts of their block;
-    ``fit`` gets both as tables, one block at a time."""
+def fill(packed: DataFrame, found: DataFrame, fit: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Bring what was found (block, numbers, ...) back to the texts of its block; ``fit``
+    gets both as tables, one block at a time."""
+    texts = packed.filter("bucket IS NULL").select("block", "group", "key", "codes")
     # A name of its own: both sides come from the same packed table.
     found = found.withColumnRenamed("block", "of_block")
-    return packed_texts.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(fit, schema)
+    return texts.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(fit, schema)
 
 
 def codes_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All codes of a block's texts, and where each text's codes begin and end."""
-    parts = [np.frombuffer(c, np.int32) for c in table.column("codes").to_pylist()]
+    parts = [large(c) for c in table.column("codes").to_pylist()]
     ends = np.cumsum([0, *map(len, parts)], dtype=np.int64)
-    return np.concatenate([np.empty(0, np.int32), *parts]), ends
+    return np.concatenate([np.empty(0, np.int64), *parts]), ends
+
+
+def numbers_of(data: bytes) -> np.ndarray:
+    """The numbers of a list of words."""
+    return np.cumsum(large(data))

@@ -58,6 +58,7 @@ def test_equals_the_library(spark):
 
 def test_small_blocks_nulls_and_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(wordblocks, "BLOCK_BYTES", 64)
+    monkeypatch.setattr(wordblocks, "BUCKET_BYTES", 4)
     rows = [(1, "same words here"), (1, "same words here"), (None, "same words"), (2, None), (3, "")] * 5
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = bpe_codec.round_trip(docs, PATH).collect()
@@ -76,10 +77,16 @@ def test_text_keys_and_other_files(spark):
 
 
 def test_decode_of_any_table(spark):
-    pieces = spark.createDataFrame([(1, "a"), (2, "b</w>")], "id int, piece string")
-    rows = spark.createDataFrame([("x", [1, 2, 1]), ("y", []), ("z", [9, 2])], "name string, ids array<int>")
-    got = dict(bpe_codec.decode(rows, pieces, "name").collect())
-    assert got == {"x": "a b</w> a", "y": "", "z": "b</w>"}
+    vocabulary = bpe_codec.Vocabulary({"a": 1, "b</w>": 2}, {}, {"<s>": 4})
+    ids = lambda *n: np.array(n, "<u4").tobytes()
+    rows = spark.createDataFrame([("x", ids(1, 2, 1)), ("y", ids()), ("z", ids(9, 2, 3, 4, 0)), ("n", None)], "name string, ids binary")
+    got = {r.name: r.decoded for r in bpe_codec.decode(rows, vocabulary).collect()}
+    assert got == {"x": "a b</w> a", "y": "", "z": "b</w> <s>", "n": ""}
+
+
+def test_numbers_in_few_bytes():
+    for numbers in ([], [0], [127, 128, 16383, 16384, (1 << 21) - 1, 1 << 21, (1 << 28) - 1, 5]):
+        assert wordblocks.large(wordblocks.small(numbers)).tolist() == numbers
 
 
 def test_query_on_the_smallest_data(spark):
