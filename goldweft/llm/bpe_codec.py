@@ -131,12 +131,12 @@ def _encode(merger: Merger, table: pa.Table) -> pa.Table:
     lengths, ids = [], []
     for words in table.column("words").to_pylist():
         found = []
-        for word in words.split("\n"):
+        for word in W.words_of(words):
             if (one := known.get(word)) is None:
                 one = known[word] = merger.ids(word)
             found.append(one)
         lengths.append(W.small([len(one) for one in found]))
-        ids.append(W.small([i for one in found for i in one]))
+        ids.append(W.tight(W.small([i for one in found for i in one])))
     return pa.table(
         {
             "block": table.column("block"),
@@ -149,32 +149,32 @@ def _encode(merger: Merger, table: pa.Table) -> pa.Table:
 
 def _fit(texts: pa.Table, found: pa.Table) -> pa.Table:
     """Ids of the texts of a block, from those of its words."""
-    codes, ends = W.codes_of(texts)
-    size = int(codes.max()) + 1 if len(codes) else 0
+    lists = [W.numbers_of(n) for n in found.column("numbers").to_pylist()]
+    size = 1 + max((int(n[-1]) for n in lists), default=-1)
     begin, length = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    flat, before = [np.empty(0, np.int64)], 0
-    for numbers, lengths, ids in zip(*[found.column(c).to_pylist() for c in ("numbers", "lengths", "ids")]):
-        numbers, lengths = W.numbers_of(numbers), W.large(lengths)
+    parts, before = [np.empty(0, "<u4")], 0
+    for numbers, lengths, ids in zip(lists, found.column("lengths").to_pylist(), found.column("ids").to_pylist()):
+        lengths = W.large(lengths)
         begin[numbers] = before + np.cumsum(lengths) - lengths
         length[numbers] = lengths
-        flat.append(W.large(ids))
-        before += len(flat[-1])
-    flat = np.concatenate(flat).astype("<u4")
-    lengths = length[codes]
-    stops = np.concatenate([[0], np.cumsum(lengths)])
-    ids = flat[np.arange(stops[-1]) + np.repeat(begin[codes] - stops[:-1], lengths)]
-    cuts = stops[ends]
+        parts.append(W.large(W.loose(ids)).astype("<u4"))
+        before += len(parts[-1])
+    flat = np.concatenate(parts)
+    counts, packed = [], []
+    for data in texts.column("codes").to_pylist():
+        codes = W.large(W.loose(data))
+        lengths = length[codes]
+        stops = np.cumsum(lengths)
+        counts.append(int(stops[-1]) if len(stops) else 0)
+        at = np.arange(counts[-1]) + np.repeat(begin[codes] - stops + lengths, lengths)
+        packed.append(flat[at].tobytes())
     return pa.table(
-        {
-            "key": texts.column("key"),
-            "n_tokens": pa.array(np.diff(cuts), pa.int64()),
-            "ids": pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-        }
+        {"key": texts.column("key"), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(packed, pa.binary())}
     )
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, n_tokens and ids (32-bit little-endian numbers in one binary) of every row."""
+def _words_to_ids(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The numbered texts, and the ids of their words."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the file: a fixed size
     mergers: list[Merger] = []
 
@@ -184,10 +184,34 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
         return _encode(mergers[0], table)
 
     packed = W.pack(docs, key, text, Splitter(vocabulary.special))
+    return packed, W.look_up(packed, find, "block long, numbers binary, lengths binary, ids binary")
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, n_tokens and ids (32-bit little-endian numbers in one binary) of every row."""
+    packed, found = _words_to_ids(docs, vocabulary, key, text)
     kind = packed.schema["key"].dataType.simpleString()
-    found = W.look_up(packed, find, "block long, numbers binary, lengths binary, ids binary")
-    filled = W.fill(packed, found, _fit, f"key {kind}, n_tokens long, ids binary")
-    return filled.withColumnRenamed("key", key)
+    return W.fill(packed, found, _fit, f"key {kind}, n_tokens long, ids binary").withColumnRenamed("key", key)
+
+
+class Pieces:
+    """The table of pieces, ordered by id, with which ids are joined."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        rows = [*vocabulary.ids.items(), *vocabulary.special.items()]
+        size = 1 + max(i for _, i in rows)
+        self.by_id, self.has = np.full(size, b"", object), np.zeros(size, bool)
+        for piece, i in rows:
+            self.by_id[i], self.has[i] = piece.encode(), True
+
+    def join(self, column: pa.ChunkedArray | pa.Array) -> pa.Array:
+        """The decoded texts of a column of ids."""
+        texts = []
+        for data in column.to_pylist():
+            ids = np.frombuffer(data or b"", "<u4")
+            ids = ids[ids < len(self.by_id)]
+            texts.append(b" ".join(self.by_id[ids[self.has[ids]]]))
+        return pa.array(texts, pa.string())
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -197,23 +221,13 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     the vocabulary file bounds it; so places keep their order and nothing is shuffled.  An id
     without a piece leaves no trace, no ids give an empty text.
     """
-    pieces = [""] * (1 + max([*vocabulary.ids.values(), *vocabulary.special.values()]))
-    for piece, i in [*vocabulary.ids.items(), *vocabulary.special.items()]:
-        pieces[i] = piece
-    shared = encoded.sparkSession.sparkContext.broadcast(pieces)
+    shared = encoded.sparkSession.sparkContext.broadcast(Pieces(vocabulary))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded string"
 
     def run(batches):
-        by_id = np.array([p.encode() for p in shared.value], object)
-        has = np.array([bool(p) for p in shared.value])
         for batch in slices(batches, "ids"):
-            texts = []
-            for data in batch.column("ids").to_pylist():
-                ids = np.frombuffer(data or b"", "<u4")
-                ids = ids[ids < len(by_id)]
-                texts.append(b" ".join(by_id[ids[has[ids]]]).decode())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
+                [*batch.columns, shared.value.join(batch.column("ids"))], names=[*batch.schema.names, "decoded"]
             )
 
     return encoded.mapInArrow(run, schema)
@@ -229,4 +243,13 @@ def round_trip(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str
     none; other columns are left out.  Words of any length are encoded, one at a time.
     """
     known = Vocabulary.read(vocabulary)
-    return decode(encode(docs, known, key, text), known)
+    packed, found = _words_to_ids(docs, known, key, text)
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces(known))
+
+    def fit(texts: pa.Table, found: pa.Table) -> pa.Table:
+        coded = _fit(texts, found)  # decoded in the same task as encoded: one hand-over less
+        return coded.append_column("decoded", shared.value.join(coded.column("ids")))
+
+    kind = packed.schema["key"].dataType.simpleString()
+    filled = W.fill(packed, found, fit, f"key {kind}, n_tokens long, ids binary, decoded string")
+    return filled.withColumnRenamed("key", key)

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from goldweft.llm.common import slices, stage, texts_of
 
 #: Bytes of text that a task numbers at once; a longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 #: Bytes of text for each bucket of words: the number of buckets grows with the texts.
 BUCKET_BYTES = 16 << 20
 
@@ -54,6 +55,14 @@ def large(data: bytes) -> np.ndarray:
     return numbers
 
 
+def tight(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(3).compress(data)
+
+
+def loose(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def buckets_for(docs: DataFrame, text: str) -> int:
     """How many buckets the words of these texts are dealt to."""
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
@@ -71,39 +80,47 @@ class _Block:
         self.keys.append(key)
         self.codes.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
 
-    def rows(self, block: int, group: str | None, key_type: pa.DataType, silent, buckets: int):
+    def rows(self, block: int, group: str | None, key_type: pa.DataType, silent, buckets: int, count: bool):
         size = len(self.keys)
-        uses = np.bincount(np.concatenate(self.codes), minlength=len(self.numbers))
-        # Frequent words get small numbers, which take fewer bytes.
-        order = np.argsort(-uses, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        listed = list(self.numbers)
+        uses = np.bincount(np.concatenate(self.codes), minlength=len(listed))
+        order = _order(listed, uses)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         yield _batch(
             [block] * size, [group] * size, pa.array(self.keys, key_type),
-            pa.array([small(rank[c]) for c in self.codes], pa.binary()),
-            pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.string()), pa.nulls(size, pa.binary()),
+            pa.array([tight(small(rank[c])) for c in self.codes], pa.binary()),
+            pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()),
         )
-        listed = list(self.numbers)
+        self.codes.clear()
         by_bucket: dict[int, list[int]] = defaultdict(list)
         for place, i in enumerate(order.tolist()):
             if (word := listed[i]) not in silent:
                 data = word if isinstance(word, bytes) else word.encode()
                 by_bucket[zlib.crc32(data) % buckets].append(place)
-        uses = uses[order]
         size = len(by_bucket)
         if not size:
             return
-        join = (lambda ws: b"\n".join(ws).decode()) if isinstance(listed[0], bytes) else "\n".join
+        join = b"\n".join if isinstance(listed[0], bytes) else (lambda ws: "\n".join(ws).encode())
         places = [np.array(p, np.int64) for p in by_bucket.values()]
+        counts = [small(np.minimum(uses[order[p]], (1 << 28) - 1)) for p in places] if count else [None] * size
         yield _batch(
             [block] * size, [group] * size, pa.nulls(size, key_type), pa.nulls(size, pa.binary()),
             pa.array(by_bucket, pa.int32()),
             pa.array([small(np.diff(p, prepend=0)) for p in places], pa.binary()),
-            pa.array([join([listed[i] for i in order[p]]) for p in places], pa.string()),
-            pa.array([small(np.minimum(uses[p], (1 << 28) - 1)) for p in places], pa.binary()),
+            pa.array([tight(join([listed[i] for i in order[p].tolist()])) for p in places], pa.binary()),
+            pa.array(counts, pa.binary()),
         )
 
 
+def _order(listed: list, uses: np.ndarray) -> np.ndarray:
+    """Words by number: the 2^7 most frequent ones, whose numbers take one byte, the next ones
+    up to 2^14, then the others; of each kind in order of their letters, which packs well."""
+    by_uses = np.argsort(-uses, kind="stable").tolist()
+    kinds = (by_uses[: 1 << 7], by_uses[1 << 7 : 1 << 14], by_uses[1 << 14 :])
+    return np.array([i for kind in kinds for i in sorted(kind, key=listed.__getitem__)], np.int64)
+
+
 _NAMES = ["block", "group", "key", "codes", "bucket", "numbers", "words", "uses"]
 
 
@@ -119,15 +136,15 @@ def pack(
     split: Callable[[bytes], list],
     group: str | None = None,
     silent: frozenset = frozenset(),
+    count: bool = False,
 ) -> DataFrame:
     """The texts of ``docs`` by number, written to the shared folder.
 
     ``split`` gives the words of a text in UTF-8, none of which may hold U+000A; those in
     ``silent`` get a number, but are not listed.  Texts of a block have the same ``group``.
     Rows of texts: block, group, key, codes.  Rows of words, one a block and bucket: block,
-    group, bucket, numbers (differences), words (a line each) and uses.  Block numbers are
-    made of the task's and a running one; a repeated task makes them anew, and only one
-    attempt is written.
+    group, bucket, numbers, words and, with ``count``, uses.  Block numbers are made of the
+    task's and a running one; a repeated task makes them anew, and only one attempt is written.
     """
     buckets = buckets_for(docs, text)
     rows = docs.select(
@@ -145,7 +162,7 @@ def pack(
         def flush():
             nonlocal block, pending
             for g, b in blocks.items():
-                yield from b.rows(block, g, key_type, silent, buckets)
+                yield from b.rows(block, g, key_type, silent, buckets, count)
                 block += 1
             blocks.clear()
             pending = 0
@@ -161,7 +178,7 @@ def pack(
         yield from flush()
 
     packed = rows.mapInArrow(
-        run, f"block long, group string, key {kind}, codes binary, bucket int, numbers binary, words string, uses binary"
+        run, f"block long, group string, key {kind}, codes binary, bucket int, numbers binary, words binary, uses binary"
     )
     return stage(packed, "word-blocks")
 
@@ -184,7 +201,7 @@ def fill(packed: DataFrame, found: DataFrame, fit: Callable[[pa.Table, pa.Table]
 
 def codes_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All codes of a block's texts, and where each text's codes begin and end."""
-    parts = [large(c) for c in table.column("codes").to_pylist()]
+    parts = [large(loose(c)) for c in table.column("codes").to_pylist()]
     ends = np.cumsum([0, *map(len, parts)], dtype=np.int64)
     return np.concatenate([np.empty(0, np.int64), *parts]), ends
 
@@ -192,3 +209,7 @@ def codes_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def numbers_of(data: bytes) -> np.ndarray:
     """The numbers of a list of words."""
     return np.cumsum(large(data))
+
+
+def words_of(data: bytes) -> list[str]:
+    return loose(data).decode().split("\n")
