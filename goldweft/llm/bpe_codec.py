@@ -161,15 +161,15 @@ def _fit(texts: pa.Table, found: pa.Table) -> pa.Table:
         before += len(parts[-1])
     flat = np.concatenate(parts)
     counts, packed = [], []
-    for data in texts.column("codes").to_pylist():
-        codes = W.large(W.loose(data))
+    for codes, ends in W.runs_of(texts):
         lengths = length[codes]
-        stops = np.cumsum(lengths)
-        counts.append(int(stops[-1]) if len(stops) else 0)
-        at = np.arange(counts[-1]) + np.repeat(begin[codes] - stops + lengths, lengths)
-        packed.append(flat[at].tobytes())
+        stops = np.concatenate([[0], np.cumsum(lengths)])
+        ids = flat[np.arange(stops[-1]) + np.repeat(begin[codes] - stops[:-1], lengths)]
+        cuts = stops[ends]
+        counts += np.diff(cuts).tolist()
+        packed += [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
     return pa.table(
-        {"key": texts.column("key"), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(packed, pa.binary())}
+        {"key": W.keys_of(texts), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(packed, pa.binary())}
     )
 
 
@@ -190,7 +190,7 @@ def _words_to_ids(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str)
 def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_tokens and ids (32-bit little-endian numbers in one binary) of every row."""
     packed, found = _words_to_ids(docs, vocabulary, key, text)
-    kind = packed.schema["key"].dataType.simpleString()
+    kind = packed.schema["keys"].dataType.elementType.simpleString()
     return W.fill(packed, found, _fit, f"key {kind}, n_tokens long, ids binary").withColumnRenamed("key", key)
 
 
@@ -250,6 +250,6 @@ def round_trip(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str
         coded = _fit(texts, found)  # decoded in the same task as encoded: one hand-over less
         return coded.append_column("decoded", shared.value.join(coded.column("ids")))
 
-    kind = packed.schema["key"].dataType.simpleString()
+    kind = packed.schema["keys"].dataType.elementType.simpleString()
     filled = W.fill(packed, found, fit, f"key {kind}, n_tokens long, ids binary, decoded string")
     return filled.withColumnRenamed("key", key)

@@ -26,6 +26,8 @@ from goldweft.llm.common import slices, stage, texts_of
 BLOCK_BYTES = 12 << 20
 #: Bytes of text for each bucket of words: the number of buckets grows with the texts.
 BUCKET_BYTES = 16 << 20
+#: Numbers of words that are written as one value; a longer text is a value of its own.
+RUN_CODES = 1 << 16
 
 
 def small(numbers: np.ndarray) -> bytes:
@@ -80,16 +82,28 @@ class _Block:
         self.keys.append(key)
         self.codes.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
 
+    def _runs(self) -> list[tuple[int, int]]:
+        """Texts in a row that are written together."""
+        runs, begin, total = [], 0, 0
+        for i, codes in enumerate(self.codes):
+            if total and total + len(codes) > RUN_CODES:
+                runs.append((begin, i))
+                begin, total = i, 0
+            total += len(codes)
+        return [*runs, (begin, len(self.codes))]
+
     def rows(self, block: int, group: str | None, key_type: pa.DataType, silent, buckets: int, count: bool):
-        size = len(self.keys)
         listed = list(self.numbers)
         uses = np.bincount(np.concatenate(self.codes), minlength=len(listed))
         order = _order(listed, uses)
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
+        runs = self._runs()
+        size = len(runs)
         yield _batch(
-            [block] * size, [group] * size, pa.array(self.keys, key_type),
-            pa.array([tight(small(rank[c])) for c in self.codes], pa.binary()),
+            [block] * size, [group] * size, pa.array([self.keys[i:j] for i, j in runs], pa.list_(key_type)),
+            pa.array([small(np.array([len(c) for c in self.codes[i:j]])) for i, j in runs], pa.binary()),
+            pa.array([tight(small(rank[np.concatenate(self.codes[i:j])])) for i, j in runs], pa.binary()),
             pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()),
         )
         self.codes.clear()
@@ -105,7 +119,8 @@ class _Block:
         places = [np.array(p, np.int64) for p in by_bucket.values()]
         counts = [small(np.minimum(uses[order[p]], (1 << 28) - 1)) for p in places] if count else [None] * size
         yield _batch(
-            [block] * size, [group] * size, pa.nulls(size, key_type), pa.nulls(size, pa.binary()),
+            [block] * size, [group] * size, pa.nulls(size, pa.list_(key_type)),
+            pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()),
             pa.array(by_bucket, pa.int32()),
             pa.array([small(np.diff(p, prepend=0)) for p in places], pa.binary()),
             pa.array([tight(join([listed[i] for i in order[p].tolist()])) for p in places], pa.binary()),
@@ -121,7 +136,7 @@ def _order(listed: list, uses: np.ndarray) -> np.ndarray:
     return np.array([i for kind in kinds for i in sorted(kind, key=listed.__getitem__)], np.int64)
 
 
-_NAMES = ["block", "group", "key", "codes", "bucket", "numbers", "words", "uses"]
+_NAMES = ["block", "group", "keys", "sizes", "codes", "bucket", "numbers", "words", "uses"]
 
 
 def _batch(block, group, *columns) -> pa.RecordBatch:
@@ -142,7 +157,7 @@ def pack(
 
     ``split`` gives the words of a text in UTF-8, none of which may hold U+000A; those in
     ``silent`` get a number, but are not listed.  Texts of a block have the same ``group``.
-    Rows of texts: block, group, key, codes.  Rows of words, one a block and bucket: block,
+    Rows of texts: block, group, keys, sizes (words of each text), codes.  Rows of words, one a block and bucket: block,
     group, bucket, numbers, words and, with ``count``, uses.  Block numbers are made of the
     task's and a running one; a repeated task makes them anew, and only one attempt is written.
     """
@@ -178,7 +193,7 @@ def pack(
         yield from flush()
 
     packed = rows.mapInArrow(
-        run, f"block long, group string, key {kind}, codes binary, bucket int, numbers binary, words binary, uses binary"
+        run, f"block long, group string, keys array<{kind}>, sizes binary, codes binary, bucket int, numbers binary, words binary, uses binary"
     )
     return stage(packed, "word-blocks")
 
@@ -193,17 +208,20 @@ def look_up(packed: DataFrame, find: Callable[[pa.Table], pa.Table], schema: str
 def fill(packed: DataFrame, found: DataFrame, fit: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """Bring what was found (block, numbers, ...) back to the texts of its block; ``fit``
     gets both as tables, one block at a time."""
-    texts = packed.filter("bucket IS NULL").select("block", "group", "key", "codes")
+    texts = packed.filter("bucket IS NULL").select("block", "group", "keys", "sizes", "codes")
     # A name of its own: both sides come from the same packed table.
     found = found.withColumnRenamed("block", "of_block")
     return texts.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(fit, schema)
 
 
-def codes_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All codes of a block's texts, and where each text's codes begin and end."""
-    parts = [large(loose(c)) for c in table.column("codes").to_pylist()]
-    ends = np.cumsum([0, *map(len, parts)], dtype=np.int64)
-    return np.concatenate([np.empty(0, np.int64), *parts]), ends
+def runs_of(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The codes of a block's texts, some texts at a time, and where each text's begin and end."""
+    for sizes, codes in zip(table.column("sizes").to_pylist(), table.column("codes").to_pylist()):
+        yield large(loose(codes)), np.concatenate([[0], np.cumsum(large(sizes))])
+
+
+def keys_of(table: pa.Table) -> pa.Array:
+    return table.column("keys").combine_chunks().flatten()
 
 
 def numbers_of(data: bytes) -> np.ndarray:
