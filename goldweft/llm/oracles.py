@@ -106,3 +106,39 @@ SELECT c.conv_id, c.conv_id || '.' || c.turn AS call, c.turn AS place, c.depth,
        || '","valid":' || CASE WHEN coalesce(trim(c.text, ' ') <> '' AND words > 0, FALSE) THEN 'true' ELSE 'false' END || '}' AS json
 FROM c LEFT JOIN r ON r.conv_id = c.conv_id AND r.last = c.turn
 """
+
+ORACLES["op12_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM p),
+s AS (
+  SELECT lang, k, ws[i:i + k - 1] AS ws
+  FROM (SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM w, range(1, 4) t(k))
+),
+f AS (SELECT lang, k, array_to_string(ws, ' ') AS phrase, any_value(ws) AS ws, count(*) AS f FROM s GROUP BY lang, k, array_to_string(ws, ' ')),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, cut, l.f AS l, r.f AS r,
+         CAST(1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM c JOIN range(1, 3) t(cut) ON cut < c.k
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[cut + 1:], ' ')
+),
+best AS (SELECT lang, phrase, a, l, r, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, f FROM c WHERE k = 3
+),
+longer AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY lang, phrase),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE o.f IS NULL OR 100 * o.f < 50 * b.a
+)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM kept JOIN n ON n.lang = kept.lang
+QUALIFY rank <= 2000
+"""

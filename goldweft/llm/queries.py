@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweft.llm import bpe_codec, decontaminate, licences, line_dedup, mixing, ngram_join, quality
+from goldweft.llm import bpe_codec, collocations, decontaminate, licences, line_dedup, mixing, ngram_join, quality
 from goldweft.llm import substring_dedup, token_counts, tool_chat, topk_search
 from goldweft.llm.common import read
 
@@ -82,3 +82,8 @@ def op11_bpe_codec(spark, sf_dir):
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@_query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents"))

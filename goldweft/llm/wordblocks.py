@@ -31,16 +31,16 @@ RUN_CODES = 1 << 16
 
 
 def small(numbers: np.ndarray) -> bytes:
-    """Numbers from 0 below 2^28 in one to four bytes each, 7 bits a byte, the low ones first."""
-    numbers = np.asarray(numbers, np.uint32)
-    size = 1 + (numbers >= 1 << 7) + (numbers >= 1 << 14) + (numbers >= 1 << 21)
+    """Numbers from 0 below 2^35 in one to five bytes each, 7 bits a byte, the low ones first."""
+    numbers = np.asarray(numbers, np.int64)
+    size = 1 + (numbers >= 1 << 7) + (numbers >= 1 << 14) + (numbers >= 1 << 21) + (numbers >= 1 << 28)
     ends = np.cumsum(size)
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
     first = ends - size
-    for i in range(4):
+    for i in range(int(size.max(initial=0))):
         has = size > i
         more = (size[has] > i + 1).astype(np.uint8) << 7
-        out[first[has] + i] = ((numbers[has] >> np.uint32(7 * i)) & np.uint32(127)).astype(np.uint8) | more
+        out[first[has] + i] = ((numbers[has] >> 7 * i) & 127).astype(np.uint8) | more
     return out.tobytes()
 
 
@@ -51,7 +51,7 @@ def large(data: bytes) -> np.ndarray:
     first = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
     size = ends - first
     numbers = np.zeros(len(ends), np.int64)
-    for i in range(4):
+    for i in range(int(size.max(initial=-1)) + 1):
         has = size >= i
         numbers[has] |= (raw[first[has] + i] & 127).astype(np.int64) << (7 * i)
     return numbers
@@ -117,7 +117,7 @@ class _Block:
             return
         join = b"\n".join if isinstance(listed[0], bytes) else (lambda ws: "\n".join(ws).encode())
         places = [np.array(p, np.int64) for p in by_bucket.values()]
-        counts = [small(np.minimum(uses[order[p]], (1 << 28) - 1)) for p in places] if count else [None] * size
+        counts = [small(uses[order[p]]) for p in places] if count else [None] * size
         yield _batch(
             [block] * size, [group] * size, pa.nulls(size, pa.list_(key_type)),
             pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()),
