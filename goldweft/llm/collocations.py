@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ SAMPLE = 4
 #: Bits of the filter that tells tasks which pairs are proposed: 16 MB, whatever the input.
 #: A fuller filter lets more triples be counted that need not be; counts stay exact.
 FILTER_BITS = 27
+#: Buckets of phrases for each bucket of words; there are more phrases than words.
+PHRASE_BUCKETS = 4
 
 _BREAK = b"\xff"  # occurs in no UTF-8 text
 _TABLE = bytes.maketrans(
@@ -146,21 +149,46 @@ def pair_filter(pairs: DataFrame) -> np.ndarray:
     return bits
 
 
-def _count(coded: DataFrame, triples: bool = False, pairs: bool = True, of=None, but=None) -> DataFrame:
-    """g1, g2, g3 (null for pairs) and c: occurrences of pairs of frequent words and of triples
-    whose two pairs are in the filter ``of``, but not both in ``but``; counted in a block, then
-    over all blocks."""
+def _add_up(least: int):
+    """For one bucket: the phrases with ``least`` occurrences or more over all blocks."""
+
+    def add_up(table: pa.Table) -> pa.Table:
+        out = []
+        for size in (2, 3):
+            rows = table.filter(pa.compute.equal(table.column("size"), size)).column("counts").to_pylist()
+            if not rows:
+                continue
+            parts = [W.from_planes(W.loose(row)).reshape(size + 1, -1) for row in rows]
+            *phrase, n = np.concatenate(parts, axis=1)
+            order = np.lexsort(phrase)
+            phrase, n = [g[order] for g in phrase], n[order]
+            new = np.concatenate([[True], np.any([g[1:] != g[:-1] for g in phrase], axis=0)])
+            begin = np.flatnonzero(new)
+            total = np.add.reduceat(n, begin)
+            kept = begin[total >= least]
+            columns = [pa.array(g[kept]) for g in phrase] + [pa.nulls(len(kept), pa.int64())] * (3 - size)
+            out.append(pa.table([*columns, pa.array(total[total >= least])], names=["g1", "g2", "g3", "c"]))
+        return pa.concat_tables(out)
+
+    return add_up
+
+
+def _count(coded: DataFrame, least: int, buckets: int, triples: bool = False, pairs: bool = True, of=None, but=None) -> DataFrame:
+    """g1, g2, g3 (null for pairs) and c of the phrases with ``least`` occurrences or more:
+    pairs of frequent words and triples whose two pairs are in the filter ``of``, but not both
+    in ``but``.  They are counted in a block and dealt to buckets by a hash of the phrase; a
+    bucket adds up the counts of all blocks, one a phrase and block at most."""
     context = coded.sparkSession.sparkContext
     filters = [None if f is None else context.broadcast(f) for f in (of, but)]
 
     def block(ids: np.ndarray, codes: np.ndarray):
         width = len(ids) + 1
-        first, second = codes[:-1].astype(np.int64), codes[1:]
+        first, second = codes[:-1], codes[1:]
         valid = np.flatnonzero((first > 0) & (second > 0))
         keys, which = np.unique(first[valid] * width + second[valid], return_inverse=True)
         g1, g2 = ids[keys // width - 1], ids[keys % width - 1]
         if pairs:
-            yield g1, g2, None, np.bincount(which, minlength=len(keys))
+            yield g1, g2, np.bincount(which, minlength=len(keys))
         if triples and len(keys):
             marks = [None if f is None else _has(f.value, _bit(g1, g2)) for f in filters]
             at = np.flatnonzero(np.diff(valid) == 1)  # a pair and the one that begins at its second word
@@ -168,21 +196,34 @@ def _count(coded: DataFrame, triples: bool = False, pairs: bool = True, of=None,
             wanted = marks[0][left] & marks[0][right]
             if marks[1] is not None:
                 wanted &= ~(marks[1][left] & marks[1][right])
-            left, right = left[wanted], right[wanted]
-            three, n = np.unique(left.astype(np.int64) * width + keys[right] % width, return_counts=True)
+            three, n = np.unique(left[wanted].astype(np.int64) * width + keys[right[wanted]] % width, return_counts=True)
             two = three // width
             yield g1[two], g2[two], ids[three % width - 1], n
 
+    def deal(columns):
+        *phrase, _ = columns
+        hashed = np.zeros(len(phrase[0]), np.uint64)
+        for g in phrase:
+            hashed = mix(hashed + g.astype(np.uint64))
+        bucket = (hashed % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+        for i, j in zip(cuts, cuts[1:]):
+            at = order[i:j]
+            yield int(bucket[at[0]]), len(phrase), W.tight(W.planes(np.concatenate([c[at] for c in columns])))
+
     def run(batches):
+        names, kinds = ["bucket", "size", "counts"], [pa.int32(), pa.int32(), pa.binary()]
         for batch in slices(batches, "codes"):
             for ids, codes in zip(batch.column("ids").to_pylist(), batch.column("codes").to_pylist()):
-                for g1, g2, g3, n in block(np.frombuffer(W.loose(ids), np.int64), W.large(W.loose(codes))):
-                    last = pa.nulls(len(n), pa.int64()) if g3 is None else pa.array(g3, pa.int64())
-                    whole = pa.table([pa.array(g1), pa.array(g2), last, pa.array(n, pa.int64())], names=["g1", "g2", "g3", "c"])
-                    yield from whole.to_batches(max_chunksize=1 << 16)
+                for columns in block(np.frombuffer(W.loose(ids), np.int64), W.large(W.loose(codes))):
+                    if len(columns[0]):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, k) for c, k in zip(zip(*deal(columns)), kinds)], names=names
+                        )
 
-    counted = coded.mapInArrow(run, "g1 long, g2 long, g3 long, c long")
-    return counted.groupBy("g1", "g2", "g3").agg(F.sum("c").alias("c"))
+    dealt = coded.mapInArrow(run, "bucket int, size int, counts binary")
+    return dealt.groupBy("bucket").applyInArrow(_add_up(least), "g1 long, g2 long, g3 long, c long")
 
 
 def frequent_phrases(docs: DataFrame, least: int, text: str, lang: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -204,14 +245,15 @@ def frequent_phrases(docs: DataFrame, least: int, text: str, lang: str) -> tuple
 
     # Half of what a phrase just frequent would have in the sample: few are missed.
     lowered = max(1, least // (2 * SAMPLE) + 1)
-    proposed = stage(_count(coded.filter("sampled")).filter(F.col("c") >= lowered).select("g1", "g2"), "proposed")
+    buckets = PHRASE_BUCKETS * W.buckets_for(rows, "text")
+    proposed = stage(_count(coded.filter("sampled"), lowered, buckets).select("g1", "g2"), "proposed")
     inside = pair_filter(proposed)
-    counted = stage(_count(coded, triples=True, of=inside).filter(F.col("c") >= least), "counted")
+    counted = stage(_count(coded, least, buckets, triples=True, of=inside), "counted")
     pairs, triples = counted.filter("g3 IS NULL").drop("g3"), counted.filter("g3 IS NOT NULL")
     if not pairs.join(proposed, ["g1", "g2"], "left_anti").isEmpty():  # the border has failed
         # All pairs are counted, so the triples of this pass open nothing more.
-        wider = _count(coded, triples=True, pairs=False, of=pair_filter(pairs), but=inside)
-        triples = triples.unionByName(stage(wider.filter(F.col("c") >= least), "expansion"))
+        wider = _count(coded, least, buckets, triples=True, pairs=False, of=pair_filter(pairs), but=inside)
+        triples = triples.unionByName(stage(wider, "expansion"))
     return words, pairs, triples, totals
 
 
@@ -275,7 +317,7 @@ def collocations(
     )
     best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # A language may hold most phrases: first the best of each of its parts, then of those.
-    spread = two.unionByName(three).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(256)))
+    spread = two.unionByName(three).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(64)))
     ranked = lambda df, *by: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*best)).cast("long")).filter(
         F.col("rank") <= first
     )

@@ -71,6 +71,15 @@ def buckets_for(docs: DataFrame, text: str) -> int:
     return max(16, int(size) // BUCKET_BYTES)
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """64-bit numbers, all their first bytes, then all second ones, ...: packs well."""
+    return np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 class _Block:
     def __init__(self):
         self.numbers: dict = defaultdict()
