@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweft.llm import bpe_codec, collocations, decontaminate, licences, line_dedup, mixing, ngram_join, quality
+from goldweft.llm import bpe_codec, chat_repair, collocations, decontaminate, licences, line_dedup, mixing, ngram_join, quality
 from goldweft.llm import substring_dedup, token_counts, tool_chat, topk_search
 from goldweft.llm.common import read
 
@@ -87,3 +87,9 @@ def op11_bpe_codec(spark, sf_dir):
 @_query
 def op12_collocations(spark, sf_dir):
     return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_chat_repair(spark, sf_dir):
+    conversations = read(spark, sf_dir, "conversations")
+    return chat_repair.repair(chat_repair.damage(conversations), conversations)
