@@ -18,20 +18,63 @@ from pyspark.sql import functions as F
 
 from goldweft.llm.common import stage, words
 
-#: Lines of fewer words are never removed; a single word or two repeat by nature.
-LEAST_WORDS = 3
-#: From so many words on, lines are near within one edit; shorter ones must be equal.
-NEAR_WORDS = 8
+#: From so many words on, lines are near within one edit: at least 0.8 of the words agree.
+#: Shorter lines must be equal.  More edits are not allowed for in longer lines, as the
+#: variants without two words grow with the square of the line.
+NEAR_WORDS = 5
+#: Bits of the filter that tells which documents have a line of interest: 16 MB, whatever
+#: the input.  A fuller one lets more texts be shuffled; results stay the same.
+FILTER_BITS = 27
 
 
-def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc, place (from 0), words and their number n of every line."""
-    lines = docs.select(
-        F.col(key).cast("long").alias("doc"),
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """row (all columns of ``docs``), doc, version (a hash of the text: rows that share a key
+    may hold different texts) and text."""
+    column = F.col(f"`{text}`")
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{key}`").cast("long").alias("doc"),
+        F.xxhash64(column).alias("version"),
+        column.alias("text"),
+    )
+
+
+def _lines(texts: DataFrame) -> DataFrame:
+    """doc, version, place (from 0), words and their number n of every line."""
+    lines = texts.select(
+        "doc",
+        "version",
         # The outer form keeps the optimizer from splitting once more for a filter.
-        F.posexplode_outer(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("place", "line"),
+        F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("place", "line"),
     ).filter("doc IS NOT NULL")
-    return lines.select("doc", "place", words("line").alias("words")).withColumn("n", F.size("words"))
+    return lines.select("doc", "version", "place", words("line").alias("words")).withColumn("n", F.size("words"))
+
+
+def _bit(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << FILTER_BITS))
+
+
+def _filter_of(rows: DataFrame, *columns: str) -> DataFrame:
+    """The distinct values of ``columns`` as a bitmap: 4,096 rows of 4 KB at most."""
+    return (
+        rows.select(_bit(*columns).alias("bit"))
+        .groupBy(F.shiftright("bit", 15).alias("part"))
+        .agg(F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits"))
+    )
+
+
+def _marked(rows: DataFrame, bitmap: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with ``maybe``: false only where the bitmap does not have the row's values."""
+    bit = _bit(*columns)
+    byte = F.substring("bits", ((bit % 32768) / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    # The bitmap's size is bounded, so it is sent to all tasks.
+    return (
+        rows.withColumn("part", F.shiftright(bit, 15))
+        .join(F.broadcast(bitmap), "part", "left")
+        .withColumn("maybe", F.coalesce(F.getbit(value, (bit % 8).cast("int")) == 1, F.lit(False)))
+        .drop("part", "bits")
+    )
 
 
 def _halves() -> Column:
@@ -55,38 +98,42 @@ def _order() -> Column:
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc and place of every line to remove.
+    """doc, version (the hash of the text) and place of every line to remove.
 
     A line goes if an earlier one (smaller ``key``, then smaller place) is equal or, from
     :data:`NEAR_WORDS` words on, near; lines are judged on the input, so the earlier one may
-    go as well.  Lines are cut at U+000A and compared as words between ASCII white space.
+    go as well.  Lines are cut at U+000A and compared as words between ASCII white space;
+    lines without words stay.
     """
-    lines = _lines(docs, key, text)
+    texts = _texts(docs, key, text).drop("row")
     keys = stage(
-        lines.select(
+        _lines(texts)
+        .filter("n > 0")
+        .select(
             "doc",
+            "version",
             "place",
-            F.when(F.col("n") >= LEAST_WORDS, F.xxhash64("words")).alias("k0"),
+            F.xxhash64("words").alias("k0"),
             F.xxhash64(F.lit(1), "words").alias("k1"),
             F.when(F.col("n") >= NEAR_WORDS, _halves()).alias("halves"),
         ),
         "lines",
-    ).filter("k0 IS NOT NULL")
+    )
     # Of equal lines the earliest stands for all.
     distinct = keys.groupBy("k0", "k1").agg(
         F.min(_order()).alias("first"), F.count("*").alias("copies")
     )
-    near = _near(docs, keys, distinct, key, text)
+    near = _near(texts, keys, distinct)
     gone = distinct.join(near, ["k0", "k1"], "left").filter("copies > 1 OR near")
     return (
-        keys.withColumn("at", _order())
+        keys.select("doc", "version", "place", "k0", "k1", _order().alias("at"))
         .join(gone.select("k0", "k1", "first", "near"), ["k0", "k1"])
         .filter("near OR at > first")
-        .select("doc", "place")
+        .select("doc", "version", "place")
     )
 
 
-def _near(docs: DataFrame, keys: DataFrame, distinct: DataFrame, key: str, text: str) -> DataFrame:
+def _near(texts: DataFrame, keys: DataFrame, distinct: DataFrame) -> DataFrame:
     """k0, k1 and near (true) of the distinct lines that have an earlier line within one edit."""
     halves = keys.filter("halves IS NOT NULL").select("k0", "k1", F.explode("halves").alias("half"))
     # A half that two different lines share.  min and max differ iff there are two.
@@ -105,18 +152,21 @@ def _near(docs: DataFrame, keys: DataFrame, distinct: DataFrame, key: str, text:
         F.floor(F.col("first") / F.lit(1 << 32).cast("decimal(12,0)")).cast("long").alias("doc"),
         F.pmod(F.col("first"), F.lit(1 << 32).cast("decimal(12,0)")).cast("int").alias("place"),
     )
+    chosen = stage(chosen, "chosen")
     wanted = chosen.groupBy("doc").agg(F.collect_list(F.struct("place", "first", "k0", "k1")).alias("wanted"))
-    source = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    source = _marked(texts.select("doc", "text"), _filter_of(chosen, "doc"), "doc").filter("maybe")
     read = (
         source.join(wanted, "doc")
         .select("wanted", F.split("text", "\n").alias("lines"))
         .select("lines", F.explode("wanted").alias("w"))
         .select("w.*", F.get("lines", F.col("w.place")).alias("line"))
         .select("k0", "k1", "first", words("line").alias("words"))
+        # Rows that share a key may have other words there.
+        .filter((F.xxhash64("words") == F.col("k0")) & (F.xxhash64(F.lit(1), "words") == F.col("k1")))
         .dropDuplicates(["k0", "k1"])
     )
     read = stage(read, "near-lines")
-    variants = _variants(read)
+    variants = stage(_variants(read), "variants")
     groups = (
         variants.groupBy("v0", "v1", "n", "cut")
         .agg(F.min("first").alias("least"), F.count("*").alias("members"))
@@ -152,7 +202,10 @@ def _variants(lines: DataFrame) -> DataFrame:
     """k0, k1, first, the two hash sums v0 and v1, n (words) and cut (the place left out from
     1 on, 0 for the whole line) of every line and its deletion variants."""
     word = F.col("word")
-    placed = lines.select("k0", "k1", "first", F.size("words").alias("size"), F.posexplode("words").alias("p", "word"))
+    # Lines are dealt out before they are cut into words, so the sums below need no shuffle.
+    placed = lines.repartition("k0", "k1").select(
+        "k0", "k1", "first", F.size("words").alias("size"), F.posexplode("words").alias("p", "word")
+    )
     # 44 bits each: sums of many words stay far below 2^63.
     term = lambda seed, shift: F.shiftrightunsigned(F.xxhash64(F.lit(seed), word, F.col("p") - shift), 20)
     terms = placed.select(
@@ -170,11 +223,13 @@ def _variants(lines: DataFrame) -> DataFrame:
         total("a0", line).alias("w0"),
         total("a1", line).alias("w1"),
     )
-    cuts = run.select("k0", "k1", "first", "v0", "v1", (F.col("size") - 1).alias("n"), (F.col("p") + 1).alias("cut"))
-    wholes = run.filter("p = 0").select(
-        "k0", "k1", "first", F.col("w0").alias("v0"), F.col("w1").alias("v1"), F.col("size").alias("n"), F.lit(0).alias("cut")
-    )
-    return stage(cuts.unionByName(wholes), "variants")
+    variant = lambda v0, v1, n, cut: F.struct(
+        F.col(v0).alias("v0"), F.col(v1).alias("v1"), n.alias("n"), cut.alias("cut")
+    )
+    cut = variant("v0", "v1", F.col("size") - 1, F.col("p") + 1)
+    whole = variant("w0", "w1", F.col("size"), F.lit(0))
+    both = F.when(F.col("p") == 0, F.array(cut, whole)).otherwise(F.array(cut))
+    return run.select("k0", "k1", "first", F.inline(both))
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -201,24 +256,31 @@ def _verify(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed")
+) -> DataFrame:
     """The rows of ``docs`` with ``text`` without its repeated lines (see
-    :func:`repeated_lines`), and n_lines and n_removed; other columns are kept.
+    :func:`repeated_lines`), and n_lines and n_removed (named by ``counts``; columns of these
+    names are replaced); all other columns are kept, whatever their names.
 
     A null text stays null (0 lines).  Rows without a key are left as they are.  Rows that
     share a key are one document: none of their lines at the same place is earlier than the
-    other.  A text whose lines all go is empty.  An empty table gives no rows.
+    other, also where their texts differ.  A text whose lines all go is empty.  An empty table
+    gives no rows.
     """
-    gone = repeated_lines(docs, key, text).groupBy("doc").agg(F.collect_set("place").alias("__gone"))
-    lines = F.split(F.col(f"`{text}`"), "\n")
-    kept = F.filter(lines, lambda line, i: ~F.array_contains(F.col("__gone"), i))
-    cut = F.col("__gone").isNotNull()
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return (
-        docs.join(gone, F.col(f"`{key}`").cast("long") == F.col("doc"), "left")
-        .withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)))
-        .withColumn("n_lines", F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.col("n_lines")).cast("long"))
-        .withColumn("n_removed", F.when(cut, F.size("__gone")).otherwise(0).cast("long"))
-        .withColumn(text, F.when(cut, F.array_join(kept, "\n")).otherwise(F.col(f"`{text}`")))
-        .select(*[f"`{c}`" for c in names], "n_lines", "n_removed")
+    gone = stage(repeated_lines(docs, key, text).distinct(), "repeated-lines")
+    # Texts without such a line are not shuffled.
+    marked = _marked(_texts(docs, key, text), _filter_of(gone, "doc", "version"), "doc", "version")
+    places = gone.groupBy("doc", "version").agg(F.collect_set("place").alias("gone"))
+    whole = marked.filter("NOT maybe").select("row", "text", F.lit(None).cast("array<int>").alias("gone"))
+    hit = marked.filter("maybe").join(places, ["doc", "version"], "left").select("row", "text", "gone")
+    lines = F.split("text", "\n")
+    kept = F.filter(lines, lambda line, i: ~F.array_contains("gone", i))
+    n_lines, n_removed = counts
+    names = [c for c in docs.columns if c not in counts]
+    new = F.when(F.col("gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text"))
+    return whole.unionByName(hit).select(
+        *[(new if c == text else F.col(f"row.`{c}`")).alias(c) for c in names],
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias(n_lines),
+        F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(0).cast("long").alias(n_removed),
     )

@@ -127,7 +127,8 @@ def mix(
     the mix takes of the row, repeats counted, at most :data:`PASSES` times its size: whole
     passes over a pattern first, then rows in the order of a seeded hash, the last of them
     in part, so that the sources' targets are met to the word.  Reruns agree; of repeated
-    rows any may be the one that is cut.  An empty table gives no rows.
+    rows any may be the one that is cut.  An empty table gives no rows.  ``keep`` may have any names;
+    columns named like one of the four numbers give way to it.
 
     One row per pattern and one per source come to the driver: their number depends on the
     sources, not on the documents.
@@ -137,9 +138,13 @@ def mix(
     pattern = F.array_sort(
         F.array_distinct(F.transform(names, lambda s: F.when(s.isNull(), F.array().cast("array<string>")).otherwise(F.array(s))))
     )
-    order = F.xxhash64(key, F.lit(seed))
+    # Rows without a key are told apart by their text; a null leaves a hash as it is.
+    order = F.xxhash64(F.col(f"`{key}`"), F.when(F.col(f"`{key}`").isNull(), F.col(f"`{text}`")), F.lit(seed))
+    own = ("size", "source_size", "target", "taken")
+    names_kept = [c for c in keep if c not in own]
     rows = docs.select(
-        *keep,
+        # One struct: its columns may have any names.
+        F.struct(*[F.col(f"`{c}`") for c in names_kept]).alias("kept"),
         count_words(text).alias("size"),
         pattern.alias("pattern"),
         order.alias("place"),
@@ -196,7 +201,7 @@ def mix(
     )
     plan = plan.join(F.broadcast(cuts), "pattern", "left")
     planned = rows.join(F.broadcast(plan), "pattern")
-    inner = Window.partitionBy("pattern").orderBy("place", *keep, "size")
+    inner = Window.partitionBy("pattern").orderBy("place", "kept", "size")
     cut = (
         planned.filter(F.col("part") == F.col("cut"))
         .withColumn("until", F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
@@ -213,4 +218,5 @@ def mix(
         "extra", F.when(F.col("part") < F.col("cut"), F.col("size")).otherwise(0)
     )
     taken = (F.col("size") * F.col("passes") + F.col("extra")).cast("long").alias("taken")
-    return whole.unionByName(cut).select(*keep, "size", "source_size", "target", taken)
+    mixed = whole.unionByName(cut)
+    return mixed.select(*[F.col(f"kept.`{c}`") for c in names_kept], "size", "source_size", "target", taken)

@@ -67,11 +67,11 @@ WITH t AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
 l AS (SELECT doc_id, line, place, list_filter(regexp_split_to_array(line, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS ws FROM t),
 d AS (SELECT array_to_string(ws, ' ') AS s, any_value(ws) AS ws, len(any_value(ws)) AS n,
              min({'doc_id': doc_id, 'place': place}) AS first
-      FROM l WHERE len(ws) >= 3 GROUP BY array_to_string(ws, ' ')),
-c AS (SELECT s, ws, first, n, unnest(generate_series(1, n)) AS i FROM d WHERE n >= 8),
+      FROM l WHERE len(ws) >= 1 GROUP BY array_to_string(ws, ' ')),
+c AS (SELECT s, ws, first, n, unnest(generate_series(1, n)) AS i FROM d WHERE n >= 5),
 replaced AS (SELECT s, first, min(first) OVER (PARTITION BY i, array_to_string(ws[:i - 1] || [chr(1)] || ws[i + 1:], ' ')) AS least FROM c),
 cut AS (SELECT c.s AS long, c.first AS long_first, d.s AS short, d.first AS short_first
-        FROM c JOIN d ON array_to_string(c.ws[:c.i - 1] || c.ws[c.i + 1:], ' ') = d.s AND d.n >= 8),
+        FROM c JOIN d ON array_to_string(c.ws[:c.i - 1] || c.ws[c.i + 1:], ' ') = d.s AND d.n >= 5),
 near AS (SELECT s FROM replaced WHERE least < first UNION
          SELECT long FROM cut WHERE short_first < long_first UNION
          SELECT short FROM cut WHERE long_first < short_first),

@@ -106,14 +106,14 @@ def lines_by_hand(rows):
     return {
         (d, p)
         for d, p, w in lines
-        if len(w) >= line_dedup.LEAST_WORDS and any((e, q) < (d, p) and near(w, v) for e, q, v in lines)
+        if w and any((e, q) < (d, p) and near(w, v) for e, q, v in lines)
     }
 
 
 def test_line_dedup_against_all_pairs(spark):
     rng = random.Random(2)
     rows = []
-    pool = [words(rng, n).split() for n in (2, 3, 5, 8, 8, 9, 9, 10, 12, 25)]
+    pool = [words(rng, n).split() for n in (1, 2, 3, 4, 5, 6, 8, 9, 10, 12, 25)]
     pool += [["a"] * 9, ["a"] * 8, ["b", *["a"] * 8], [*["a"] * 8, "b"]]
     for doc in range(120):
         text = []
@@ -129,7 +129,7 @@ def test_line_dedup_against_all_pairs(spark):
             text.append(rng.choice((" ", "  ", "\t")).join(line))
         rows.append((doc - 3, "\n".join(text)))
     docs = make(spark, rows)
-    got = {tuple(r) for r in line_dedup.repeated_lines(docs).collect()}
+    got = {tuple(r) for r in line_dedup.repeated_lines(docs).select("doc", "place").collect()}
     assert got == lines_by_hand(rows)
 
 
@@ -144,6 +144,31 @@ def test_line_dedup_edges(spark, odd):
     assert line_dedup.dedup_lines(empty(odd)).count() == 0
 
 
+def test_line_dedup_of_one_id_with_two_texts_and_clashing_names(spark):
+    rng = random.Random(8)
+    a, b, c = (words(rng, 9) for _ in range(3))
+    near = " ".join(["other", *b.split()[1:]])
+    rows = [(1, f"{a}\n{b}"), (1, f"{c}\n{a}"), (2, f"{near}\nx"), (3, f"{c}\n\nx"), (4, a)]
+    schema = "doc_id long, text string, doc int, version int, row int, part int, gone int, maybe int, bits int, place int, k0 int"
+    want = {(1, f"{a}\n{b}"), (1, c), (2, "x"), (3, ""), (4, "")}
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        docs = spark.createDataFrame([(*r, *range(9)) for r in order], schema)
+        got = line_dedup.dedup_lines(docs)
+        assert got.columns == [*docs.columns, "n_lines", "n_removed"]
+        assert {(r.doc_id, r.text) for r in got.collect()} == want
+        assert {tuple(r)[2:11] for r in got.collect()} == {tuple(range(9))}
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = "size pattern place part rest passes cut before target kept until extra words".split()
+    rows = [(i, words(random.Random(i), 5), "ab"[i % 2], *range(13)) for i in range(40)] + [(None, "x y", "a", *range(13))] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    got = mixing.mix(docs, F.array("source"), keep=tuple(docs.columns)).collect()
+    assert len(got) == 43
+    assert all((r.size, r.pattern, r["cut"]) == (5 if r.doc_id is not None else 2, 1, 6) for r in got)
+    assert sum(r.taken for r in got) == sum(r.size for r in got)
+
+
 def test_quality(spark, odd):
     rng = random.Random(6)
     rows = [(i, words(rng, 60), "en", "a") for i in range(300)]
