@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldweft.llm import decontaminate, line_dedup, mixing, ngram_join, quality
-from goldweft.llm.common import count_words, read, stage, words
+from goldweft.llm.common import count_words, read, stage
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,13 +17,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document or line has; n_chars follows the
     text.  A document of which no word is left was a copy, and goes."""
-    left = line_dedup.dedup_lines(docs)
-    chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return (
-        left.filter((F.col("n_removed") == 0) | (count_words("text") > 0))
-        .withColumn("n_chars", chars)
-        .select(*docs.columns)
-    )
+    left = line_dedup.dedup_lines(docs, counts=("__lines", "__removed"))
+    cut = F.col("__removed") > 0
+    chars = F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    kept = left.filter(~cut | (count_words("text") > 0)).withColumn("n_chars", chars)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,40 +37,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.remove_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
-def without_fragments(docs: DataFrame, originals: DataFrame) -> DataFrame:
-    """``docs`` without what the line dedup leaves of copies: it keeps every line of fewer
-    than :data:`line_dedup.LEAST_WORDS` words, so a copy with such a line is not empty.
-
-    A document goes if its text differs from that in ``originals``, has only such short
-    lines left, and a document with a smaller doc_id has each of them; so every line stays
-    in the document with the smallest doc_id.  Lines are compared as words.
-    """
-    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), words)
-    filled = docs.filter("doc_id IS NOT NULL").select(
-        "doc_id", "text", F.array_distinct(F.filter(lines, lambda line: F.size(line) > 0)).alias("lines")
-    )
-    is_short = lambda line: F.size(line) < line_dedup.LEAST_WORDS
-    first = (
-        filled.select("doc_id", F.explode(F.filter("lines", is_short)).alias("line"))
-        .groupBy("line")
-        .agg(F.min("doc_id").alias("first"))
-    )
-    old = originals.select("doc_id", F.col("text").alias("old"))
-    left = (
-        filled.filter((F.size("lines") > 0) & F.forall("lines", is_short))
-        .join(old, "doc_id")
-        .filter("text <> old")
-        .select("doc_id", F.explode("lines").alias("line"))
-        .distinct()
-    )
-    gone = left.join(first, "line").groupBy("doc_id").agg(F.bool_and(F.col("first") < F.col("doc_id")).alias("gone"))
-    return docs.join(gone.filter("gone").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-
-
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, with how many words of each it takes (``taken``);
-    fragments of copies are left out of it."""
-    docs = stage(without_fragments(docs, read(spark, sf_dir, "documents")), "whole")
+    """The documents the mix takes, with how many words of each it takes (``taken``)."""
     return mixing.mix(docs, F.array("source"), keep=tuple(docs.columns)).filter("taken > 0")
 
 
