@@ -9,15 +9,14 @@ from goldweft import schemas as S
 from goldweft.operators import classify as C
 from goldweft.operators import golden as G
 from goldweft.operators import latest as L
-from goldweft.operators import link as K
 from goldweft.operators import monitor as M
 from goldweft.plans import consolidate as E
+from goldweft.plans import retained as RT
 from goldweft.plans.load import load_bulk
 from goldweft.sources.staging import materialize
 from goldweft.sources.store import Store
 
-_CARRIED = "msg_id struct<topic:string,partition:int,offset:bigint>, ord struct<inserted_at:timestamp,partition:int,offset:bigint,topic:string>, data string"
-_ID_TABLES = ("person", "bank", "work", "address")
+_ID_TABLES = RT.ID_TABLES
 
 
 def run_batch(
@@ -34,9 +33,9 @@ def run_batch(
     """Consolidate, load and commit one batch; a committed batch is left alone.
 
     ``retain_unmatched`` keeps the newest message of every link key and shape for the next
-    runs, and links the people whom a new message can reach anew, so the golden records do
-    not depend on the cut into batches; messages older than the kept ones change nothing.
-    Only what links is kept, so the state grows with the keys, not with the messages.
+    runs and links the people anew whom a message reaches, so golden records and tables do not
+    depend on the cut into batches (see ``plans.retained``).  A store holds either such runs or
+    others; ``merge``, ``on_existing`` and ``full`` do not apply to them.
     ``full`` writes the whole golden state
     as one batch, so later reads start here.  ``query`` is the id of the streaming query
     that ``batch_id`` belongs to (see ``Store.number_of``).
@@ -44,26 +43,29 @@ def run_batch(
     query_batch, batch_id = batch_id, store.number_of(batch_id, query)
     if batch_id is None:
         return
+    if store.last_commit() is not None and store.is_retained() != retain_unmatched:
+        raise ValueError("a store holds either retained runs or others")
+    if retain_unmatched and (merge, on_existing, full) != ("replace", "append", False):
+        raise ValueError("merge, on_existing and full do not apply to retained runs")
     staging = f"{store.path}/staging/{batch_id % 2}"
     messages = C.bronze_messages(bronze)
     # Parsed once; every later step reads only the columns it needs of this table.
     classified = materialize(C.classify(messages), "classified", staging)
+    left = C.remaining(classified)
+    store.write("quarantine", batch_id, left.select("msg_id", "ord", "data", "shape"))
+    last = store.last_ids()
+    bases = {t: last.get(t, 0) for t in _ID_TABLES}
     if retain_unmatched:
-        known = C.classify(_carried(store)).unionByName(classified.filter("link_key IS NOT NULL"))
-        kept = materialize(L.newest_messages(known), "kept", staging)
-        latest = L.latest_by_key(kept)
-        linked = K.touched(E.link(latest), L.latest_by_key(classified))
-        new = materialize(G.golden_projection(linked, consolidated_at), "golden", staging)
-    else:
-        latest = L.latest_by_key(classified)
-        new = materialize(E.golden_of(latest, consolidated_at), "golden", staging)
+        state = store.state()
+        done = RT.run(state, classified, batch_id, bases, staging, consolidated_at)
+        store.write("stats", batch_id, done.stats)
+        store.commit(batch_id, done.ids, False, query, query_batch, state)
+        return
+    latest = L.latest_by_key(classified)
+    new = materialize(E.golden_of(latest, consolidated_at), "golden", staging)
     unmatched = E.unmatched(latest)
 
     stats = M.consolidation_stats(classified, unmatched, new, store.passports())
-    left = C.remaining(classified)
-    store.write("quarantine", batch_id, left.select("msg_id", "ord", "data", "shape"))
-    if retain_unmatched:
-        store.write("carried", batch_id, kept.select("msg_id", "ord", "data"))
     store.write("stats", batch_id, stats)
 
     if full:
@@ -74,9 +76,7 @@ def run_batch(
         state = new
     state = materialize(state, "state", staging)
 
-    last = store.last_ids()
     existing = store.tables() if on_existing == "skip" else None
-    bases = {t: last.get(t, 0) for t in _ID_TABLES}
     load = load_bulk(state, existing, on_existing, bases, staging)
     for name, rows in load.tables.items():
         store.write(f"tables/{name}", batch_id, rows)
@@ -96,12 +96,3 @@ def _next_ids(store: Store, batch_id: int, bases: dict[str, int]) -> dict[str, i
         )
         ids[name] = written.agg(F.coalesce(F.max("id"), F.lit(base))).first()[0]
     return ids
-
-
-def _carried(store: Store) -> DataFrame:
-    """Newest messages of every key and shape, as the last committed run kept them."""
-    last = store.last_commit()
-    rows = store.read("carried", _CARRIED)
-    return rows.filter(F.col("batch_id") == (-1 if last is None else last.batch_id)).drop(
-        "batch_id"
-    )

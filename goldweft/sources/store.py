@@ -8,6 +8,9 @@ nothing if the batch is committed.
 Golden batches hold only the records a run touched.  The current state is the newest
 row per passport, so a small run writes little however large the store is.  A batch
 may also be written whole (``full``), which moves the reading start forward.
+
+A store of retained runs keeps its tables in buckets instead (``sources.buckets``); the
+commit row lists which batches make up each bucket.
 """
 
 from __future__ import annotations
@@ -17,16 +20,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldweft import schemas as S
+from goldweft.plans import retained
+from goldweft.sources.buckets import Buckets
 
 _COMMIT = (
-    "batch_id bigint, base bigint, ids map<string,bigint>, query string, query_batch bigint"
+    "batch_id bigint, base bigint, ids map<string,bigint>, query string, query_batch bigint,"
+    " buckets int, parts map<string,map<string,array<bigint>>>"
 )
 
 
 class Store:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        """``buckets``: into how many the tables of retained runs are cut, once and for all."""
         self.spark = spark
         self.path = path.rstrip("/")
+        self.buckets = buckets
 
     # -- commits: a handful of rows, one per run ---------------------------------
 
@@ -78,12 +86,29 @@ class Store:
         full: bool = False,
         query: str | None = None,
         query_batch: int | None = None,
+        state: Buckets | None = None,
     ) -> None:
         last = self.last_commit()
         base = batch_id if full or last is None else last.base
-        row = self.spark.createDataFrame([(batch_id, base, ids, query, query_batch)], _COMMIT)
+        size = parts = None
+        if state is not None:
+            size = state.size
+            parts = {name: {str(b): batches for b, batches in rows.items()} for name, rows in state.parts.items()}
+        row = self.spark.createDataFrame([(batch_id, base, ids, query, query_batch, size, parts)], _COMMIT)
         row.coalesce(1).write.mode("append").json(f"{self.path}/commits")
 
+    def state(self, last=None) -> Buckets:
+        """The bucketed tables as of the last commit (or of the commit row given)."""
+        last = last or self.last_commit()
+        if last is None or last.buckets is None:
+            return Buckets(self.spark, f"{self.path}/state", {}, self.buckets)
+        parts = {name: {int(b): batches for b, batches in rows.items()} for name, rows in last.parts.items()}
+        return Buckets(self.spark, f"{self.path}/state", parts, last.buckets)
+
+    def is_retained(self) -> bool:
+        last = self.last_commit()
+        return last is not None and last.buckets is not None
+
     # -- tables ------------------------------------------------------------------
 
     def write(self, name: str, batch_id: int, df: DataFrame) -> None:
@@ -102,6 +127,9 @@ class Store:
         return rows if since is None else rows.filter(F.col("batch_id") >= since)
 
     def table(self, name: str) -> DataFrame:
+        last = self.last_commit()
+        if last is not None and last.buckets is not None:
+            return retained.table(retained.current(self.state(last)), name)
         return self.read(f"tables/{name}", S.TABLES[name]).drop("batch_id")
 
     def tables(self) -> dict[str, DataFrame]:
@@ -115,6 +143,10 @@ class Store:
     def golden(self, of: DataFrame | None = None) -> DataFrame:
         """Current golden records; with ``of`` only those whose ``_id`` is in it, picked
         before anything else is shuffled or compared."""
+        last = self.last_commit()
+        if last is not None and last.buckets is not None:
+            current = retained.current(self.state(last)).select(*S.GOLDEN.fieldNames())
+            return current if of is None else current.join(of.select("_id"), "_id", "left_semi")
         rows = self._golden_rows()
         if of is not None:
             rows = rows.join(of.select("_id"), "_id", "left_semi")
@@ -126,6 +158,8 @@ class Store:
 
     def passports(self) -> DataFrame:
         """``_id`` of every golden record; reads no other column."""
+        if self.is_retained():
+            return self.golden().select("_id")
         return self._golden_rows("_id").distinct()
 
     def last_ids(self) -> dict[str, int]:
