@@ -135,7 +135,7 @@ def _encode(merger: Merger, table: pa.Table) -> pa.Table:
             if (one := known.get(word)) is None:
                 one = known[word] = merger.ids(word)
             found.append(one)
-        lengths.append(W.small([len(one) for one in found]))
+        lengths.append(W.tight(W.small([len(one) for one in found])))
         ids.append(W.tight(W.small([i for one in found for i in one])))
     return pa.table(
         {
@@ -154,7 +154,7 @@ def _fit(texts: pa.Table, found: pa.Table) -> pa.Table:
     begin, length = np.zeros(size, np.int64), np.zeros(size, np.int64)
     parts, before = [np.empty(0, "<u4")], 0
     for numbers, lengths, ids in zip(lists, found.column("lengths").to_pylist(), found.column("ids").to_pylist()):
-        lengths = W.large(lengths)
+        lengths = W.large(W.loose(lengths))
         begin[numbers] = before + np.cumsum(lengths) - lengths
         length[numbers] = lengths
         parts.append(W.large(W.loose(ids)).astype("<u4"))

@@ -86,7 +86,7 @@ def _code(texts: pa.Table, found: pa.Table) -> pa.Table:
     phrase may cross: ends of texts and pieces, and words that are not frequent.  The texts of
     the sample are one row, the others another; ``ids`` are the words' ids everywhere."""
     rows = [
-        (bucket, W.numbers_of(W.loose(n)), W.large(W.loose(p)))
+        (bucket, W.numbers_of(n), W.large(W.loose(p)))
         for bucket, n, p in zip(*[found.column(c).to_pylist() for c in ("bucket", "numbers", "places")])
     ]
     ids = np.concatenate([np.empty(0, np.int64), *[(np.int64(b) << 32) | p for b, _, p in rows]])

@@ -27,7 +27,9 @@ BLOCK_BYTES = 12 << 20
 #: Bytes of text for each bucket of words: the number of buckets grows with the texts.
 BUCKET_BYTES = 16 << 20
 #: Numbers of words that are written as one value; a longer text is a value of its own.
-RUN_CODES = 1 << 16
+RUN_CODES = 1 << 18
+#: How hard zstandard tries.
+LEVEL = 9
 
 
 def small(numbers: np.ndarray) -> bytes:
@@ -58,7 +60,7 @@ def large(data: bytes) -> np.ndarray:
 
 
 def tight(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(3).compress(data)
+    return zstandard.ZstdCompressor(LEVEL).compress(data)
 
 
 def loose(data: bytes) -> bytes:
@@ -131,7 +133,7 @@ class _Block:
             [block] * size, [group] * size, pa.nulls(size, pa.list_(key_type)),
             pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()),
             pa.array(by_bucket, pa.int32()),
-            pa.array([small(np.diff(p, prepend=0)) for p in places], pa.binary()),
+            pa.array([tight(small(np.diff(p, prepend=0))) for p in places], pa.binary()),
             pa.array([tight(join([listed[i] for i in order[p].tolist()])) for p in places], pa.binary()),
             pa.array(counts, pa.binary()),
         )
@@ -235,7 +237,7 @@ def keys_of(table: pa.Table) -> pa.Array:
 
 def numbers_of(data: bytes) -> np.ndarray:
     """The numbers of a list of words."""
-    return np.cumsum(large(data))
+    return np.cumsum(large(loose(data)))
 
 
 def words_of(data: bytes) -> list[str]:
