@@ -539,6 +539,14 @@ FROM msg m JOIN newest k ON k.passport = m.link_key WHERE m.shape = 'bank'""",
     ' event_id AS "offset" FROM events',
     "stream_consolidate": BASE + _golden_select("golden", "n_sources = 5"),
     "stream_consolidate_batches": BASE + _golden_select("golden", "n_sources = 5"),
+    "stream_consolidate_tables": _BULK
+    + " SELECT 'person' AS tab, passport AS owner, concat_ws('|', email, full_name, last_name, name, passport, phone, sex) AS content"
+    " FROM person UNION ALL"
+    " SELECT 'bank', passport, concat_ws('|', iban, salary) FROM bank JOIN person ON person.id = person_id UNION ALL"
+    " SELECT 'work', passport, concat_ws('|', company, work.email, work.phone, position) FROM work"
+    " JOIN person ON person.id = person_id UNION ALL"
+    " SELECT 'address', passport, concat_ws('|', city, ip_address, street_name, type) FROM address"
+    " JOIN person_address ON address.id = address_id JOIN person ON person.id = person_id",
     "stream_rate": "SELECT CAST(epoch(w) AS BIGINT) AS window_start_s, messages,"
     " messages / CAST(3600 AS DOUBLE) AS msg_per_sec FROM"
     " (SELECT date_trunc('hour', ts) AS w, count(*) AS messages FROM events GROUP BY ALL)",

@@ -604,9 +604,8 @@ def stream_consolidate(spark, sf_dir):
     return flat_golden(store.golden())
 
 
-@query
-def stream_consolidate_batches(spark, sf_dir):
-    """The same from several batches, one bronze file each; it must not differ."""
+def _retained_store(spark: SparkSession, sf_dir: str) -> Store:
+    """A store after four batches of the feed, one bronze file each."""
     bronze = scratch_path(spark, "bronze")
     rows = X.feed_bronze(spark, sf_dir)
     # By message, not by key: what belongs to one person comes in different batches.
@@ -623,7 +622,34 @@ def stream_consolidate_batches(spark, sf_dir):
         retain_unmatched=True,
         consolidated_at=X.stamp(),
     ).awaitTermination()
-    return flat_golden(store.golden())
+    return store
+
+
+@query
+def stream_consolidate_batches(spark, sf_dir):
+    """The same from several batches; it must not differ."""
+    return flat_golden(_retained_store(spark, sf_dir).golden())
+
+
+@query
+def stream_consolidate_tables(spark, sf_dir):
+    """The rows of all five tables after several batches, with passports for ids."""
+    tables = _retained_store(spark, sf_dir).tables()
+    owner = tables["person"].select(F.col("id").alias("person_id"), F.col("passport").alias("owner"))
+    links = tables["person_address"].join(tables["address"].withColumnRenamed("id", "address_id"), "address_id")
+    rows = {
+        "person": tables["person"].withColumnRenamed("id", "person_id"),
+        "bank": tables["bank"],
+        "work": tables["work"],
+        "address": links,
+    }
+    parts = []
+    for name, table in rows.items():
+        fields = [c for c in table.columns if c not in ("id", "person_id", "address_id")]
+        parts.append(
+            table.join(owner, "person_id").select(F.lit(name).alias("tab"), "owner", F.concat_ws("|", *sorted(fields)).alias("content"))
+        )
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
 @query

@@ -29,10 +29,11 @@ def golden_of(store):
 def tables_of(store):
     """All five tables as one flat row a person, without ids; checks that ids are unique."""
     tables = store.tables()
-    counts = {name: rows.count() for name, rows in tables.items()}
-    for name in ("person", "bank", "work", "address"):
-        assert tables[name].select("id").distinct().count() == counts[name], name
-    assert tables["person"].select("passport").distinct().count() == counts["person"]
+    counts = {}
+    for name, rows in tables.items():
+        unique = "address_id" if name == "person_address" else "id"
+        counts[name], ids = rows.agg(F.count("*"), F.count_distinct(unique)).first()
+        assert ids == counts[name], name
     ids = [c for c in flat_person_dataset(tables).columns if c.endswith("_id") or c == "id"]
     flat = flat_person_dataset(tables).drop(*ids)
     return counts, sorted(str(r) for r in flat.collect())
@@ -76,20 +77,20 @@ def troubled(rng):
     return texts
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_random_cuts_and_orders(spark, tmp_path, monkeypatch, seed):
-    monkeypatch.setattr(buckets, "DELTAS", 2)
+    monkeypatch.setattr(buckets, "DELTAS", 1)
     rng = random.Random(seed)
     texts = troubled(rng)
     rows = bronze(spark, texts)
     order = list(range(len(texts)))
     want = result_of(run_batches(spark, tmp_path / "one", rows, [order]))
     rng.shuffle(order)
-    cuts = sorted(rng.sample(range(1, len(order)), 3))
+    cuts = sorted(rng.sample(range(1, len(order)), 2))
     batches = [order[a:b] for a, b in zip([0, *cuts], [*cuts, len(order)])]
     store = run_batches(spark, tmp_path / "many", rows, batches, 3)
     assert result_of(store) == want
-    assert max(len(b) for rows in store.state().parts.values() for b in rows.values()) <= 2
+    assert max(len(b) for rows in store.state().parts.values() for b in rows.values()) == 1
 
 
 def test_an_incomplete_message_withdraws_a_record_and_a_complete_one_restores_it(spark, tmp_path):
