@@ -52,6 +52,7 @@ def is_empty_payload(doc: str, data: str) -> str:
 def detect_shape(doc: str) -> str:
     """Shape of a payload by the keys it carries; the first rule that holds wins."""
 
+    # The keys that make up each shape, and the order of the rules.
     def has(*keys):
         return " AND ".join(f"map_contains_key({doc}, '{k}')" for k in keys)
 

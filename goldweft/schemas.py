@@ -57,6 +57,7 @@ SHAPE_FIELDS = {
     PROFESSIONAL: ("company", "company address", "company_telfnumber", "company_email", "job"),
 }
 
+# Names and order of the golden fields.
 #: The 20 fields of a golden record (``_id`` is the passport) and two helper columns:
 #: ``n_sources`` lets the completeness filter reach the parquet scan, and
 #: ``sex_is_scalar`` remembers that ``sex`` arrived as plain text, not as a list.
@@ -93,6 +94,7 @@ GOLDEN_CONTENT = tuple(
     if f not in ("_id", "consolidated_at", "data_sources", "uploaded_2_SQL", "n_sources")
 )
 
+# Tables and their columns.
 #: Relational tables.
 TABLES = {
     "person": "id bigint, passport string, name string, last_name string, full_name string, "
