@@ -11,6 +11,10 @@ _STRICT = "map('allowSingleQuotes', 'false')"
 _NOTHING = r"^(|null|false|\"\"|\\[\\s*\\]|-?0(\\.0+)?([eE][+-]?\\d+)?)$"
 
 
+# Fixed value: texts that a number, a flag, a list or an object without content leaves in a map.
+_FALSY = r"^(false|\\[\\s*\\]|\\{\\s*\\}|-?0(\\.0+)?([eE][+-]?\\d+)?)$"
+
+
 def payload_map(data: str) -> str:
     """The object in ``data`` as a map of texts; null where ``data`` is no object.
 
@@ -91,10 +95,25 @@ def link_value(doc: str, shape: str) -> str:
     return _by_domain(shape, f"{doc}['passport']", f"{doc}['fullname']", f"{doc}['address']")
 
 
-def link_key(value: str, shape: str) -> str:
-    """Passports link as they are, full names and addresses in normalised form."""
+def is_json_text(data: str, domain: str) -> str:
+    """True where the field named by ``domain`` is a JSON text (quoted), or cannot be told
+    because the object repeats a key."""
+    field = f"try_variant_get(try_parse_json({data}), concat('$.', {domain}), 'variant')"
+    return f"coalesce(schema_of_variant({field}) = 'STRING', true)"
+
+
+def link_key(value: str, shape: str, data: str = "data") -> str:
+    """Passports link as they are, full names and addresses in normalised form.
+
+    No key: null, '', and 0, false, [] and {} that are not quoted.  The message is parsed again
+    only where the value looks like one of these.
+    """
     normal = normalize_key(value)
-    return f"CASE WHEN {text(value)} <> '' THEN {_by_domain(shape, value, normal, normal)} END"
+    key = _by_domain(shape, value, normal, normal)
+    return (
+        f"CASE WHEN {text(value)} = '' THEN NULL WHEN {value} RLIKE '{_FALSY}'"
+        f" AND NOT {is_json_text(data, link_domain(shape))} THEN NULL ELSE {key} END"
+    )
 
 
 def sex_values(value: str) -> str:

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from goldweft.functions import payload as P
 
 
+#: ``reason`` of a decodable message.
+KEPT = "kept"
+
+
 def _decoded(rows: DataFrame) -> DataFrame:
     text = "CAST(value AS string)"
     reason = (
@@ -18,24 +22,39 @@ def _decoded(rows: DataFrame) -> DataFrame:
     return rows.selectExpr("*", f"inline(array(named_struct('reason', {reason})))")
 
 
-def decode_envelope(rows: DataFrame, inserted_at: Column | None = None) -> DataFrame:
-    """Decodable messages as ``kafka_metadata``, ``data`` (JSON text) and ``inserted_at``."""
-    stamp = F.current_timestamp() if inserted_at is None else inserted_at
-    metadata = (
+def _metadata() -> str:
+    return (
         "struct(topic, partition, offset, nullif(unix_millis(timestamp), -1) AS timestamp,"
         " CASE WHEN length(key) > 0 THEN make_valid_utf8(CAST(key AS string)) END AS key)"
     )
+
+
+def decode_envelope(rows: DataFrame, inserted_at: Column | None = None) -> DataFrame:
+    """Decodable messages as ``kafka_metadata``, ``data`` (JSON text) and ``inserted_at``."""
+    stamp = F.current_timestamp() if inserted_at is None else inserted_at
     return (
         _decoded(rows)
         .filter("reason IS NULL")
         .select(
-            F.expr(f"{metadata} AS kafka_metadata"),
+            F.expr(f"{_metadata()} AS kafka_metadata"),
             F.expr("CAST(value AS string) AS data"),
             stamp.alias("inserted_at"),
         )
     )
 
 
+def decode_all(rows: DataFrame) -> DataFrame:
+    """All messages, each decoded once: bronze columns, ``value`` (null for a decodable
+    message, whose text is in ``data``) and ``reason`` (``kept`` or why it was refused)."""
+    return _decoded(rows).selectExpr(
+        f"{_metadata()} AS kafka_metadata",
+        "CASE WHEN reason IS NULL THEN CAST(value AS string) END AS data",
+        "current_timestamp() AS inserted_at",
+        "CASE WHEN reason IS NOT NULL THEN value END AS value",
+        f"coalesce(reason, '{KEPT}') AS reason",
+    )
+
+
 def decode_rejects(rows: DataFrame) -> DataFrame:
     """The complement: raw value, position and reason (tombstone, bad_utf8, bad_json)."""
     return (

@@ -9,7 +9,7 @@ columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldweft.functions.payload import sex_scalar
@@ -145,3 +145,26 @@ def strict_row_validation(golden: DataFrame) -> DataFrame:
             f" WHEN NOT {filled(sex_scalar(mode='strict'))} THEN 'missing_sex' END"
         ),
     )
+
+
+def passport_fallback(golden: DataFrame) -> DataFrame:
+    """:func:`strict_row_validation` of records whose ``passport`` stands in for a missing
+    ``_id``.  ``repeated`` marks all acceptable records of a passport but one: those with an
+    ``_id`` of their own come first, then the order of a hash of the record.
+    """
+    own = filled("_id")
+    columns = [F.col(f"`{c}`") for c in golden.columns]
+    named = golden.withColumns(
+        {
+            "_id": F.expr(f"CASE WHEN {own} THEN _id ELSE passport END"),
+            "_order": F.struct(F.expr(f"NOT {own}"), F.xxhash64(*columns)),
+        }
+    )
+    judged = strict_row_validation(named)
+    # Refused records are not compared; each goes to a group of its own.
+    group = "CASE WHEN reject_reason IS NULL THEN _id ELSE CAST(_order AS string) END"
+    rank = F.row_number().over(
+        Window.partitionBy(F.expr(group), F.col("reject_reason").isNull()).orderBy("_order")
+    )
+    repeated = F.col("reject_reason").isNull() & (F.col("_rank") > 1)
+    return judged.withColumn("_rank", rank).withColumn("repeated", repeated).drop("_order", "_rank")

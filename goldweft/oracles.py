@@ -300,6 +300,19 @@ _JSON = (
     + _tables("", "json_new", "strict", "known_")
 )
 
+_STRICT_ALL = """
+strict_all AS (SELECT * FROM golden WHERE n_sources = 5 AND coalesce(sex, '') <> '')"""
+_COLUMNS = {
+    "address": "id, street_name, city, ip_address",
+    "bank": "id, person_id, iban, salary",
+    "person": "id, passport, name, last_name, full_name, sex, email, phone",
+    "person_address": "address_id, person_id, type",
+    "work": "id, person_id, company, position, phone, email",
+}
+_ROWS_OF_ALL = " UNION ALL".join(
+    f" SELECT '{t}' AS tab, concat_ws('|', {c}) AS content FROM {t}" for t, c in _COLUMNS.items()
+)
+
 _ENVELOPE = """
 rows AS (
   SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
@@ -368,10 +381,15 @@ ORACLES: dict[str, str] = {
     "golden_json_source": BASE + f" SELECT _id, {_content()} FROM golden",
     "golden_upsert": TWO_BATCHES + _upsert("replace"),
     "golden_upsert_coalesce": TWO_BATCHES + _upsert("coalesce"),
-    "load_tables": _BULK
-    + " SELECT (SELECT count(*) FROM person) AS persons, (SELECT count(*) FROM bank) AS banks,"
-    " (SELECT count(*) FROM work) AS works, (SELECT count(*) FROM address) AS addresses,"
-    " (SELECT count(*) FROM person_address) AS links",
+    "load_tables": _BULK + _ROWS_OF_ALL,
+    "run_strict_tables": BASE + "," + _STRICT_ALL + "," + _tables("", "strict_all", "strict")
+    + _ROWS_OF_ALL,
+    "run_strict_golden": BASE + "," + _STRICT_ALL
+    + " SELECT _id, n_sources, _id IN (SELECT _id FROM strict_all) AS \"uploaded_2_SQL\" FROM golden",
+    "run_json_golden": TWO_BATCHES + "," + _STRICT_ALL
+    + ", known AS (SELECT _id FROM strict_all UNION SELECT _id FROM old_golden)"
+    " SELECT _id, _id IN (SELECT _id FROM known) AS \"uploaded_2_SQL\","
+    " _id IN (SELECT _id FROM known) AS has_person FROM golden",
     "table_scan": _BULK + " SELECT * FROM person",
     "export_csv": _ALL_TABLES + _blank(_FLAT),
     "bronze_remaining": BASE
@@ -532,8 +550,9 @@ FROM msg m JOIN newest k ON k.passport = m.link_key WHERE m.shape = 'bank'""",
     "person_address_union": _ALL_TABLES + " SELECT * FROM person_address",
     # streaming
     "stream_ingest": "WITH" + _ENVELOPE
-    + " SELECT topic, coalesce(json_valid(data), false) AS kept, count(*) AS messages"
-    " FROM rows GROUP BY ALL",
+    + ' SELECT topic, partition, "offset", CASE WHEN data IS NULL THEN \'tombstone\''
+    " WHEN json_valid(data) THEN 'kept' ELSE 'bad_json' END AS reason, data AS content"
+    " FROM rows",
     "stream_resume": 'SELECT event_type AS topic, event_id AS "offset", props AS data FROM events',
     "stream_dedup": "SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition,"
     ' event_id AS "offset" FROM events',
@@ -565,3 +584,4 @@ FROM msg m JOIN newest k ON k.passport = m.link_key WHERE m.shape = 'bank'""",
 for _name in ("person", "address", "person_address", "bank", "work"):
     ORACLES[f"load_bulk_{_name}"] = _BULK + f" SELECT * FROM {_name}"
     ORACLES[f"load_strict_{_name}"] = _STRICT + f" SELECT * FROM {_name}"
+ORACLES["dry_run"] = ORACLES["dry_run_stats"]

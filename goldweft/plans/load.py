@@ -135,8 +135,11 @@ def load_bulk(
     waiting = G.pending(golden)
     good = R.skip_missing_passport(waiting)
     if on_existing == "skip" and existing is not None:
-        good = K.skip_existing_persons(good, existing["person"])
         judged = _judge_existing(waiting, existing["person"], F.col("_id").isNull(), "skipped")
+        # Written once: numbering reads its input for totals and for ranks.
+        good = materialize(
+            K.skip_existing_persons(good, existing["person"]), "accepted", staging
+        )
     else:
         judged = waiting.select(
             F.when(F.col("_id").isNull(), "skipped").otherwise("processed").alias("outcome")
@@ -149,23 +152,33 @@ def load_strict(
     golden: DataFrame,
     existing: dict[str, DataFrame] | None = None,
     bases: dict[str, Column | int] | None = None,
+    staging: str | None = None,
 ) -> Load:
     """Load with validation: records of a known passport are skipped, incomplete ones
-    are errors, one bad record never affects another."""
-    waiting = R.strict_row_validation(G.pending(golden, exact_names=True))
-    good = waiting.filter(F.col("reject_reason").isNull())
+    are errors, one bad record never affects another.
+
+    Where records have a column ``passport``, it stands in for a missing ``_id``; of records
+    that share a passport then, one with an ``_id`` of its own is loaded, the others skipped.
+    """
+    waiting = G.pending(golden, exact_names=True)
+    if "passport" in golden.columns:
+        waiting = R.passport_fallback(waiting)
+    else:
+        waiting = R.strict_row_validation(waiting).withColumn("repeated", F.lit(False))
+    good = waiting.filter(F.col("reject_reason").isNull() & ~F.col("repeated"))
+    bad = F.col("reject_reason").isNotNull()
     if existing is not None:
+        judged = _judge_existing(waiting, existing["person"], bad, "error")
         good = K.skip_existing_persons(good, existing["person"])
-        judged = _judge_existing(
-            waiting, existing["person"], F.col("reject_reason").isNotNull(), "error"
-        )
     else:
         judged = waiting.select(
-            F.when(F.col("reject_reason").isNull(), "processed")
-            .otherwise("error")
+            F.when(bad, "error")
+            .when(F.col("repeated"), "skipped")
+            .otherwise("processed")
             .alias("outcome")
         )
-    tables = build_tables(good, existing, "strict", bases)
+    good = materialize(good.select(*S.GOLDEN.fieldNames()), "accepted", staging)
+    tables = build_tables(good, existing, "strict", bases, staging)
     return Load(tables, good.select("_id"), _outcomes(judged))
 
 
@@ -174,15 +187,21 @@ def _judge_existing(
 ) -> DataFrame:
     """An existing passport is ``skipped`` before any other test."""
     known = person.select(F.col("passport").alias("known_passport")).distinct()
+    repeated = F.col("repeated") if "repeated" in waiting.columns else F.lit(False)
     return waiting.join(known, F.col("_id") == F.col("known_passport"), "left").select(
-        F.when(F.col("known_passport").isNotNull(), "skipped")
+        F.when(F.col("known_passport").isNotNull() | repeated, "skipped")
         .when(bad, bad_outcome)
         .otherwise("processed")
         .alias("outcome")
     )
 
 
-def load_json(golden_file: DataFrame, existing: dict[str, DataFrame] | None = None) -> Load:
+def load_json(
+    golden_file: DataFrame,
+    existing: dict[str, DataFrame] | None = None,
+    bases: dict[str, Column | int] | None = None,
+    staging: str | None = None,
+) -> Load:
     """Load a golden JSON file: every record with an id that has no person yet, the
     first of repeated ids, full name from its parts, all dependents."""
     spark = golden_file.sparkSession
@@ -190,7 +209,8 @@ def load_json(golden_file: DataFrame, existing: dict[str, DataFrame] | None = No
     good = K.skip_existing_persons(
         golden_file.filter(F.col("_id").isNotNull()), persons, position="position"
     )
-    tables = build_tables(good, existing, "json")
+    good = materialize(good, "accepted", staging)
+    tables = build_tables(good, existing, "json", bases, staging)
     # Everything not processed is skipped: total minus processed.
     total = golden_file.groupBy().agg(F.count("*").alias("n"))
     done = good.groupBy().agg(F.count("*").alias("n"))

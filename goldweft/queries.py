@@ -23,6 +23,7 @@ from goldweft.operators import rows as R
 from goldweft.operators import surrogate as U
 from goldweft.plans import consolidate as E
 from goldweft.plans import load as LD
+from goldweft.plans import run
 from goldweft.session import scratch_path
 from goldweft.sources import feed
 from goldweft.sources.golden_json import read_golden_json
@@ -106,17 +107,21 @@ def golden_pending_scan(spark, sf_dir):
     return flat_golden(G.pending(golden))
 
 
-def _golden_json(spark, sf_dir) -> DataFrame:
-    """Golden records through JSON files of 1,000 records each."""
+def _golden_json_files(spark: SparkSession, golden: DataFrame) -> str:
+    """Folder with golden records in JSON files of 1,000 records each."""
     fields = [f for f in S.GOLDEN.fieldNames()[:20] if f not in ("consolidated_at",)]
-    numbered = U.assign_surrogate_ids(_golden(spark, sf_dir), "_id")
+    numbered = U.assign_surrogate_ids(golden, "_id")
     path = scratch_path(spark, "golden-json")
     record = F.struct(*[F.col(f"`{f}`") for f in fields])
     # A group is at most 1,000 records: the ids are dense.
     numbered.groupBy(F.floor(F.col("id") / 1000).alias("block")).agg(
         F.collect_list(record).alias("Golden")
     ).write.partitionBy("block").option("ignoreNullFields", False).json(path)
-    return read_golden_json(spark, path)
+    return path
+
+
+def _golden_json(spark, sf_dir) -> DataFrame:
+    return read_golden_json(spark, _golden_json_files(spark, _golden(spark, sf_dir)))
 
 
 @query
@@ -137,18 +142,67 @@ def golden_upsert_coalesce(spark, sf_dir):
     return flat_golden(G.upsert(old, new, "coalesce"), "change", "n_sources")
 
 
+def _rows_of_all(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of several tables as name and content, ids and foreign keys included."""
+    parts = [
+        tables[name].select(F.lit(name).alias("tab"), F.concat_ws("|", *tables[name].columns).alias("content"))
+        for name in sorted(tables)
+    ]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.union(part)
+    return together
+
+
+def _run_store(spark: SparkSession, sf_dir: str, load: str = "bulk") -> Store:
+    """A store after one run over the whole feed."""
+    store = Store(spark, scratch_path(spark, "store"))
+    bronze = materialize(X.feed_bronze(spark, sf_dir), "bronze")
+    run.run_batch(store, bronze, 0, consolidated_at=X.stamp(), load=load)
+    return store
+
+
 @query
 def load_tables(spark, sf_dir):
-    tables = LD.load_bulk(_golden(spark, sf_dir)).tables
-    stored = {name: materialize(rows, name) for name, rows in tables.items()}
-    counts = M.table_counts(stored)
-    links = stored["person_address"].groupBy().agg(F.count("*").alias("links"))
-    return M.one_row([counts, links])
+    """All five tables as a run committed them."""
+    return _rows_of_all(_run_store(spark, sf_dir).tables())
 
 
 @query
 def table_scan(spark, sf_dir):
-    return materialize(LD.load_bulk(_golden(spark, sf_dir)).tables["person"], "person")
+    """One table of a store; the other four are not opened."""
+    return _run_store(spark, sf_dir).table("person")
+
+
+@query
+def run_strict_tables(spark, sf_dir):
+    """All five tables as a run with the strict load committed them."""
+    return _rows_of_all(_run_store(spark, sf_dir, "strict").tables())
+
+
+@query
+def run_strict_golden(spark, sf_dir):
+    """Upload flags after a run with the strict load: only loaded records carry it."""
+    return _run_store(spark, sf_dir, "strict").golden().select("_id", "n_sources", "uploaded_2_SQL")
+
+
+@query
+def run_json_golden(spark, sf_dir):
+    """Upload flags after JSON files of earlier golden records were loaded into the store of a
+    strict run, and whether a person exists: the JSON load takes what the strict one refused."""
+    store = _run_store(spark, sf_dir, "strict")
+    old = materialize(X.old_golden(spark, sf_dir), "golden")
+    run.run_json(store, _golden_json_files(spark, old), 1)
+    person = store.table("person").select(F.col("passport").alias("_id"), F.lit(True).alias("known"))
+    return store.golden().join(person, "_id", "left").select(
+        "_id", "uploaded_2_SQL", F.coalesce("known", F.lit(False)).alias("has_person")
+    )
+
+
+@query
+def dry_run(spark, sf_dir):
+    """The statistics of a run that writes nothing."""
+    return run.dry_run(X.feed_bronze(spark, sf_dir))
 
 
 @query
@@ -549,27 +603,21 @@ def person_address_union(spark, sf_dir):
 
 @query
 def stream_ingest(spark, sf_dir):
-    """Ingestion of valid and undecodable messages by two streams."""
-    bronze, rejected = scratch_path(spark, "bronze"), scratch_path(spark, "rejected")
-
-    def documents():
-        schema = feed.TABLES["documents"]
-        return X.documents_as_kafka_rows(
-            read_file_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet")
+    """Valid and undecodable messages of one topic set, by one stream into two places."""
+    documents = X.documents_as_kafka_rows(
+        read_file_stream(
+            spark, sf_dir, feed.TABLES["documents"], pathGlobFilter="documents.parquet"
         )
-
-    def rows():
-        return _event_stream(spark, sf_dir).unionByName(documents())
-
-    SI.ingest(rows(), bronze, scratch_path(spark, "offsets")).awaitTermination()
-    SI.ingest_rejects(rows(), rejected, scratch_path(spark, "offsets")).awaitTermination()
-    kept = spark.read.schema(S.BRONZE).parquet(bronze).select("kafka_metadata.topic")
-    lost = spark.read.parquet(rejected).select("topic")
-    return (
-        kept.withColumn("kept", F.lit(True))
-        .unionByName(lost.withColumn("kept", F.lit(False)))
-        .groupBy("topic", "kept")
-        .agg(F.count("*").alias("messages"))
+    )
+    rows = _event_stream(spark, sf_dir).unionByName(documents)
+    path = scratch_path(spark, "ingested")
+    SI.ingest_split(rows, path, scratch_path(spark, "offsets")).awaitTermination()
+    return SI.read_split(spark, path).selectExpr(
+        "kafka_metadata.topic",
+        "kafka_metadata.partition",
+        "kafka_metadata.offset",
+        "reason",
+        "coalesce(data, CAST(value AS string)) AS content",
     )
 
 

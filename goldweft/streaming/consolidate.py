@@ -26,14 +26,22 @@ def start(
     trigger: dict | None = None,
     full_every: int = 0,
     source_options: dict | None = None,
+    archive: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Run :func:`run_batch` on every batch of new bronze files.
 
     ``full_every`` rewrites the golden state whole at every n-th batch; the other
     batches write only what changed.  ``options`` go to ``run_batch``.
+
+    With ``archive`` files go there once the batch after theirs begins, so neither bronze nor
+    its listing grows with the past; messages that a run could not use are in the store's
+    ``quarantine``.  Bronze must then come from ``ingest.ingest_split`` (``bronze_path`` is
+    ``ingest.bronze_folder(...)``): Spark takes no files out of a file sink's folder.
     """
     reader = spark.readStream.schema(S.BRONZE)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     for key, value in (source_options or {}).items():
         reader = reader.option(key, value)
 

@@ -54,6 +54,17 @@ def test_shape(spark, data, shape):
     assert shapes(spark, [data]) == [shape]
 
 
+def test_keys_without_content_are_no_keys(spark):
+    bank = '{"passport":%s,"IBAN":"a","salary":"b"}'
+    refused = [bank % v for v in ("0", "-0.0", "0e5", "false", "[ ]", "{}", "null", '""')]
+    refused += ['{"address":0,"IPv4":"a"}', '{"fullname":[],"city":"a","address":"x"}']
+    accepted = [bank % v for v in ('"0"', '"false"', '"[]"', "7", "true", "[0]")]
+    got = C.classify(feed(spark, refused + accepted))
+    keys = [r.link_key for r in got.orderBy("seq").collect()]
+    assert keys == [None] * len(refused) + ["0", "false", "[]", "7", "true", "[0]"]
+    assert C.missing_key(got).count() == len(refused)
+
+
 def test_missing_key_is_kept_and_not_counted(spark):
     c = C.classify(feed(spark, ['{"passport":null,"IBAN":"a","salary":"b"}', '{"foo":1}', "{}"]))
     assert C.class_counts(c).first().bank_records == 0

@@ -73,6 +73,27 @@ def test_resume_adds_only_new_files(spark, folders):
     assert sorted(offsets) == list(range(20))
 
 
+def test_one_stream_into_two_places(spark, folders, monkeypatch):
+    source, target, checkpoint = folders
+    rows = kafka(spark, [(None, b'{"n":1}', 0), (None, b"x", 1), (None, None, 2), (None, b"\xff", 3)])
+    rows.write.parquet(source)
+    stream = read_file_stream(spark, source, S.KAFKA)
+    SI.ingest_split(stream, target, checkpoint).awaitTermination()
+    got = {r["kafka_metadata"].offset: r for r in SI.read_split(spark, target).collect()}
+    assert {o: r.reason for o, r in got.items()} == {
+        0: "kept", 1: "bad_json", 2: "tombstone", 3: "bad_utf8"
+    }
+    assert got[0].data == '{"n":1}' and got[0].value is None
+    assert got[1].data is None and bytes(got[1].value) == b"x" and got[2].value is None
+    kept = spark.read.schema(S.BRONZE).parquet(SI.bronze_folder(target)).collect()
+    assert [r.data for r in kept] == ['{"n":1}']
+    # A batch that was written whole and is repeated is left as it is.
+    before = sorted(spark.read.parquet(target).inputFiles())
+    again = f"{checkpoint}-again"
+    SI.ingest_split(read_file_stream(spark, source, S.KAFKA), target, again).awaitTermination()
+    assert sorted(spark.read.parquet(target).inputFiles()) == before
+
+
 def test_dedup_across_batches(spark, folders):
     source, target, checkpoint = folders
     for start in (0, 5):  # offsets 5..9 are replayed

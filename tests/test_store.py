@@ -7,7 +7,7 @@ from people import bronze, messages, people
 
 from goldweft import schemas as S
 from goldweft.operators.dump import flat_person_dataset
-from goldweft.plans.run import run_batch
+from goldweft.plans.run import dry_run, run_batch, run_json
 from goldweft.sources.store import Store
 from goldweft.streaming import consolidate as SC
 
@@ -128,3 +128,73 @@ def test_stream_of_two_batches(spark, store, tmp_path):
     assert len(by_id(store)) == 10
     assert store.last_commit().batch_id == 1 and store.last_commit().base == 1
     assert sorted(r.id for r in store.table("address").collect()) == list(range(1, 21))
+
+
+def outcomes(store, batch_id):
+    rows = store.read("outcomes", "outcome string, records bigint").filter(f"batch_id = {batch_id}")
+    return {r.outcome: r.records for r in rows.collect()}
+
+
+def test_strict_run_flags_loaded_records_alone(spark, store, tmp_path):
+    sexless = [m.replace('["F"]', "[]") if "T-001" in m else m for m in messages()]
+    run_batch(store, bronze(spark, sexless), 0, load="strict")
+    assert outcomes(store, 0) == {"processed": 9, "error": 1}
+    assert [k for k, r in by_id(store).items() if not r.uploaded_2_SQL] == ["T-001"]
+    assert store.table("person").count() == 9
+    # The next run takes the mended record and skips those that have a person already.
+    run_batch(store, bronze(spark, messages(), 100), 1, load="strict")
+    assert outcomes(store, 1) == {"processed": 1, "skipped": 9}
+    ids = sorted(r.id for r in store.table("person").collect())
+    assert ids == list(range(1, 11))
+    # Skipped records stay pending, as nothing of theirs was loaded.
+    assert [k for k, r in by_id(store).items() if r.uploaded_2_SQL] == ["T-001"]
+    # A replay of a committed batch changes nothing.
+    run_batch(store, bronze(spark, messages(), 100), 1, load="strict")
+    assert store.table("person").count() == 10
+
+
+def test_crash_of_a_strict_run_is_repeated(spark, store, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(Store, "commit", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_batch(store, bronze(spark, messages()), 0, load="strict")
+    assert by_id(store) == {}
+    run_batch(store, bronze(spark, messages()), 0, load="strict")
+    assert store.table("person").count() == 10 and outcomes(store, 0) == {"processed": 10}
+
+
+def test_unknown_load_is_refused(spark, store):
+    for options in ({"load": "other"}, {"load": "strict", "on_existing": "skip"}):
+        with pytest.raises(ValueError):
+            run_batch(store, bronze(spark, messages()), 0, **options)
+
+
+def test_json_files_are_loaded_as_a_batch(spark, store, tmp_path):
+    run_batch(store, bronze(spark, messages()[:25]), 0)
+    path = tmp_path / "golden.json"
+    path.write_text(json.dumps({"Golden": people()}))
+    run_batch(store, bronze(spark, messages()[25:29], 100), 1)  # T-005 without its network
+    for _ in range(2):
+        run_json(store, str(path), 2)
+    assert outcomes(store, 2) == {"processed": 5, "skipped": 5}
+    assert sorted(r.id for r in store.table("person").collect()) == list(range(1, 11))
+    golden = by_id(store)
+    assert len(golden) == 6 and golden["T-005"].uploaded_2_SQL is True
+    run_batch(store, bronze(spark, messages()[30:35], 200), 3, load="strict")
+    assert outcomes(store, 3) == {"skipped": 1}
+
+
+def test_json_files_into_an_empty_store(spark, store, tmp_path):
+    path = tmp_path / "golden.json"
+    path.write_text(json.dumps({"Golden": people()}))
+    run_json(store, str(path), 0)
+    assert store.table("person").count() == 10 and by_id(store) == {}
+    run_batch(store, bronze(spark, messages()), 1, on_existing="skip")
+    assert store.table("person").count() == 10
+
+
+def test_dry_run_counts_and_writes_nothing(spark, store):
+    stats = dry_run(bronze(spark, messages() + ["{}", '{"foo":1}'])).first()
+    assert (stats.total_raw_messages, stats.golden_records_created) == (52, 10)
+    assert (stats.raw_records_deleted, stats.golden_records_updated) == (51, 0)
+    assert store.last_commit() is None

@@ -6,6 +6,9 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from people import messages
+
+from goldweft import schemas as S
 from goldweft.session import scratch_root
 from goldweft.sources.store import Store
 from goldweft.streaming import consolidate as SC
@@ -30,6 +33,77 @@ def test_late_messages_pass_and_replays_do_not(spark, tmp_path):
     assert got.count() == got.distinct().count() == 20
 
 
+def test_state_of_dedup_is_runs_of_offsets():
+    import numpy as np
+    import pandas as pd
+
+    class State:
+        exists, value = False, None
+
+        def update(self, value):
+            self.exists, self.value = True, value
+
+        @property
+        def get(self):
+            return self.value
+
+    rng = np.random.default_rng(5)
+    state, seen = State(), set()
+    offsets = rng.permutation(20_000)
+    for part in np.array_split(np.concatenate([offsets, offsets[:5_000]]), 7):
+        chunks = [pd.DataFrame({"offset": c}) for c in np.array_split(part, 3)]
+        got = [int(o) for frame in SI.unseen((), iter(chunks), state) for o in frame["offset"]]
+        assert sorted(got) == sorted(set(part.tolist()) - seen)
+        seen |= set(part.tolist())
+    assert state.value == ([0], [19_999])
+    frame = pd.DataFrame({"offset": np.arange(30_000, 1_030_000)})
+    assert sum(map(len, SI.unseen((), iter([frame, frame]), state))) == 1_000_000
+    assert state.value == ([0, 30_000], [19_999, 1_029_999])
+
+
+def test_dedup_keeps_every_field(spark, tmp_path):
+    odd = datetime(2024, 10, 27, 1, 30, 0, 123456)
+    rows = [("t", None, 0, odd), ("t", 1, None, None), (None, 1, 5, NOON), ("t", 1, 3_000_000, NOON)]
+    stream = files(spark, tmp_path / "in", rows, rows + [("t", 1, 2_999_999, NOON)])
+    SI.start(SI.dedup(stream), str(tmp_path / "out"), str(tmp_path / "at")).awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got, key=str) == sorted(rows + [("t", 1, 2_999_999, NOON)], key=str)
+
+
+def test_consumed_bronze_is_archived(spark, tmp_path):
+    """Files leave after the batch that read them; what no run can use stays in the store."""
+    path, archive = str(tmp_path / "ingested"), tmp_path / "archive"
+    store = Store(spark, str(tmp_path / "store"))
+    texts = messages() + ['{"foo":1}']
+
+    def run(start, part):
+        frame = spark.createDataFrame(
+            [(None, t.encode(), "people", 0, start + i, NOON) for i, t in enumerate(part)], S.KAFKA
+        )
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "kafka"))
+        topic = spark.readStream.schema(S.KAFKA).parquet(str(tmp_path / "kafka"))
+        SI.ingest_split(topic, path, str(tmp_path / "offsets")).awaitTermination()
+        SC.start(
+            spark,
+            SI.bronze_folder(path),
+            store,
+            str(tmp_path / "runs"),
+            trigger={"availableNow": True},
+            archive=str(archive),
+        ).awaitTermination()
+
+    def left():
+        return len(list((tmp_path / "ingested").rglob("*.parquet")))
+
+    run(0, texts[:30])
+    first = {p.name for p in (tmp_path / "ingested").rglob("*.parquet")}
+    run(100, texts[30:])
+    assert store.golden().count() == 10 and store.table("person").count() == 10
+    assert [r.data for r in store.read("quarantine", "data string").collect()] == ['{"foo":1}']
+    moved = {p.name for p in archive.rglob("*.parquet")}
+    assert first <= moved and left() <= 1
+
+
 def test_every_window_of_a_bounded_run_appears(spark, tmp_path):
     rows = files(
         spark,

@@ -6,6 +6,8 @@ import json
 import pandas as pd
 from people import feed, messages, people
 
+from pyspark.sql import functions as F
+
 from goldweft.operators import dump as DU
 from goldweft.operators import keys as K
 from goldweft.operators import surrogate as U
@@ -51,6 +53,21 @@ def test_strict_load_counts_outcomes(spark):
     assert all(r.full_name == f"{r.name} {r.last_name}" for r in rows)
 
 
+def test_strict_load_takes_the_passport_for_a_missing_id(spark):
+    golden = E.consolidate(feed(spark, messages()), "seq")
+    named = golden.withColumn("passport", F.col("_id"))
+    lost = named.withColumn("_id", F.expr("CASE WHEN _id = 'T-004' THEN '' END"))
+    both = named.filter("_id < 'T-003'").unionByName(lost.filter("passport <> 'T-009'"))
+    bare = lost.filter("passport = 'T-009'").withColumn("passport", F.lit(None).cast("string"))
+    person = spark.createDataFrame([(7, "T-003")], "id bigint, passport string")
+    load = LD.load_strict(both.unionByName(bare), {**LD.empty_tables(spark), "person": person})
+    outcomes = {r.outcome: r.records for r in load.outcomes.collect()}
+    # T-000 to T-002 come twice, T-003 has a person, one record has neither field.
+    assert outcomes == {"processed": 8, "skipped": 4, "error": 1}
+    passports = sorted(r.passport for r in load.tables["person"].collect())
+    assert passports == [f"T-{i:03d}" for i in (0, 1, 2, 4, 5, 6, 7, 8)]
+
+
 def test_golden_json_file(spark, tmp_path):
     records = people()
     records.append({**records[0], "name": "Second"})  # repeated id: the first stays
