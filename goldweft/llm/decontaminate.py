@@ -34,12 +34,15 @@ def _fold(text: Column) -> Column:
 
 
 def _shingles(hashed: Column) -> Column:
-    """Hashes of the shingles of an array of word hashes, in order; repeats stay."""
+    """Hashes of the shingles of an array of word hashes, in order; repeats stay.  With fewer
+    words than a shingle has, the whole sequence is the only one."""
 
     def of(h: Column) -> Column:
         last = F.size(h) - SHINGLE
         one = lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), one))
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), one)).when(
+            F.size(h) > 0, F.array(F.xxhash64(h))
+        )
 
     # A variable of a lambda is evaluated once, wherever the optimizer moves the expression.
     return F.coalesce(F.get(F.transform(F.array(hashed), of), 0), F.array().cast("array<bigint>"))
@@ -59,7 +62,7 @@ def weighted_items(benchmark: DataFrame, key: str = "item_id", text: str = "text
     A shingle weighs 1 / (items that hold it): what many items share, such as a set phrase,
     says less about any of them.  What no item holds weighs 1, so of items that repeat or
     share a preamble a near copy may be below the similarity by weight; those are judged by
-    plain counts as well (see :func:`leaks`).  Items of fewer words than a shingle have none.
+    plain counts as well (see :func:`leaks`).
     """
     items = _texts(benchmark, key, text).dropDuplicates(["id", "shingles"])
     placed = items.select(
@@ -119,8 +122,9 @@ def leaks(
     that reaches :data:`SIMILARITY`, else the plain one; windows of the former come first.
 
     A window has as many words as the item, or the whole text where that is shorter.  Words
-    are cut at ASCII white space, A-Z as a-z.  Texts and items of fewer words than a shingle
-    have no windows.  Null texts are empty; rows without a key or item id take no part; rows
+    are cut at ASCII white space, A-Z as a-z.  An item of fewer words than a shingle is leaked
+    by a text that holds these words and no others: within longer texts such short phrases
+    say nothing.  Null texts are empty; rows without a key or item id take no part; rows
     that repeat a key are one document's.  Other columns are ignored.
     """
     items = stage(weighted_items(benchmark, item, item_text), "items")
