@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 from goldweft.llm.common import slices, texts_of
 
-#: Bounds of the training sample: rows of each label, and bytes of a training text.  Half
-#: of the rows build the dictionaries, half fit the curve.
+#: Bounds of the training sample: rows of each label, and characters of a training text, which
+#: a longer text gives in as many pieces, spread evenly from its start to its end.  Half of
+#: the rows build the dictionaries, half fit the curve.
 SAMPLE_ROWS = 1200
-SAMPLE_BYTES = 20_000
+SAMPLE_CHARS, PIECES = 20_000, 10
 DICTIONARY_BYTES = 110 << 10
 #: Bytes that are compressed at a time, so that a dictionary counts alike all along a text.
 BLOCK = 2048
@@ -97,6 +98,14 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(beta[0] / scale), float(beta[1])
 
 
+def excerpt(text: Column) -> Column:
+    """A text of at most :data:`SAMPLE_CHARS` whole; of a longer one evenly spread pieces."""
+    piece = SAMPLE_CHARS // PIECES
+    step = (F.length(text) - piece) / F.lit(PIECES - 1)
+    pieces = [F.substr(text, F.floor(step * i).cast("int") + 1, F.lit(piece)) for i in range(PIECES)]
+    return F.when(F.length(text) <= SAMPLE_CHARS, text).otherwise(F.concat(*pieces))
+
+
 def sample(docs: DataFrame, labels: DataFrame) -> dict[int, tuple[int, list[bytes]]]:
     """Of each label: how many documents may be learnt from, and the texts of a bounded
     sample of them (the smallest seeded hashes, so reruns agree)."""
@@ -107,7 +116,6 @@ def sample(docs: DataFrame, labels: DataFrame) -> dict[int, tuple[int, list[byte
         .filter("quality = other")  # labels that contradict each other teach nothing
     )
     counts = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
-    lengths = F.octet_length("text")
     found = {}
     for label in (0, 1):
         ids = (
@@ -118,10 +126,10 @@ def sample(docs: DataFrame, labels: DataFrame) -> dict[int, tuple[int, list[byte
         )
         rows = (
             docs.select("doc_id", "text")
-            .filter((lengths > 0) & (lengths <= SAMPLE_BYTES))
+            .filter(F.octet_length("text") > 0)
             .join(F.broadcast(ids), "doc_id")  # SAMPLE_ROWS ids at most
             .groupBy("doc_id")
-            .agg(F.min("text").alias("text"))
+            .agg(F.min(excerpt(F.col("text"))).alias("text"))
             .orderBy(F.xxhash64("doc_id", F.lit(18)), "doc_id")
         )
         found[label] = (counts.get(label, 0), [r.text.encode() for r in rows.collect()])

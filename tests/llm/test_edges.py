@@ -169,6 +169,16 @@ def test_mix_keeps_columns_of_any_name(spark):
     assert sum(r.taken for r in got) == sum(r.size for r in got)
 
 
+def test_excerpt_spreads_over_the_whole_text(spark):
+    long = "".join(f"<{i:06d}>" for i in range(40_000))
+    rows = make(spark, [(1, "short"), (2, "x" * 20_000), (3, long), (4, long[:20_008])])
+    got = {r.doc_id: r.t for r in rows.select("doc_id", quality.excerpt(F.col("text")).alias("t")).collect()}
+    assert (got[1], len(got[2]), len(got[3]), len(got[4])) == ("short", 20_000, 20_000, 20_000)
+    step = (len(long) - 2000) / 9
+    assert got[3] == "".join(long[int(step * i) : int(step * i) + 2000] for i in range(10))
+    assert got[3].startswith("<000000>") and got[3].endswith("<039999>")
+
+
 def test_quality(spark, odd):
     rng = random.Random(6)
     rows = [(i, words(rng, 60), "en", "a") for i in range(300)]
@@ -449,7 +459,7 @@ def test_substring_dedup_edges(spark, odd):
 def weighted_by_hand(docs, items):
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     split = lambda t: (t or "").translate(str.maketrans(upper, upper.lower())).split()
-    shingles = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    shingles = lambda w: [tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1)))]
     of = {i: shingles(split(t)) for i, t in items}
     weight = {}
     for s in {s for x in of.values() for s in x}:
@@ -475,6 +485,7 @@ def test_decontamination_against_all_windows(spark):
     rng = random.Random(12)
     items = [(i, words(rng, rng.choice((4, 5, 12, 30, 60)))) for i in range(15)]
     items += [(20, None), (21, ""), (22, items[3][1] + " tail of it"), (None, "a b c d e f g")]
+    items += [(30, "just four plain words"), (31, "word"), (32, "Just four\tPLAIN words")]
     docs = []
     for i in range(150):
         text = rng.choice(items[:15])[1].split()
@@ -482,6 +493,7 @@ def test_decontamination_against_all_windows(spark):
             text[rng.randrange(len(text))] = "EDIT"
         docs.append((i, f"{words(rng, rng.randint(0, 40))} {' '.join(text)} {words(rng, rng.randint(0, 9))}"))
     docs += [(200, None), (201, ""), (None, items[2][1]), (203, items[4][1].upper())]
+    docs += [(204, " Just FOUR plain words\n"), (205, "and just four plain words"), (206, "word"), (207, "word word")]
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
     got = {
         (r.doc_id, r.item_id, r.start, round(r.similarity, 6))
@@ -489,6 +501,7 @@ def test_decontamination_against_all_windows(spark):
     }
     known = [(d, t) for d, t in docs if d is not None]
     assert got == weighted_by_hand(known, [(i, t) for i, t in items if i is not None])
+    assert {(d, i) for d, i, *_ in got if d >= 204} == {(204, 30), (204, 32), (206, 31)}
     kept = decontaminate.remove_leaks(make(spark, docs), bench)
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, *_ in got}
     assert decontaminate.leaks(empty(make(spark, docs)), bench).count() == 0
