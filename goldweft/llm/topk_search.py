@@ -30,18 +30,16 @@ def quantise(embedding: Column) -> Column:
 class Postings:
     """The terms of a block of vectors: for each the places that have it, and its weights."""
 
-    def __init__(self, vectors: list[np.ndarray]):
-        lengths = np.array([len(v) for v in vectors], np.int64)
-        place = np.repeat(np.arange(len(vectors)), lengths)
+    def __init__(self, weight: np.ndarray, lengths: np.ndarray):
+        place = np.repeat(np.arange(len(lengths)), lengths)
         term = np.arange(len(place)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        weight = np.concatenate([*vectors, np.empty(0, np.int64)]).astype(np.int64)
         held = weight != 0
         place, term, weight = place[held], term[held], weight[held]
         order = np.argsort(term, kind="stable")
         place, term, weight = place[order], term[order], weight[order]
         cuts = np.searchsorted(term, np.arange(int(lengths.max(initial=0)) + 1))
         self.lists = [(place[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:])]
-        self.n = len(vectors)
+        self.n = len(lengths)
 
     def scores(self, query: np.ndarray) -> np.ndarray:
         """Inner products of a query with the block's vectors; missing components are 0."""
@@ -65,16 +63,26 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.arange(len(scores))
 
 
+def _vectors(column: pa.ChunkedArray, copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The components of a column of vectors one after another, and each vector's length."""
+    lists = column.combine_chunks()
+    if copies is not None:
+        lists = lists.take(pa.array(np.repeat(np.arange(len(copies)), copies)))
+    return lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy().astype(np.int64)
+
+
 def _search(k: int):
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        ids = candidates["vec_id"].to_numpy()
+        copies = candidates["copies"].to_numpy()
+        ids = np.repeat(candidates["vec_id"].to_numpy(), copies)
         asked = queries["query_id"].to_numpy()
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(ids) and len(asked):
-            block = Postings([np.array(v, np.int64) for v in candidates["vector"].to_pylist()])
-            for number, vector in zip(asked, queries["vector"].to_pylist()):
+            block = Postings(*_vectors(candidates["vector"], copies))
+            weights, lengths = _vectors(queries["vector"])
+            for number, vector in zip(asked, np.split(weights, np.cumsum(lengths)[:-1])):
                 own = ids != number
-                scores = block.scores(np.array(vector, np.int64))[own]
+                scores = block.scores(vector)[own]
                 top = best(scores, ids[own], k)
                 found.append((np.full(len(top), number), ids[own][top], scores[top]))
         columns = [np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3)]
@@ -102,12 +110,14 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         .groupBy(F.col("vec_id").alias("query_id"))
         .agg(F.min("vector").alias("vector"))
     )
-    # Two counts come to the driver.  Blocks are cut by a hash of id and place in the
-    # table, so that one id with many rows is spread as well.
+    # Equal rows travel once, with their number: no more than k of them can be among the k
+    # best.  So blocks cut by a hash of the row itself stay bounded, and a task that runs
+    # again deals each row to the same block.  Two counts come to the driver.
+    distinct = rows.groupBy("vec_id", "vector").agg(F.least(F.count("*"), F.lit(k)).alias("copies"))
     n = vectors.select(F.count("*"), F.count_if(F.col("vec_id") % every == 0)).first()
     blocks, groups = (max(1, -(-(n[i] or 0) // size)) for i, size in ((0, CANDIDATES), (1, QUERIES)))
-    spread = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks))
-    candidates = rows.withColumn("block", spread.cast("int"))
+    spread = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks))
+    candidates = distinct.withColumn("block", spread.cast("int"))
     left = asked.withColumn(
         "group", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")
     ).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
