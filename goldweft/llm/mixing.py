@@ -26,6 +26,9 @@ PASSES = 3
 PARTS = 4096
 #: Weights of the sources, in the order of their names, repeating.
 WEIGHTS = (1.0, 2.0, 3.0)
+#: Patterns that may come to the driver, some tens of MB of names at most, and those of them
+#: that may need the flow; beyond either number a mix is refused.
+PATTERNS, OVERLAPPING = 200_000, 2_000
 
 
 def targets(sizes: dict, weights: dict) -> dict:
@@ -103,6 +106,32 @@ def min_cost_flow(
     return given
 
 
+def shares(
+    capacity: list[int], wanted: list[int], members: list[tuple[int, ...]], passes: int = PASSES
+) -> list[dict[int, int]]:
+    """As :func:`min_cost_flow`.  Sources that no overlapping pattern reaches take what they
+    want of their one pattern, repeated as often as needed; the flow settles the others."""
+    shared = {j for m in members if len(m) > 1 for j in m}
+    flowing = [i for i, m in enumerate(members) if shared.intersection(m)]
+    if len(flowing) > OVERLAPPING:
+        raise ValueError(f"{len(flowing)} patterns of overlapping sources, more than {OVERLAPPING}")
+    given: list[dict[int, int]] = [{} for _ in capacity]
+    for i, m in enumerate(members):
+        if m[0] not in shared and (words := min(wanted[m[0]], passes * capacity[i])):
+            given[i] = {m[0]: words}
+    ids = sorted(shared)
+    place = {j: k for k, j in enumerate(ids)}
+    flow = min_cost_flow(
+        [capacity[i] for i in flowing],
+        [wanted[j] for j in ids],
+        [tuple(place[j] for j in members[i]) for i in flowing],
+        passes,
+    )
+    for i, g in zip(flowing, flow):
+        given[i] = {ids[k]: words for k, words in g.items()}
+    return given
+
+
 def _rounded(wanted: list[float]) -> list[int]:
     """Whole words for targets, their sum kept."""
     ends = np.rint(np.cumsum(wanted)).astype(np.int64)
@@ -130,8 +159,9 @@ def mix(
     rows any may be the one that is cut.  An empty table gives no rows.  ``keep`` may have any names;
     columns named like one of the four numbers give way to it.
 
-    One row per pattern and one per source come to the driver: their number depends on the
-    sources, not on the documents.
+    One row per pattern comes to the driver: their number depends on the sources, not on the
+    documents.  More than :data:`PATTERNS` of them, or more than :data:`OVERLAPPING` that share
+    sources with others, raise a ValueError; nothing is left out instead.
     """
     names = F.when(F.size(members) > 0, members).otherwise(F.array(F.lit(None).cast("string")))
     # Null and names must sort together: null travels as an empty array, a name as one element.
@@ -155,15 +185,20 @@ def mix(
     parts = rows.groupBy("pattern", "part").agg(F.sum("size").alias("words"))
     found = [
         (tuple(x[0] if x else None for x in r.pattern), r.words or 0)
-        for r in parts.groupBy("pattern").agg(F.sum("words").alias("words")).collect()
+        for r in parts.groupBy("pattern").agg(F.sum("words").alias("words")).limit(PATTERNS + 1).collect()
     ]
+    if len(found) > PATTERNS:
+        raise ValueError(f"more than {PATTERNS} patterns of sources")
     found.sort(key=lambda f: [(s is None, s or "") for s in f[0]])
     sources = sorted({s for p, _ in found for s in p}, key=lambda s: (s is None, s or ""))
-    sizes = {s: sum(w for p, w in found if s in p) for s in sources}
+    sizes = dict.fromkeys(sources, 0)
+    for p, words in found:
+        for s in p:
+            sizes[s] += words
     total = {s: weights[i % len(weights)] for i, s in enumerate(sources)}
     wanted = targets(sizes, total)
     number = {s: j for j, s in enumerate(sources)}
-    flow = min_cost_flow(
+    flow = shares(
         [w for _, w in found],
         _rounded([wanted[s] for s in sources]),
         [tuple(number[s] for s in p) for p, _ in found],

@@ -208,6 +208,9 @@ def test_topk_ties_and_odd_vectors(spark):
     assert [got[50, i] for i in range(1, 6)] == [(0, 32768), (1, 32768), (2, 32768), (3, 32768), (3, 32768)]
     assert [got[0, i][0] for i in range(1, 6)] == [50, 1, 2, 3, 3]
     assert topk_search.top_k(empty(table)).count() == 0
+    # A third of all rows alike: as many of them as fit, each a candidate of its own.
+    many = spark.createDataFrame([(50, [1.0]), *[(7, [2.0])] * 400, *[(i, [1.5]) for i in range(100, 105)]], "vec_id long, embedding array<double>")
+    assert [tuple(r)[2] for r in topk_search.top_k(many).filter("query_id = 50").collect()] == [7] * 5
 
 
 def test_topk_against_all_pairs_in_blocks(spark, monkeypatch):
@@ -262,6 +265,62 @@ def test_flow_shares_overlapping_patterns():
     assert sum(sum(g.values()) for g in mixing.min_cost_flow([5], [100], [(0,)])) == 15
 
 
+def test_mix_of_overlapping_sources(spark):
+    """Every document in one or two of three sources, a third of all in one pattern."""
+    rng = random.Random(31)
+    patterns = [["a"], ["b"], ["c"], ["a", "b"], ["b", "c"], ["c", "b"], [None], ["a", "b"], ["a", "b"]]
+    rows = [(i, words(rng, rng.randint(1, 60)), patterns[i % 9]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    got = {r.doc_id: r for r in mixing.mix(docs, F.col("sources")).collect()}
+    assert len(got) == 900
+    size = {i: len(t.split()) for i, t, _ in rows}
+    assert all(got[i]["size"] == size[i] and 0 <= got[i].taken <= 3 * size[i] for i in size)
+    totals = {s: sum(size[i] for i, _, p in rows if s in p) for s in ("a", "b", "c", None)}
+    wanted = mixing.targets(totals, dict(zip(totals, (1, 2, 3, 1))))
+    for i, _, p in rows:
+        assert got[i].source_size == sum(totals[s] for s in p)
+        assert got[i].target == pytest.approx(sum(wanted[s] for s in p))
+    # What can be delivered at all, by the greatest flow: every set of sources gets no more
+    # than it wants, and no more than the patterns that reach it can give three times.
+    of = lambda chosen: 3 * sum(size[i] for i, _, p in rows if set(p) & set(chosen))
+    sets = [c for n in range(5) for c in itertools.combinations(totals, n)]
+    most = min(sum(wanted[s] for s in totals if s not in c) + of(c) for c in sets)
+    assert abs(sum(r.taken for r in got.values()) - most) <= 2
+    # Within a pattern nothing is taken a further time before all of it was taken so often.
+    for pattern in {tuple(sorted(p, key=str)) for _, _, p in rows}:
+        passes = [got[i].taken / size[i] for i, _, p in rows if tuple(sorted(p, key=str)) == pattern]
+        assert max(passes) - min(passes) <= 1
+    again = mixing.mix(docs.repartition(5), F.col("sources")).collect()
+    assert {r.doc_id: tuple(r) for r in again} == {i: tuple(r) for i, r in got.items()}
+
+
+def test_shares_equal_the_flow():
+    rng = random.Random(3)
+    for _ in range(200):
+        members = [m for n in (1, 2) for m in itertools.combinations(range(5), n) if rng.random() < 0.5]
+        capacity = [rng.randint(0, 20) for _ in members]
+        wanted = [rng.randint(0, 60) for _ in range(5)]
+        sums = [
+            sorted(sum(g.values()) for g in f(capacity, wanted, members)) for f in (mixing.shares, mixing.min_cost_flow)
+        ]
+        assert sum(sums[0]) == sum(sums[1])
+        cost = [sum(max(0, t - p * c) for p in (1, 2) for t, c in zip((sum(g.values()) for g in f(capacity, wanted, members)), capacity))
+                for f in (mixing.shares, mixing.min_cost_flow)]
+        assert cost[0] == cost[1]
+
+
+def test_mix_refuses_too_many_patterns(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a b", [f"s{i}", "all"]) for i in range(9)], "doc_id long, text string, s array<string>")
+    monkeypatch.setattr(mixing, "OVERLAPPING", 8)
+    with pytest.raises(ValueError, match="overlapping"):
+        mixing.mix(docs, F.col("s"))
+    monkeypatch.setattr(mixing, "PATTERNS", 8)
+    with pytest.raises(ValueError, match="patterns of sources"):
+        mixing.mix(docs, F.col("s"))
+    many = docs.withColumn("s", F.array(F.col("s")[0])).limit(8)
+    assert mixing.mix(many, F.col("s")).count() == 8
+
+
 def test_licences(spark):
     rows = [
         (1, "CC BY cc-by_CC by", "en"),
