@@ -103,8 +103,24 @@ SELECT c.conv_id, c.conv_id || '.' || c.turn AS call, c.turn AS place, c.depth,
        || CASE WHEN c.text IS NOT NULL THEN '"query":' || to_json(c.text) || ',' ELSE '' END
        || '"words":' || words || '},"call":"' || c.conv_id || '.' || c.turn || '","depth":' || c.depth
        || ',"result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || ',"tool":"' || CASE WHEN c.last IS NULL THEN 'ask' ELSE 'follow_up' END
-       || '","valid":' || CASE WHEN coalesce(trim(c.text, ' ') <> '' AND words > 0, FALSE) THEN 'true' ELSE 'false' END || '}' AS json
+       || '","valid":' || CASE WHEN coalesce(trim(c.text, ' ') <> '' AND words > 0, FALSE) THEN 'true' ELSE 'false' END || '}' AS json,
+       'call' AS status
 FROM c LEFT JOIN r ON r.conv_id = c.conv_id AND r.last = c.turn
+UNION ALL
+SELECT conv_id, conv_id || '.' || last AS call, turn, NULL, NULL, NULL,
+       '{"call":' || coalesce('"' || conv_id || '.' || last || '"', 'null')
+       || ',"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"status":"' || status || '"}', status
+FROM (SELECT *, CASE WHEN last IS NULL THEN 'orphan' ELSE 'result' END AS status,
+             row_number() OVER (PARTITION BY conv_id, last ORDER BY turn) AS number
+      FROM p WHERE role = 'assistant')
+WHERE last IS NULL OR number > 1
+UNION ALL
+SELECT conv_id, NULL, turn, NULL, NULL, NULL,
+       '{"content":' || coalesce(CAST(to_json(max(text)) AS VARCHAR), 'null')
+       || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || ',"status":"context"}', 'context'
+FROM conversations
+WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND coalesce(role NOT IN ('user', 'assistant'), TRUE)
+GROUP BY conv_id, turn, role
 """
 
 ORACLES["op12_collocations"] = r"""

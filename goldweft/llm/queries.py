@@ -72,8 +72,9 @@ def op9_substring_dedup(spark, sf_dir):
 
 @_query
 def op10_tool_chat(spark, sf_dir):
-    calls, results = tool_chat.from_turns(read(spark, sf_dir, "conversations"))
-    return tool_chat.link(calls, results).withColumnRenamed("conv", "conv_id")
+    turns = read(spark, sf_dir, "conversations")
+    calls, results = tool_chat.from_turns(turns)
+    return tool_chat.format_chat(calls, results, tool_chat.context(turns)).withColumnRenamed("conv", "conv_id")
 
 
 @_query

@@ -32,7 +32,8 @@ def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Every user turn is a call, named ``conversation.turn``.  It builds on the user turn
     before it, if there is one (tool ``follow_up``, else ``ask``).  An assistant turn is a
-    result of the last user turn before it; without one it is dropped, as are other roles.
+    result of the last user turn before it; without one it is a result of no call (null).
+    Turns of other roles are left to :func:`context`.
     Rows without conv_id or turn take no part; of several rows of one turn and role, the
     greatest text counts.
     """
@@ -69,12 +70,23 @@ def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         ).alias("arguments"),
         F.array_compact(F.array(before)).alias("needs"),
     )
-    results = placed.filter("role = 'assistant' AND last IS NOT NULL").select(
+    results = placed.filter("role = 'assistant'").select(
         "conv", before.alias("call"), F.col("turn").alias("place"), F.col("text").alias("content")
     )
     return calls, results
 
 
+def context(turns: DataFrame) -> DataFrame:
+    """conv, place, role and content of the turns that are neither user's nor assistant's
+    (system prompts, unknown and null roles).  Rows without conv_id or turn take no part; of
+    several rows of one turn and role, the greatest text counts."""
+    return (
+        turns.filter("conv_id IS NOT NULL AND turn IS NOT NULL AND coalesce(role NOT IN ('user', 'assistant'), true)")
+        .groupBy(F.col("conv_id").cast("long").alias("conv"), F.col("turn").cast("long").alias("place"), "role")
+        .agg(F.max("text").alias("content"))
+    )
+
+
 def valid(tool: Column, arguments: Column) -> Column:
     """Whether ``arguments`` (a variant) is an object that fits the schema of ``tool``:
     required arguments present, types as given, strings not blank, numbers above 0, nothing
@@ -182,3 +194,34 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
     )
     text = F.to_json(body, {"ignoreNullFields": "false"})
     return linked.select("conv", "call", "place", "depth", "valid", "n_results", text.alias("json"))
+
+
+def format_chat(calls: DataFrame, results: DataFrame, notes: DataFrame) -> DataFrame:
+    """Everything that was said, one row a message: the columns of :func:`link` and status.
+
+    ``call``: a row of :func:`link`, with its first result.  ``result``: a further result of
+    a call, ``orphan``: a result of no call or of an unknown one, both with the call's name
+    and the content; ``context``: a row of ``notes`` (conv, place, role, content).  depth,
+    valid and n_results are null but for calls.  Results are rows of their own, so a call may
+    have any number of them; (place, status) puts a conversation in order.  Results that
+    repeat their call's first one word for word at the same place are not written again.
+    Rows without conv take no part.  Empty tables give no rows.
+    """
+    known = results.filter("conv IS NOT NULL")
+    heads = known.filter("call IS NOT NULL").groupBy("conv", "call").agg(F.min(F.struct("place", "content")).alias("head"))
+    names = calls.filter("conv IS NOT NULL AND call IS NOT NULL").select("conv", "call", F.lit(True).alias("there")).distinct()
+    further = (
+        known.join(names, ["conv", "call"], "left")
+        .join(heads, ["conv", "call"], "left")
+        .filter(F.col("there").isNull() | ~F.struct("place", "content").eqNullSafe(F.col("head")))
+        .withColumn("status", F.when(F.col("there"), "result").otherwise("orphan"))
+    )
+    keep_nulls = {"ignoreNullFields": "false"}
+    row = lambda call, text: [
+        "conv", call.alias("call"), "place", F.lit(None).cast("long").alias("depth"), F.lit(None).cast("boolean").alias("valid"),
+        F.lit(None).cast("long").alias("n_results"), text.alias("json"), "status",
+    ]
+    further = further.select(*row(F.col("call"), F.to_json(F.struct("call", "content", "status"), keep_nulls)))
+    notes = notes.filter("conv IS NOT NULL").withColumn("status", F.lit("context"))
+    notes = notes.select(*row(F.lit(None).cast("string"), F.to_json(F.struct("content", "role", "status"), keep_nulls)))
+    return link(calls, results).withColumn("status", F.lit("call")).unionByName(further).unionByName(notes)

@@ -627,3 +627,29 @@ def test_long_chains_and_plain_turns(spark):
     assert all(got[1, t].depth == t // 2 and got[1, t].n_results == 1 for t in range(0, 1400, 2))
     assert (got[2, 900].depth, got[2, 900].valid, got[2, 2000].depth) == (0, False, 1)
     assert len(got) == 702
+
+
+def test_chat_leaves_no_turn_out(spark):
+    rows = [
+        (1, 0, "system", "be \"brief\""), (1, 1, "assistant", "hello"), (1, 2, "user", "q"), (1, 3, "assistant", "first"),
+        (1, 4, "assistant", None), (1, 5, "tool", "t"), (1, 6, "assistant", "third"), (1, 6, "assistant", "third"),
+        (2, 1, None, None), (2, 2, "", "x"), (None, 1, "system", "gone"), (2, None, "system", "gone"), (3, 1, "assistant", "alone"),
+    ]
+    turns = spark.createDataFrame([(*r, 1, 1) for r in rows], "conv_id long, turn long, role string, text string, call int, status int")
+    got = tool_chat.format_chat(*tool_chat.from_turns(turns), tool_chat.context(turns)).collect()
+    assert sorted((r.conv, r.place, r.status, r.call) for r in got if r.status != "context") == [
+        (1, 1, "orphan", None), (1, 2, "call", "1.2"), (1, 4, "result", "1.2"), (1, 6, "result", "1.2"), (3, 1, "orphan", None),
+    ]
+    assert sorted((r.conv, r.place) for r in got if r.status == "context") == [(1, 0), (1, 5), (2, 1), (2, 2)]
+    text = {(r.conv, r.place): r.json for r in got}
+    assert text[1, 0] == '{"content":"be \\"brief\\"","role":"system","status":"context"}'
+    assert text[1, 4] == '{"call":"1.2","content":null,"status":"result"}'
+    assert text[2, 1] == '{"content":null,"role":null,"status":"context"}'
+    assert json.loads(text[1, 2])["result"] == "first" and [r.n_results for r in got if r.call == "1.2" and r.n_results] == [3]
+    # Results of calls nobody made, and repeated rows, in tables that were not made from turns.
+    calls = spark.createDataFrame([(1, "a", 1, "ask", "{}", [])] * 2, CALLS)
+    results = spark.createDataFrame([(1, "a", 2, "x"), (1, "a", 2, "x"), (1, "b", 2, "y"), (None, "a", 2, "z"), (1, "a", 3, "x")], RESULTS)
+    none = tool_chat.context(turns.limit(0))
+    got = tool_chat.format_chat(calls, results, none)
+    assert sorted((r.call, r.place, r.status) for r in got.collect()) == [("a", 1, "call"), ("a", 3, "result"), ("b", 2, "orphan")]
+    assert tool_chat.format_chat(calls.limit(0), results.limit(0), none).count() == 0
