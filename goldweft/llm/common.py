@@ -35,9 +35,16 @@ def count_words(text: str | Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^ \t\n\x0B\f\r]+")).cast("long")
 
 
-def tasks(spark: SparkSession) -> int:
-    """The cluster's own number of shuffle partitions, which grows with the input."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Bytes of text for each bucket that one Python worker holds at once.
+BUCKET_BYTES = 128 << 20
+
+
+def buckets(docs: DataFrame, text: str = "text") -> int:
+    """Into how many buckets the entries of these texts are dealt: one for each
+    :data:`BUCKET_BYTES`, at least as many as the session has shuffle partitions.  One number
+    comes to the driver."""
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // BUCKET_BYTES))
 
 
 def texts_of(column: pa.Array) -> list[bytes]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldweft.llm.common import slices, stage, tasks, texts_of
+from goldweft.llm.common import buckets, slices, stage, texts_of
 from goldweft.llm.components import components
 from goldweft.llm.wordhash import hash_words, mix, runs
 
@@ -438,7 +438,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     filled = described.filter("doc IS NOT NULL AND n_shingles > 0")
     named = filled.groupBy("node").agg(F.min("doc").alias("name"))
 
-    n = tasks(spark)
+    n = buckets(known)
     index = Index(common_shingles(known))
     entries = known.mapInArrow(_entries(n, index), _PACK)
     pairs = stage(entries.groupBy("bucket").applyInArrow(_pair_up, _PAIRS), "pairs")
@@ -619,12 +619,21 @@ def _across(members: DataFrame, small: DataFrame) -> DataFrame:
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _of_node(batches):
+    """The rows whose text has the signature ``node``; one id may stand on several texts."""
+    for batch in batches:
+        for part in slices([batch]):
+            own = signatures(*shingle_sets(texts_of(part.column("text"))))
+            yield part.select(["doc", "text", "node"]).filter(pa.array(own == part.column("node").to_numpy()))
+
+
 def _with_texts(pairs: DataFrame, named: DataFrame, docs: DataFrame) -> DataFrame:
     """``pairs`` (nodes a and b) with a text of each node."""
     pairs = stage(pairs, "stars")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = stage(
         docs.join(named.join(nodes, "node").withColumnRenamed("name", "doc"), "doc")
+        .mapInArrow(_of_node, "doc long, text string, node long")
         .dropDuplicates(["node"])
         .select("node", "text"),
         "texts",

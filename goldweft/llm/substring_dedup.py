@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldweft.llm.common import slices, tasks, texts_of
+from goldweft.llm.common import buckets, slices, texts_of
 from goldweft.llm.wordhash import hash_words, runs
 
 #: Words of a window, and a perfect difference cover of 13: every remainder is the
@@ -229,7 +229,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Rows without a key are left as they are.  Rows that share a key are one place: none of
     them is earlier than the other.  Other columns are left out; an empty table gives no rows.
     """
-    n = tasks(docs.sparkSession)
+    n = buckets(docs, text)
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     known = rows.filter(F.col("doc").isNotNull())
     anchors = known.mapInArrow(_anchors(n), _PACK)
