@@ -169,21 +169,25 @@ def leaks(
 def _verified(docs: DataFrame, starts: DataFrame, items: DataFrame, key: str, text: str, item: str) -> DataFrame:
     windows = starts.select("doc", "start", "size").distinct()
     wanted = windows.groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("windows"))
-    # Windows see all their shingles, not only those of items.
+    # Windows see all their shingles, not only those of items.  Where one key stands on
+    # several texts, each text has the window, as a version of its own.
     cut = (
         _texts(docs, key, text)
         .withColumnRenamed("id", "doc")
         .join(wanted, "doc")
         .select("doc", "shingles", F.explode("windows").alias("w"))
+        .filter(F.col("w.start") <= F.greatest(F.lit(0), F.size("shingles") - F.col("w.size")))
         .select("doc", "w.*", F.array_distinct(F.slice("shingles", F.col("w.start") + 1, F.col("w.size"))).alias("own"))
     )
-    cut = stage(cut.dropDuplicates(["doc", "start", "size"]), "windows")
+    cut = cut.withColumn("version", F.xxhash64("own"))
+    window = ["doc", "start", "size", "version"]
+    cut = stage(cut.dropDuplicates(window), "windows")
     weights = items.groupBy("shingle").agg(F.first("weight").alias("weight"))
-    loose = cut.select("doc", "start", "size", F.explode("own").alias("shingle"))
+    loose = cut.select(*window, F.explode("own").alias("shingle"))
     weighed = stage(
         loose.join(weights, "shingle", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))), "weighed"
     )
-    prints = _fingerprints(weighed, ["doc", "start", "size"])
+    prints = _fingerprints(weighed, window)
     item_prints = _fingerprints(items.select("item", "size", "shingle", "weight"), ["item", "size"])
     # Where each of an item's shingles weighs 1, the plain similarity is never the greater
     # one.  The other items, and the windows cut for them, get prints of plain counts too.
@@ -192,28 +196,28 @@ def _verified(docs: DataFrame, starts: DataFrame, items: DataFrame, key: str, te
     plain_items = starts.filter(light).select("item").distinct()
     counted = F.lit(1.0).alias("weight")
     plain_prints = _fingerprints(
-        weighed.join(plain_windows, ["doc", "start", "size"], "left_semi").select("doc", "start", "size", "shingle", counted),
-        ["doc", "start", "size"],
+        weighed.join(plain_windows, ["doc", "start", "size"], "left_semi").select(*window, "shingle", counted),
+        window,
     )
     plain_item_prints = _fingerprints(
         items.join(plain_items, "item", "left_semi").select("item", "size", "shingle", counted), ["item", "size"]
     )
     pairs = (
         near_prints(prints, item_prints, ["size"])
-        .select("doc", "start", "size", "item")
-        .unionByName(near_prints(plain_prints, plain_item_prints, ["size"]).select("doc", "start", "size", "item"))
+        .select(*window, "item")
+        .unionByName(near_prints(plain_prints, plain_item_prints, ["size"]).select(*window, "item"))
         .distinct()
         .join(starts, ["doc", "start", "size", "item"])
     )
-    sums = weighed.groupBy("doc", "start", "size").agg(
+    sums = weighed.groupBy(*window).agg(
         F.sum("weight").alias("own_weight"), F.count("*").alias("own_count")
     )
     both = (
-        weighed.join(pairs, ["doc", "start", "size"])
+        weighed.join(pairs, window)
         .join(items.select("item", "shingle"), ["item", "shingle"])
-        .groupBy("doc", "start", "size", "item", "item_weight", "item_count")
+        .groupBy(*window, "item", "item_weight", "item_count")
         .agg(F.sum("weight").alias("both"), F.count("*").alias("both_count"))
-        .join(sums, ["doc", "start", "size"])
+        .join(sums, window)
     )
     of = lambda b, x, y: F.round(F.col(b) / (F.col(x) + F.col(y) - F.col(b)), 9)
     scored = (

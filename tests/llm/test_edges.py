@@ -653,3 +653,32 @@ def test_chat_leaves_no_turn_out(spark):
     got = tool_chat.format_chat(calls, results, none)
     assert sorted((r.call, r.place, r.status) for r in got.collect()) == [("a", 1, "call"), ("a", 3, "result"), ("b", 2, "orphan")]
     assert tool_chat.format_chat(calls.limit(0), results.limit(0), none).count() == 0
+
+
+def test_one_id_with_two_texts(spark):
+    """Links and leaks of both texts are found, whatever the order of the rows."""
+    rng = random.Random(14)
+    a, b, c = (words(rng, 30) for _ in range(3))
+    rows = [(1, a), (2, b), (2, a + " tail"), (2, c), (3, f"{c} end"), (4, f"{words(rng, 9)} {b} more"), (5, words(rng, 30))]
+    bench = spark.createDataFrame([(7, a), (8, b), (9, c)], "item_id long, text string")
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        linked = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(docs).collect()}
+        assert {(1, 26, 1), (2, 27, 1), (3, 27, 2), (5, 26, 5)} <= linked and len(linked) == 6
+        assert (2, 26, 2) in linked  # both other texts of 2
+        found = {(r.doc_id, r.item_id): (r.n_windows, r.start, r.similarity) for r in decontaminate.leaks(docs, bench).collect()}
+        assert set(found) == {(1, 7), (2, 7), (2, 8), (2, 9), (3, 9), (4, 8)}
+        assert all(v[2] == 1 for v in found.values()) and found[4, 8][1] == 9
+
+
+def test_more_buckets_than_partitions(spark, monkeypatch):
+    from goldweft.llm import common
+
+    monkeypatch.setattr(common, "BUCKET_BYTES", 300)
+    rng = random.Random(15)
+    passages = [words(rng, n) for n in (20, 25, 40)]
+    rows = [(i, " ".join(rng.choice([*passages, words(rng, 15)]) for _ in range(3))) for i in range(40)]
+    docs = make(spark, rows)
+    assert common.buckets(docs) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {tuple(r) for r in substring_dedup.remove_repeats(docs).collect()} == repeats_by_hand(rows)
+    assert {tuple(r) for r in ngram_join.join(docs).collect()} == join_by_hand(rows)
