@@ -3,7 +3,8 @@
 Customers, their nations and suppliers give personal, location, professional and
 network messages, orders give bank messages.  Some people lack some messages on
 purpose (see ``FIXTURES.md``): that is what makes records incomplete.  Every table
-is read whole, each of them once.
+is read whole, each of them once; customers and orders are counted before, from the
+footers of their files.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ TABLES = {
 }
 
 
+#: Customers and orders that one task makes messages of.  The aggregation behind sorts what a
+#: task has, and a row group, which no reader splits, may hold millions of rows.
+TASK_ROWS = 100_000
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -82,6 +88,15 @@ _PER_CUSTOMER = f"""array_compact(array({_PERSONAL},
     CASE WHEN k % 100 IN (1, 2, 3) THEN {_ODD} END))"""
 
 
+def _spread(rows: DataFrame, n_rows: int) -> DataFrame:
+    """``rows`` dealt evenly over tasks of :data:`TASK_ROWS`, at least one for each core.
+
+    By all columns, so rows without a key spread too.
+    """
+    parts = max(-(-n_rows // TASK_ROWS), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(parts, *rows.columns)
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed: ``seq bigint`` (unique; the higher one wins) and ``data string``."""
     customer = read_table(spark, sf_dir, "customer").selectExpr(
@@ -96,6 +111,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS o", "o_custkey", "o_totalprice"
     )
-    return people.unionByName(orders, allowMissingColumns=True).selectExpr(
+    n_rows = customer.select().unionAll(orders.select()).count()
+    rows = people.unionByName(orders, allowMissingColumns=True)
+    return _spread(rows, n_rows).selectExpr(
         f"inline(CASE WHEN o IS NOT NULL THEN array({_BANK}) ELSE {_PER_CUSTOMER} END)"
     )

@@ -1,15 +1,22 @@
 """What the plans must look like to hold at scale."""
 
 import pytest
-from people import feed
+from people import bronze, feed
 from people import messages as people_messages
+from pyspark.sql import functions as F
 
 from goldweft.fixtures import golden as fixture_golden
+from goldweft.operators import classify as C
 from goldweft.operators import golden as G
 from goldweft.operators import keys as K
 from goldweft.plans import consolidate as E
+from goldweft.plans import load as LD
+from goldweft.plans import run
 from goldweft.queries import QUERIES
+from goldweft.sources import feed as feed_source
+from goldweft.sources.golden_json import read_golden_json
 from goldweft.sources.staging import materialize
+from goldweft.sources.store import Store
 
 SF = "/root/testdata/sf0.001"
 
@@ -145,3 +152,25 @@ def test_bucketed_golden_is_not_shuffled_by_an_upsert(spark, skew, tmp_path):
     assert final_plan(df).count("Exchange hashpartitioning") == 1
     assert df.count() == golden.count()
     spark.sql("DROP TABLE bucketed_golden")
+
+
+def _one_group_each(spark, folder, n):
+    """Tables of ``n`` customers and as many orders, one file and row group each."""
+    tables = {
+        "customer": f"SELECT id AS c_custkey, CAST(id % 2 AS int) AS c_nationkey, 'BUILDING' AS c_mktsegment FROM range({n})",
+        "orders": f"SELECT id AS o_orderkey, id AS o_custkey, 1.0D AS o_totalprice FROM range({n})",
+        "nation": "SELECT CAST(id AS int) AS n_nationkey, concat('N', id) AS n_name FROM range(2)",
+        "supplier": "SELECT id AS s_suppkey, concat('S', id) AS s_name, 0 AS s_nationkey FROM range(3)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_feed_of_one_row_group_is_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed_source, "TASK_ROWS", 100)
+    rows = feed_source.messages(spark, _one_group_each(spark, tmp_path, 2000))
+    tasks = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 40
+    total = sum(t["count"] for t in tasks)
+    assert max(t["count"] for t in tasks) < 0.1 * total
