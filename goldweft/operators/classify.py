@@ -32,12 +32,15 @@ def classify(messages: DataFrame) -> DataFrame:
     parsed = messages.selectExpr("*", f"{P.payload_map('data')} AS doc")
     parsed = parsed.withColumn("doc", F.expr(P.last_wins("doc")))
     # ``inline`` instead of plain columns: the optimizer copies plain columns into
-    # every later use, so a filter on the link key would parse each message again.
+    # every later use, so a filter on the link key would parse each message again, or
+    # at least make the key once more.
     shaped = parsed.selectExpr(
         "*", f"inline(array(named_struct('shape', {P.shape_of('doc', 'data')})))"
     )
     valued = shaped.selectExpr("*", f"{P.link_value('doc', 'shape')} AS link_value")
-    return valued.selectExpr("*", f"{P.link_key('link_value', 'shape')} AS link_key")
+    return valued.selectExpr(
+        "*", f"inline(array(named_struct('link_key', {P.link_key('link_value', 'shape')})))"
+    )
 
 
 def empty_payloads(classified: DataFrame) -> DataFrame:

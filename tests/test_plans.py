@@ -174,3 +174,10 @@ def test_feed_of_one_row_group_is_dealt_over_tasks(spark, tmp_path, monkeypatch)
     assert len(tasks) == 40
     total = sum(t["count"] for t in tasks)
     assert max(t["count"] for t in tasks) < 0.1 * total
+
+
+def test_link_key_is_made_once(spark):
+    messages = materialize(feed(spark, people_messages()), "feed")
+    keyed = C.classify(messages).filter("link_key IS NOT NULL")
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("schemaOfVariant(") == 1
