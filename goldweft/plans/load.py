@@ -205,6 +205,8 @@ def load_json(
     """Load a golden JSON file: every record with an id that has no person yet, the
     first of repeated ids, full name from its parts, all dependents."""
     spark = golden_file.sparkSession
+    # Parsed once: the loaded records and the total both come from this copy.
+    golden_file = materialize(golden_file, "read", staging)
     persons = (existing or empty_tables(spark))["person"]
     good = K.skip_existing_persons(
         golden_file.filter(F.col("_id").isNotNull()), persons, position="position"

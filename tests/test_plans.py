@@ -181,3 +181,11 @@ def test_link_key_is_made_once(spark):
     keyed = C.classify(messages).filter("link_key IS NOT NULL")
     plan = keyed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("schemaOfVariant(") == 1
+
+
+def test_json_files_are_parsed_once(spark, tmp_path):
+    record = '{"Golden": [{"_id": "1", "name": "A", "last_name": "B", "sex": "F"}, {"_id": "1"}, {"_id": null}]}'
+    (tmp_path / "golden.json").write_text(record)
+    load = LD.load_json(read_golden_json(spark, str(tmp_path)))
+    assert "FileScan json" not in load.outcomes._jdf.queryExecution().executedPlan().toString()
+    assert {r.outcome: r.records for r in load.outcomes.collect()} == {"processed": 1, "skipped": 2}
