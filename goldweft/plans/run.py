@@ -65,8 +65,9 @@ def run_batch(
         raise ValueError("merge, on_existing, full and load do not apply to retained runs")
     staging = f"{store.path}/staging/{batch_id % 2}"
     messages = C.bronze_messages(bronze)
-    # Parsed once; every later step reads only the columns it needs of this table.
-    classified = materialize(C.classify(messages), "classified", staging)
+    # Parsed once; every later step reads only the columns it needs of this table.  A batch
+    # may be a few large files: spread by size, all cores parse them and sort their rows.
+    classified = materialize(C.classify(messages.hint("rebalance")), "classified", staging)
     left = C.remaining(classified)
     store.write("quarantine", batch_id, left.select("msg_id", "ord", "data", "shape"))
     last = store.last_ids()

@@ -189,3 +189,16 @@ def test_json_files_are_parsed_once(spark, tmp_path):
     load = LD.load_json(read_golden_json(spark, str(tmp_path)))
     assert "FileScan json" not in load.outcomes._jdf.queryExecution().executedPlan().toString()
     assert {r.outcome: r.records for r in load.outcomes.collect()} == {"processed": 1, "skipped": 2}
+
+
+def test_run_spreads_a_batch_of_one_file(spark, tmp_path, monkeypatch):
+    plans = {}
+
+    def recorded(df, name, folder=None):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return materialize(df, name, folder)
+
+    monkeypatch.setattr(run, "materialize", recorded)
+    rows = materialize(bronze(spark, people_messages()).coalesce(1), "bronze")
+    run.run_batch(Store(spark, str(tmp_path / "store")), rows, 0)
+    assert "RebalancePartitions" in plans["classified"]
