@@ -11,6 +11,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -163,7 +165,7 @@ def leaks(
     starts = near.select(
         "doc", "item", "size", "item_weight", "item_count", F.explode(F.sequence(first, F.greatest(first, last))).alias("start")
     ).distinct()
-    return _verified(docs, starts, items, key, text, item)
+    return _verified(docs, stage(starts, "starts"), items, key, text, item)
 
 
 def _verified(docs: DataFrame, starts: DataFrame, items: DataFrame, key: str, text: str, item: str) -> DataFrame:
@@ -187,25 +189,31 @@ def _verified(docs: DataFrame, starts: DataFrame, items: DataFrame, key: str, te
     weighed = stage(
         loose.join(weights, "shingle", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))), "weighed"
     )
-    prints = _fingerprints(weighed, window)
-    item_prints = _fingerprints(items.select("item", "size", "shingle", "weight"), ["item", "size"])
     # Where each of an item's shingles weighs 1, the plain similarity is never the greater
     # one.  The other items, and the windows cut for them, get prints of plain counts too.
-    light = F.col("item_weight") < F.col("item_count") - 1e-9
-    plain_windows = starts.filter(light).select("doc", "start", "size").distinct()
-    plain_items = starts.filter(light).select("item").distinct()
-    counted = F.lit(1.0).alias("weight")
-    plain_prints = _fingerprints(
-        weighed.join(plain_windows, ["doc", "start", "size"], "left_semi").select(*window, "shingle", counted),
-        window,
-    )
-    plain_item_prints = _fingerprints(
-        items.join(plain_items, "item", "left_semi").select("item", "size", "shingle", counted), ["item", "size"]
-    )
+    light = starts.filter(F.col("item_weight") < F.col("item_count") - 1e-9)
+    plain_windows = light.select("doc", "start", "size").distinct()
+    plain_items = light.select("item").distinct()
+    counted = weighed.join(plain_windows, ["doc", "start", "size"], "left_semi").withColumn("weight", F.lit(1.0))
+    counted_items = items.join(plain_items, "item", "left_semi").withColumn("weight", F.lit(1.0))
+    # One aggregation for all four kinds of sets: with its sums for each bit it is by far the
+    # largest plan here, and the driver holds it once.
+    sets = [
+        rows.select(
+            F.lit(plain).alias("plain"),
+            *[c for c in (*window, "item", "shingle", "weight") if c in rows.columns],
+        )
+        for plain, rows in ((False, weighed), (False, items), (True, counted), (True, counted_items))
+    ]
+    together = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), sets)
+    prints = _fingerprints(together, ["plain", *window, "item"])
     pairs = (
-        near_prints(prints, item_prints, ["size"])
+        near_prints(
+            prints.filter("item IS NULL").drop("item"),
+            prints.filter("item IS NOT NULL").drop("doc", "start", "version"),
+            ["plain", "size"],
+        )
         .select(*window, "item")
-        .unionByName(near_prints(plain_prints, plain_item_prints, ["size"]).select(*window, "item"))
         .distinct()
         .join(starts, ["doc", "start", "size", "item"])
     )

@@ -682,3 +682,16 @@ def test_more_buckets_than_partitions(spark, monkeypatch):
     assert common.buckets(docs) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert {tuple(r) for r in substring_dedup.remove_repeats(docs).collect()} == repeats_by_hand(rows)
     assert {tuple(r) for r in ngram_join.join(docs).collect()} == join_by_hand(rows)
+
+
+def test_decontamination_takes_all_prints_in_one_aggregation(spark, monkeypatch):
+    staged = []
+    stage = decontaminate.stage
+    monkeypatch.setattr(decontaminate, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    rng = random.Random(11)
+    shared, own = words(rng, 20), words(rng, 20)
+    items = spark.createDataFrame([(1, f"{shared} {own}"), (2, shared), (3, shared)], "item_id long, text string")
+    docs = make(spark, [(1, f"x {shared} {own} y", "en", "a"), (2, words(rng, 50), "en", "a"), (3, shared, "en", "a")])
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()}
+    assert found == {(1, 1), (1, 2), (1, 3), (3, 2), (3, 3)}
+    assert staged.count("prints") == 1 and staged.count("starts") == 1
