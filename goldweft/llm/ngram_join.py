@@ -19,8 +19,8 @@ cost alone, not the result.
 
 Candidates are verified exactly on whole texts; nothing is capped.  Groups of many sets are
 not paired in full, since only their components are wanted: each set is compared with a
-centre, and sets that are still apart then meet only through shingles that the centre lacks
-(:func:`_outside`), in smaller groups that go through the same steps.
+centre, and sets that are still apart then meet only through the shingles in which they differ
+from what most of them hold (:func:`_outside`), in smaller groups that go through the same steps.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldweft.llm.common import buckets, slices, stage, texts_of
@@ -48,12 +48,12 @@ DEALS = 12
 PAIR_COST = 1000
 #: Groups of at most so many sets are paired in full, larger ones through a centre.
 SMALL_GROUP = 8
-#: The same for the groups of :func:`_outside`, whose pairs are few after its conditions.
-SMALL_OUTSIDE = 128
+#: The same for the groups of :func:`_outside`, of whose pairs few are left by its conditions.
+SMALL_OUTSIDE = 512
 #: Larger ones are paired in full as well once all their pairs together are at most so many
 #: a set, times the steps taken so far: then another step, which reads the texts again, costs
-#: more than the pairs do.
-PAIRS_PER_SET = 2
+#: more than looking at the pairs does.
+PAIRS_PER_SET = 16
 
 
 def links(inter: int, a: int, b: int) -> bool:
@@ -259,7 +259,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 
 #: Entries that a task gathers before it passes them on.
-GATHERED = 1_500_000
+GATHERED = 600_000
 
 #: An entry: hash of a segment, node and size of the set, index, allowance of the segment,
 #: and the allowances to spare of the set in that index.
@@ -275,6 +275,7 @@ def _entries(n: int, index: Index):
 
     def emit(gathered):
         entries = np.concatenate(gathered)
+        gathered.clear()  # several copies of the entries would stand side by side below
         part = (entries["hash"] % np.uint64(n)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         entries, part = entries[order], part[order]
@@ -381,33 +382,20 @@ def _verify(batches):
         yield part.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
 
-def least_shared(a: int, b: int) -> int:
-    """Fewest shingles that sets of these sizes share if they link."""
-    return -(-SIMILARITY * (a + b) // (100 + SIMILARITY))
-
-
 def _measure(batches):
-    """Stars with both texts -> how much of each set is in the centre, and which shingles
-    outside the centre it has to be looked up by (see :func:`_across`)."""
+    """Stars with both texts -> whether they link, and the shingles only one of the two has."""
     known: dict[int, np.ndarray] = {}
     for part in slices(slices(batches, "text_a"), "text_b"):
-        inside, linked, outside = [], [], []
-        for (a, b), least in zip(_compared(part, known), part.column("least").to_pylist()):
-            rest = np.setdiff1d(b, a, assume_unique=True)
-            inter = len(b) - len(rest)
-            inside.append(inter)
-            linked.append(links(inter, len(a), len(b)))
-            smallest = max(least, -(-SIMILARITY * len(b) // 100))
-            need = max(1, least_shared(len(b), smallest) - inter)
-            outside.append(rest[: max(0, len(rest) - need + 1)].view(np.int64))
-        columns = [part.column(c) for c in ("family", "a", "b", "size", "least")]
-        columns += [pa.array(inside, pa.int32()), pa.array(linked, pa.bool_())]
-        columns.append(pa.array(outside, pa.list_(pa.int64())))
-        names = ["family", "a", "b", "size", "least", "inside", "linked", "outside"]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        linked, apart = [], []
+        for a, b in _compared(part, known):
+            apart.append(np.setxor1d(a, b, assume_unique=True).view(np.int64))
+            linked.append(links((len(a) + len(b) - len(apart[-1])) // 2, len(a), len(b)))
+        columns = [part.column(c) for c in ("family", "a", "b", "size")]
+        columns += [pa.array(linked, pa.bool_()), pa.array(apart, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["family", "a", "b", "size", "linked", "apart"])
 
 
-_STARS = "family long, a long, b long, size int, least int, inside int, linked boolean, outside array<long>"
+_STARS = "family long, a long, b long, size int, linked boolean, apart array<long>"
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -453,15 +441,14 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         stars = _with_texts(_stars(groups, step == 1), named, known).mapInArrow(_measure, _STARS)
         stars = stage(stars, "stars")
         found = _joined(found, stars.filter("linked").select("a", "b"))
-        members = stage(_mixed(stars, found), "mixed")
+        members = stage(_centred(_mixed(stars, found)), "mixed")
         groups = stage(_outside(members), "groups")
         large = groups.filter(F.col("n") > SMALL_OUTSIDE)
         left = large.select(F.sum((F.col("n") - 1) / 2)).first()[0] or 0
         whole = left <= PAIRS_PER_SET * sets * step
         small = groups if whole else groups.filter(F.col("n") <= SMALL_OUTSIDE)
-        rest = stage(_across(members, small), "rest")
-        if not rest.isEmpty():
-            found = _joined(found, stage(_verified(rest, named, known), "linked"))
+        sure = members.filter("near AND b <> hub").select(F.col("hub").alias("a"), "b")
+        found = _joined(found, stage(sure.union(_across(members, small)), "linked"))
         if whole:
             break
         groups = large
@@ -513,21 +500,22 @@ def _dependent(groups: DataFrame) -> DataFrame:
         .filter("lost > spare")
         .select("node", "index")
     )
-    return groups.join(depends, ["node", "index"]).select(F.lit(0).cast("long").alias("family"), "hash", "node", "size")
+    return groups.join(depends, ["node", "index"]).select(F.lit(0).cast("long").alias("family"), "hash", "node", "size", F.lit(None).cast("long").alias("members"))
 
 
 def _stars(groups: DataFrame, first: bool) -> DataFrame:
     """Each set of a group with the group's centre, the set that shares most groups with
-    most others.  Groups of one centre become one family; ``least`` is the smallest size of
-    a partner there.
+    most others.  Groups of one centre become one family.
 
     The ``first`` time, a group takes over the best centre that its sets have in any group:
     a group of near copies that share an edit joins the family of all near copies.  Later a
-    centre is always one of the group, so that a family is smaller than the one it is part
-    of, and the steps come to an end.
+    centre is always one of the group, and groups of one centre stay families of their own
+    where together they hold more than three quarters of the family (``members`` sets) they
+    are part of.  A group alone has half of it at most (see :func:`_centred`), so families
+    shrink by a quarter at least and the steps come to an end.
     """
-    counts = groups.groupBy("family", "hash").agg(F.count("*").alias("n"), F.min("size").alias("least"))
-    weighed = groups.select("family", "hash", "node", "size").join(counts.filter("n > 1"), ["family", "hash"])
+    counts = groups.groupBy("family", "hash").agg(F.count("*").alias("n"))
+    weighed = groups.select("family", "hash", "node", "size", "members").join(counts.filter("n > 1"), ["family", "hash"])
     weighed = stage(weighed, "weighed")
     best = weighed.groupBy("family", "node").agg(
         F.struct(F.sum("n").alias("score"), F.col("node").alias("a")).alias("best")
@@ -541,11 +529,18 @@ def _stars(groups: DataFrame, first: bool) -> DataFrame:
     if first:
         placed = weighed.select("family", "hash", "node").join(centre, ["family", "hash"])
         centre = of_groups(placed.groupBy("family", "node").agg(F.max("best").alias("best")))
+    placed = weighed.join(centre.select("family", "hash", "best.a"), ["family", "hash"])
+    name = F.xxhash64("family", "a")
+    if not first:
+        together = placed.groupBy("family", "a").agg(
+            (4 * F.count_distinct("node") > 3 * F.max("members")).alias("wide")
+        )
+        placed = placed.join(together, ["family", "a"])
+        name = F.when(F.col("wide"), F.xxhash64("family", "a", "hash")).otherwise(name)
     return (
-        weighed.join(centre.select("family", "hash", "best.a"), ["family", "hash"])
-        .filter("node <> a")
-        .groupBy(F.xxhash64("family", "a").alias("family"), "a", F.col("node").alias("b"))
-        .agg(F.min("size").alias("size"), F.min("least").alias("least"))
+        placed.filter("node <> a")
+        .groupBy(name.alias("family"), "a", F.col("node").alias("b"))
+        .agg(F.min("size").alias("size"))
     )
 
 
@@ -564,59 +559,103 @@ def _mixed(stars: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed, "family")
 
 
+#: Two sets link when they differ in few shingles for their sizes: TOTAL * |A xor B| <=
+#: FREE * (|A| + |B|).
+TOTAL, FREE = 100 + SIMILARITY, 100 - SIMILARITY
+
+
+def _centred(members: DataFrame) -> DataFrame:
+    """Members with the shingles in which they differ from what most of their family hold
+    (``apart``), so that each of these shingles sets half of the family apart at most.
+
+    With slack(A) = FREE * |A| - TOTAL * |apart(A)|, A and B link if and only if their apart
+    shingles have at least -(slack(A) + slack(B)) / (2 * TOTAL) in common.  Where that is
+    nothing, both link with the set of most slack (``hub``), and they are ``near`` it.
+    """
+    sizes = members.groupBy("family").agg(F.count("*").alias("members"))
+    usual = (
+        members.select("family", F.explode("apart").alias("hash"))
+        .groupBy("family", "hash")
+        .agg(F.count("*").alias("n"))
+        .join(sizes, "family")
+        .filter("2 * n > members")
+        .groupBy("family")
+        .agg(F.collect_list("hash").alias("usual"))
+    )
+    apart = "CASE WHEN usual IS NULL THEN apart ELSE concat(array_except(apart, usual), array_except(usual, apart)) END"
+    moved = members.join(usual, "family", "left").withColumn("apart", F.expr(apart)).drop("usual")
+    slack = f"CAST({FREE} AS bigint) * size - CAST({TOTAL} AS bigint) * size(apart)"
+    moved = stage(moved.withColumn("slack", F.expr(slack)), "moved")
+    best = moved.groupBy("family").agg(
+        F.max(F.struct("slack", "b")).alias("best"), F.count("*").alias("members")
+    )
+    return moved.join(best, "family").select(
+        "family", "b", "size", "component", "linked", "apart", "slack", "members",
+        F.col("best.b").alias("hub"),
+        F.expr("slack + best.slack >= 0").alias("near"),
+        F.expr(f"greatest(1, ceil(-(slack + best.slack) / {2 * TOTAL}))").alias("need"),
+    )
+
+
 def _outside(members: DataFrame) -> DataFrame:
-    """Members of a family by the shingles that they have and the centre lacks, as groups.
+    """Members of a family by the shingles that set them apart, as groups of ``n`` sets.
 
-    Let i and j be how many shingles two members share with the centre, and t how many they
-    must share to link.  If t exceeds i or j, they share some outside the centre: at least
-    t - min(i, j).  So it is enough to look each up by its first shingles outside, in one
-    order for all, up to the number that leaves fewer than it must share (``outside``).
+    Two sets that link, but are not both near the hub, have at least ``need`` of these in
+    common.  So it is enough to look each up by its first ones, in one order for the family,
+    up to the number that leaves fewer than that (``after``: how many are left, itself
+    included).  Shingles that tell no components apart come first, then rare ones.
     """
-    rows = members.select(
-        "family", F.explode("outside").alias("hash"), F.col("b").alias("node"), "size", "component", "linked"
+    held = members.select(
+        "family", F.explode("apart").alias("hash"), F.col("b").alias("node"), "component", "linked", "near"
     )
-    useful = (
-        rows.groupBy("family", "hash")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("component").alias("lo"),
-            F.max("component").alias("hi"),
-            F.min("linked").alias("all"),
+    told = held.groupBy("family", "hash").agg(
+        F.expr(
+            "CASE WHEN min(component) <> max(component) AND NOT min(linked) AND NOT min(near)"
+            " THEN count(*) ELSE 0 END AS often"
         )
-        .filter("lo <> hi AND NOT all")
-        .select("family", "hash", "n")
     )
-    return rows.join(useful, ["family", "hash"])
+    ranked = held.select("family", "hash", "node").join(told, ["family", "hash"])
+    place = F.row_number().over(Window.partitionBy("family", "node").orderBy("often", "hash"))
+    own = members.select(
+        "family", F.col("b").alias("node"), "size", "component", "linked", "near", "slack", "members",
+        F.size("apart").alias("held"), "need",
+    )
+    first = (
+        ranked.withColumn("place", place)
+        .filter("often > 0")
+        .join(own, ["family", "node"])
+        .filter("place <= held - need + 1")
+        .withColumn("after", F.expr("held - place + 1"))
+        .drop("often", "place", "held", "need")
+    )
+    together = Window.partitionBy("family", "hash")
+    return first.withColumn("n", F.count("*").over(together)).filter("n > 1")
 
 
 def _across(members: DataFrame, small: DataFrame) -> DataFrame:
-    """Pairs of different components that these groups of :func:`_outside` give, and those
-    that may link by what they share with the centre alone (t at most min(i, j)): one of
-    them does not link with the centre, so its partner is smaller than the centre."""
+    """The links between different components that these groups of :func:`_outside` give."""
     fits = f"100 * least(x.size, y.size) >= {SIMILARITY} * greatest(x.size, y.size)"
-    apart = "x.component <> y.component AND NOT x.linked"
-    by_shingle = (
+    enough = f"{2 * TOTAL} * least(x.after, y.after) + x.slack + y.slack >= 0"
+    open_ = "x.component <> y.component AND NOT (x.linked AND y.linked) AND NOT (x.near AND y.near)"
+    pairs = (
         small.alias("x")
-        .join(small.alias("y"), F.expr("x.family = y.family AND x.hash = y.hash"))
-        .filter(f"{apart} AND {fits}")
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        .join(
+            small.alias("y"),
+            F.expr(f"x.family = y.family AND x.hash = y.hash AND x.node < y.node AND {open_} AND {fits} AND {enough}"),
+        )
+        .select("x.family", F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        .distinct()
     )
-    total, share = 100 + SIMILARITY, SIMILARITY
-    lowest = f"greatest(least, cast(ceil({share} * size / 100) as int))"
-    highest = f"cast(floor({total} * inside / {share}) as int) - size"
-    sized = members.select("family", "b", "size", "inside", "component", "linked")
-    seekers = (
-        members.filter(f"NOT linked AND {highest} >= {lowest}")
-        .select("family", "b", "size", "inside", "component", "linked", F.expr(f"explode(sequence({lowest}, {highest}))").alias("of"))
+    a, b = (
+        members.select("family", F.col("b").alias(x), F.col("apart").alias(f"apart_{x}"), F.col("slack").alias(f"slack_{x}"))
+        for x in "ab"
     )
-    by_centre = (
-        seekers.alias("x")
-        .join(sized.alias("y"), F.expr("x.family = y.family AND x.of = y.size"))
-        .filter(f"{apart} AND {total} * least(x.inside, y.inside) >= {share} * (x.size + y.size)")
-        .select(F.col("x.b").alias("a"), F.col("y.b").alias("b"))
+    return (
+        pairs.join(a, ["family", "a"])
+        .join(b, ["family", "b"])
+        .filter(f"{2 * TOTAL} * size(array_intersect(apart_a, apart_b)) + slack_a + slack_b >= 0")
+        .select("a", "b")
     )
-    both = by_shingle.union(by_centre)
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _of_node(batches):

@@ -442,6 +442,31 @@ def test_ngram_join_of_large_groups_that_are_not_one_component(spark, monkeypatc
     assert 10 < len({c for *_, c in got}) < 250
 
 
+def test_ngram_join_makes_few_pairs_of_near_copies_with_edits_of_their_own(spark, monkeypatch):
+    """Copies with several edits each, most of them too far apart to link: the words that one
+    copy lost and nearly all others have must not bring all copies together."""
+    rng = random.Random(33)
+    base = words(rng, 140).split()
+    rows = []
+    for i in range(320):
+        text = list(base)
+        for at in rng.sample(range(140), rng.choice((1, 3, 5, 6, 7, 8))):
+            text[at] = words(rng, 1)
+        rows.append((i, " ".join(text[: rng.choice((140, 140, 70))])))
+    made, across = [], ngram_join._across
+
+    def watched(members, small):
+        pairs = across(members, small)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_across", watched)
+    monkeypatch.setattr(ngram_join, "SMALL_OUTSIDE", 128)
+    got = {tuple(r) for r in ngram_join.join(make(spark, rows)).collect()}
+    assert got == join_by_hand(rows) and 20 < len({c for *_, c in got}) < 300
+    assert len(made) <= 2 and sum(made) < 3 * len(rows), made
+
+
 def test_ngram_join_index_misses_no_link():
     """Sets at the very border of similarity share an entry, for all sizes and both bands."""
     import numpy as np
