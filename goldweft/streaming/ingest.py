@@ -84,7 +84,7 @@ def bronze_folder(path: str) -> str:
 
 def read_split(spark: SparkSession, path: str) -> DataFrame:
     """Everything :func:`ingest_split` has written: bronze columns, ``value``, ``reason``."""
-    schema = T.StructType(S.BRONZE.fields).add("value", "binary").add("reason", "string")
+    schema = T.StructType([*S.BRONZE.fields]).add("value", "binary").add("reason", "string")
     return spark.read.schema(schema.add("batch", "long")).parquet(path).drop("batch")
 
 

@@ -94,6 +94,16 @@ def test_one_stream_into_two_places(spark, folders, monkeypatch):
     assert sorted(spark.read.parquet(target).inputFiles()) == before
 
 
+def test_reading_twice_leaves_the_bronze_schema_alone(spark, folders):
+    source, target, checkpoint = folders
+    names = S.BRONZE.fieldNames()
+    kafka(spark, [(None, b'{"n":1}', 0)]).write.parquet(source)
+    SI.ingest_split(read_file_stream(spark, source, S.KAFKA), target, checkpoint).awaitTermination()
+    for _ in range(2):
+        assert SI.read_split(spark, target).count() == 1
+    assert S.BRONZE.fieldNames() == names == [f.name for f in S.BRONZE.fields]
+
+
 def test_dedup_across_batches(spark, folders):
     source, target, checkpoint = folders
     for start in (0, 5):  # offsets 5..9 are replayed
