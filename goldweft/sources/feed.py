@@ -29,6 +29,10 @@ TABLES = {
 #: Customers and orders that one task makes messages of.  The aggregation behind sorts what a
 #: task has, and a row group, which no reader splits, may hold millions of rows.
 TASK_ROWS = 100_000
+#: Up to so many tasks, Spark writes a shuffle straight to a file for each; for more, each
+#: reading task sorts what it has read, a whole split.  So there are more of them only where
+#: one would have more than MOST_ROWS.
+FEW_TASKS, MOST_ROWS = 200, 1_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,11 +93,13 @@ _PER_CUSTOMER = f"""array_compact(array({_PERSONAL},
 
 
 def _spread(rows: DataFrame, n_rows: int) -> DataFrame:
-    """``rows`` dealt evenly over tasks of :data:`TASK_ROWS`, at least one for each core.
+    """``rows`` dealt evenly over tasks of :data:`TASK_ROWS`, at least one for each core; beyond
+    :data:`FEW_TASKS`, over tasks of up to :data:`MOST_ROWS`.
 
     By all columns, so rows without a key spread too.
     """
-    parts = max(-(-n_rows // TASK_ROWS), rows.sparkSession.sparkContext.defaultParallelism)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(-(-n_rows // TASK_ROWS), FEW_TASKS), -(-n_rows // MOST_ROWS), cores)
     return rows.repartition(parts, *rows.columns)
 
 

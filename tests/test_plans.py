@@ -1,5 +1,7 @@
 """What the plans must look like to hold at scale."""
 
+import re
+
 import pytest
 from people import bronze, feed
 from people import messages as people_messages
@@ -202,3 +204,17 @@ def test_run_spreads_a_batch_of_one_file(spark, tmp_path, monkeypatch):
     rows = materialize(bronze(spark, people_messages()).coalesce(1), "bronze")
     run.run_batch(Store(spark, str(tmp_path / "store")), rows, 0)
     assert "RebalancePartitions" in plans["classified"]
+
+
+def test_feed_is_dealt_over_few_tasks_until_they_are_large(spark):
+    """More than 200 tasks make each reading task sort its whole split."""
+    rows = spark.range(3).selectExpr("id AS k", "id AS o")
+
+    def tasks(n_rows):
+        plan = feed_source._spread(rows, n_rows)._jdf.queryExecution().executedPlan().toString()
+        return int(re.search(r"hashpartitioning\(.*?, (\d+)\)", plan).group(1))
+
+    assert tasks(3) == spark.sparkContext.defaultParallelism
+    assert tasks(5_000_000) == 50
+    assert tasks(59_400_000) == tasks(200_000_000) == 200
+    assert tasks(900_000_000) == 900
