@@ -258,8 +258,11 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     return np.sort(found["shingle"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-#: Entries that a task gathers before it passes them on.
-GATHERED = 600_000
+#: Entries that a task gathers before it passes them on, and sets whose copies it leaves out.
+GATHERED, REMEMBERED = 250_000, 200_000
+#: Bytes of text for each bucket of entries: they take as much room as the text and several
+#: times that while they are sorted, and a worker holds a whole bucket.
+ENTRY_BYTES = 4 << 20
 
 #: An entry: hash of a segment, node and size of the set, index, allowance of the segment,
 #: and the allowances to spare of the set in that index.
@@ -308,7 +311,9 @@ def _entries(n: int, index: Index):
                 held += len(made)
             if held > GATHERED:
                 yield emit(gathered)
-                gathered, held, seen = [], 0, set()
+                gathered, held = [], 0
+            if len(seen) > REMEMBERED:
+                seen = set()
         if gathered:
             yield emit(gathered)
 
@@ -426,7 +431,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     filled = described.filter("doc IS NOT NULL AND n_shingles > 0")
     named = filled.groupBy("node").agg(F.min("doc").alias("name"))
 
-    n = buckets(known)
+    n = buckets(known, per=ENTRY_BYTES)
     index = Index(common_shingles(known))
     entries = known.mapInArrow(_entries(n, index), _PACK)
     pairs = stage(entries.groupBy("bucket").applyInArrow(_pair_up, _PAIRS), "pairs")

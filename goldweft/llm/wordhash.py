@@ -15,7 +15,8 @@ _LOWER[65:91] = _EXACT[97:123]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
-_PIECE = 1 << 20
+#: Bytes looked at together; some ten numbers of 8 bytes stand beside each of them.
+_PIECE = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -720,3 +720,38 @@ def test_decontamination_takes_all_prints_in_one_aggregation(spark, monkeypatch)
     found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()}
     assert found == {(1, 1), (1, 2), (1, 3), (3, 2), (3, 3)}
     assert staged.count("prints") == 1 and staged.count("starts") == 1
+
+
+def test_entries_of_the_ngram_join_are_dealt_by_the_size_of_the_texts(spark, monkeypatch):
+    """Before, a bucket held all entries of a session with one shuffle partition."""
+    rng = random.Random(21)
+    rows = [(i, words(rng, 60)) for i in range(40)]
+    rows += [(100 + i, t + " and one more") for i, t in rows[:20]]
+    most = []
+    entries = ngram_join._entries
+    monkeypatch.setattr(ngram_join, "_entries", lambda n, index: most.append(n) or entries(n, index))
+    monkeypatch.setattr(ngram_join, "ENTRY_BYTES", 1000, raising=False)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        got = {tuple(r) for r in ngram_join.join(make(spark, rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert most[0] >= sum(len(t) for _, t in rows) // 1000 > 10
+    assert got == join_by_hand(rows)
+
+
+def test_copies_make_entries_once_however_often_a_task_passes_some_on(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "GATHERED", 10)
+    rng = random.Random(22)
+    texts = [words(rng, 40) for _ in range(5)]
+    make_entries = ngram_join._entries(3, ngram_join.Index(np.empty(0, np.uint64)))
+
+    def made(texts):
+        batches = (pa.RecordBatch.from_arrays([pa.array([t])], names=["text"]) for t in texts)
+        return b"".join(e for batch in make_entries(batches) for e in batch.column("entries").to_pylist())
+
+    assert len(made(texts)) > 0 and made(texts) == made(texts * 2)
