@@ -34,8 +34,15 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.classify(messages(spark, sf_dir))
 
 
+def dealt_classified(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Classified messages with their ``task``, and the number of tasks."""
+    dealt, tasks = feed.dealt_messages(spark, sf_dir)
+    return C.classify(dealt), tasks
+
+
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.latest_by_key(classified(spark, sf_dir), "seq")
+    dealt, tasks = dealt_classified(spark, sf_dir)
+    return L.latest_by_key(dealt, "seq", tasks)
 
 
 def stamp():
@@ -43,7 +50,8 @@ def stamp():
 
 
 def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.consolidate(messages(spark, sf_dir), "seq", stamp())
+    dealt, tasks = feed.dealt_messages(spark, sf_dir)
+    return E.consolidate(dealt, "seq", stamp(), tasks)
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +64,10 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def old_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = messages(spark, sf_dir)
+    return _first_of(messages(spark, sf_dir))
+
+
+def _first_of(m: DataFrame) -> DataFrame:
     return m.filter(
         (F.col("seq") < SECOND_BATCH_SEQ) & ~F.col("data").contains(LATE_NAME)
     )
@@ -64,7 +75,10 @@ def old_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def new_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything later, the late people, and a repetition of some personal messages."""
-    m = messages(spark, sf_dir)
+    return _second_of(messages(spark, sf_dir))
+
+
+def _second_of(m: DataFrame) -> DataFrame:
     return m.filter(
         (F.col("seq") >= SECOND_BATCH_SEQ)
         | F.col("data").contains(LATE_NAME)
@@ -74,12 +88,14 @@ def new_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def old_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Golden records of the first batch; those with a city count as uploaded."""
-    g = E.consolidate(old_batch(spark, sf_dir), "seq", stamp())
+    dealt, tasks = feed.dealt_messages(spark, sf_dir)
+    g = E.consolidate(_first_of(dealt), "seq", stamp(), tasks)
     return g.withColumn("uploaded_2_SQL", F.col("city").isNotNull())
 
 
 def new_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.consolidate(new_batch(spark, sf_dir), "seq", stamp())
+    dealt, tasks = feed.dealt_messages(spark, sf_dir)
+    return E.consolidate(_second_of(dealt), "seq", stamp(), tasks)
 
 
 def kafka_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,19 +28,32 @@ def _fields(shape: str) -> str:
     return ", ".join(cols)
 
 
-def latest_by_key(classified: DataFrame, order: str = "ord") -> DataFrame:
+def latest_by_key(
+    classified: DataFrame, order: str = "ord", tasks: int | None = None
+) -> DataFrame:
     """One row per domain and key: ``latest``, a struct of the key and one struct per shape.
 
     The greatest ``(order, fields)`` struct wins as a whole, so the nulls of the
     winning message stay nulls.  The order column must be unique per message.
+
+    With ``tasks``, keys are dealt to that many tasks, whatever the session says: then a task
+    holds no more the larger the input is.  The messages must have been dealt by the column
+    ``task``, so that the first aggregation stays within it.
     """
     per_shape = ", ".join(
         f"max(CASE WHEN shape = '{s}' THEN struct({order} AS ord, {_fields(s)}) END) AS {s}"
         for s in S.SOURCES
     )
+    linked = classified.filter("link_key IS NOT NULL")
+    domain = F.expr(P.link_domain("shape")).alias("domain")
+    if tasks:
+        newest = [f"struct(link_key AS key, {per_shape}) AS newest"]
+        own = linked.groupBy(domain, "link_key", "task").agg(*map(F.expr, newest))
+        linked = own.repartition(tasks, "domain", "link_key")
+        domain = F.col("domain")
+        per_shape = ", ".join(f"max(newest.{s}) AS {s}" for s in S.SOURCES)
     return (
-        classified.filter("link_key IS NOT NULL")
-        .groupBy(F.expr(P.link_domain("shape")).alias("domain"), "link_key")
+        linked.groupBy(domain, "link_key")
         .agg(F.expr(f"struct(link_key AS key, {per_shape}) AS latest"))
         .select("latest")
     )

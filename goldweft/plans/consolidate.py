@@ -10,8 +10,10 @@ from goldweft.operators import latest as L
 from goldweft.operators import link as K
 
 
-def latest_of(messages: DataFrame, order: str = "ord") -> DataFrame:
-    return L.latest_by_key(C.classify(messages), order)
+def latest_of(
+    messages: DataFrame, order: str = "ord", tasks: int | None = None
+) -> DataFrame:
+    return L.latest_by_key(C.classify(messages), order, tasks)
 
 
 def link(latest: DataFrame, complete_only: bool = True) -> DataFrame:
@@ -28,14 +30,17 @@ def golden_of(latest: DataFrame, consolidated_at: Column | None = None) -> DataF
 
 
 def consolidate(
-    messages: DataFrame, order: str = "ord", consolidated_at: Column | None = None
+    messages: DataFrame,
+    order: str = "ord",
+    consolidated_at: Column | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One golden record per passport with a complete identity.
 
     One scan and parse, one shuffle for the aggregation, then each input of the name
-    and address joins is shuffled once.
+    and address joins is shuffled once.  ``tasks``: see :func:`L.latest_by_key`.
     """
-    return golden_of(latest_of(messages, order), consolidated_at)
+    return golden_of(latest_of(messages, order, tasks), consolidated_at)
 
 
 def unmatched(latest: DataFrame) -> DataFrame:

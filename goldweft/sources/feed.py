@@ -92,19 +92,42 @@ _PER_CUSTOMER = f"""array_compact(array({_PERSONAL},
     CASE WHEN k % 100 IN (1, 2, 3) THEN {_ODD} END))"""
 
 
-def _spread(rows: DataFrame, n_rows: int) -> DataFrame:
-    """``rows`` dealt evenly over tasks of :data:`TASK_ROWS`, at least one for each core; beyond
-    :data:`FEW_TASKS`, over tasks of up to :data:`MOST_ROWS`.
+def _tasks(spark: SparkSession, n_rows: int) -> int:
+    """How many tasks of :data:`TASK_ROWS`, at least one for each core; beyond
+    :data:`FEW_TASKS`, tasks of up to :data:`MOST_ROWS`."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(min(-(-n_rows // TASK_ROWS), FEW_TASKS), -(-n_rows // MOST_ROWS), cores)
+
 
-    By all columns, so rows without a key spread too.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    parts = max(min(-(-n_rows // TASK_ROWS), FEW_TASKS), -(-n_rows // MOST_ROWS), cores)
-    return rows.repartition(parts, *rows.columns)
+def _spread(rows: DataFrame, n_rows: int) -> DataFrame:
+    """``rows`` dealt evenly over :func:`_tasks`, by all columns, so rows without a key spread
+    too."""
+    return rows.repartition(_tasks(rows.sparkSession, n_rows), *rows.columns)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed: ``seq bigint`` (unique; the higher one wins) and ``data string``."""
+    return _made(_spread(*_rows(spark, sf_dir)))
+
+
+def dealt_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The feed with ``task``, the task that makes the message, and the number of tasks.
+    Rows are dealt as in :func:`_spread`."""
+    rows, n_rows = _rows(spark, sf_dir)
+    tasks = _tasks(spark, n_rows)
+    task = F.pmod(F.hash(*rows.columns), F.lit(tasks)).alias("task")
+    return _made(rows.select("*", task).repartitionById(tasks, "task"), "task"), tasks
+
+
+def _made(rows: DataFrame, *kept: str) -> DataFrame:
+    """The messages of each row."""
+    return rows.selectExpr(
+        f"inline(CASE WHEN o IS NOT NULL THEN array({_BANK}) ELSE {_PER_CUSTOMER} END)", *kept
+    )
+
+
+def _rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Customers, with their nation and supplier, and orders; how many they are."""
     customer = read_table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS k", "c_nationkey", "c_mktsegment AS mkt"
     )
@@ -118,7 +141,4 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey AS o", "o_custkey", "o_totalprice"
     )
     n_rows = customer.select().unionAll(orders.select()).count()
-    rows = people.unionByName(orders, allowMissingColumns=True)
-    return _spread(rows, n_rows).selectExpr(
-        f"inline(CASE WHEN o IS NOT NULL THEN array({_BANK}) ELSE {_PER_CUSTOMER} END)"
-    )
+    return people.unionByName(orders, allowMissingColumns=True), n_rows

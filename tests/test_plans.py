@@ -7,6 +7,7 @@ from people import bronze, feed
 from people import messages as people_messages
 from pyspark.sql import functions as F
 
+from goldweft import fixtures as X
 from goldweft.fixtures import golden as fixture_golden
 from goldweft.operators import classify as C
 from goldweft.operators import golden as G
@@ -218,3 +219,17 @@ def test_feed_is_dealt_over_few_tasks_until_they_are_large(spark):
     assert tasks(5_000_000) == 50
     assert tasks(59_400_000) == tasks(200_000_000) == 200
     assert tasks(900_000_000) == 900
+
+
+def test_keys_of_the_feed_are_dealt_by_its_size_not_by_the_session(spark, monkeypatch):
+    """With few shuffle partitions, a task sorted a share of all keys however many there were."""
+    monkeypatch.setattr(feed_source, "TASK_ROWS", 100)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 2)
+    try:
+        for made in (X.latest, X.golden, X.old_golden, X.new_golden):
+            plan = final_plan(made(spark, SF))
+            dealt = {int(n) for n in re.findall(r"hashpartitioning\(domain[^)]*, (\d+)\)", plan)}
+            assert dealt == {feed_source.dealt_messages(spark, SF)[1]} and min(dealt) > 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
